@@ -30,7 +30,7 @@ from feira.streaming.archive import archive_path, archive_topics, wait_all
 
 RAW, CLEAN, GOLD = "raw", "clean", "gold"
 BATCH_FRACTION = 0.9
-_CONCURRENT_TABLES = 4
+_CONCURRENT_TABLES = 8
 
 
 class Lakehouse:
@@ -47,22 +47,25 @@ class Lakehouse:
         return self.table(layer, name).read()
 
     def find(self, layer: str, name: str) -> DataFrame | None:
-        table = self.table(layer, name)
-        return table.read() if table.exists() else None
+        return self.table(layer, name).read_if_exists()
 
     def star(self) -> dict[str, DataFrame]:
-        return {name: self.read(GOLD, name) for name in schemas.GOLD_SCHEMAS if self.table(GOLD, name).exists()}
+        found = {name: self.find(GOLD, name) for name in schemas.GOLD_SCHEMAS}
+        return {name: df for name, df in found.items() if df is not None}
 
     def archive(self, topic: str = schemas.ORDERS_TOPIC) -> DataFrame:
         """Archived messages of a topic; empty when none has been archived."""
         return read_optional(self.spark, archive_path(self.base, topic), schemas.ARCHIVE_SCHEMA)
 
 
-def _write_all(lake: Lakehouse, layer: str, builders: Mapping[str, Callable[[], DataFrame]]) -> None:
-    """Write independent tables side by side, so that small ones do not leave the cluster idle."""
+def _write_all(lake: Lakehouse, layer: str, builders: Mapping[str, Callable[[], DataFrame | None]]) -> None:
+    """Write independent tables side by side, so that small ones do not leave the cluster idle. A builder that
+    returns None skips its table."""
 
     def write(name: str) -> None:
-        lake.table(layer, name).overwrite(builders[name]())
+        df = builders[name]()
+        if df is not None:
+            lake.table(layer, name).overwrite(df)
 
     with ThreadPoolExecutor(_CONCURRENT_TABLES) as pool:
         list(pool.map(inheritable_thread_target(lake.spark)(write), builders))
@@ -70,8 +73,10 @@ def _write_all(lake: Lakehouse, layer: str, builders: Mapping[str, Callable[[],
 
 def ingest_raw(lake: Lakehouse, sources: Mapping[str, DataFrame]) -> None:
     """Full load of the given raw tables; a table that delivers no rows is skipped."""
-    filled = {name: df for name, df in sources.items() if not df.isEmpty()}
-    _write_all(lake, RAW, {name: (lambda df=df: with_ingestion_time(df)) for name, df in filled.items()})
+    def filled(df: DataFrame) -> DataFrame | None:
+        return None if df.isEmpty() else with_ingestion_time(df)
+
+    _write_all(lake, RAW, {name: (lambda df=df: filled(df)) for name, df in sources.items()})
 
 
 def split_orders(orders: DataFrame, rank_col: str = "__rank") -> Split:
@@ -87,18 +92,15 @@ def archive_streams(lake: Lakehouse, streams: Mapping[str, DataFrame]) -> None:
 
 
 def clean_layer(lake: Lakehouse) -> None:
-    def raw(name: str) -> DataFrame:
-        return lake.read(RAW, name)
-
-    builders: dict[str, Callable[[], DataFrame]] = {
-        "orders": lambda: clean_orders(raw("orders"), lake.archive(), raw("customers")),
-        "order_reviews": lambda: clean_reviews(raw("order_reviews")),
-    }
-    for name in schemas.RAW_SCHEMAS:
-        if name not in builders:
-            builders[name] = lambda name=name: clean_table(raw(name), name)
-    present = {n: b for n, b in builders.items() if lake.table(RAW, n).exists()}
-    _write_all(lake, CLEAN, present)
+    def build(name: str) -> DataFrame | None:
+        raw = lake.find(RAW, name)
+        if raw is None:
+            return None
+        if name == "orders":
+            return clean_orders(raw, lake.archive(), lake.read(RAW, "customers"))
+        return clean_reviews(raw) if name == "order_reviews" else clean_table(raw, name)
+
+    _write_all(lake, CLEAN, {name: (lambda name=name: build(name)) for name in schemas.RAW_SCHEMAS})
 
 
 def load_gold(lake: Lakehouse, leads: DataFrame | None = None, collapse_identical: bool = True) -> None:

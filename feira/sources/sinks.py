@@ -6,15 +6,16 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feira import schemas
 
 
-def written_rows(spark: SparkSession, path: str) -> int:
+def written_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
     """Rows of a written Parquet table, taken from the file footers: no column is read and the plan behind the write
     is not run again. (An ``Observation`` would do as well, but a session that has used one can no longer ship
     ``pyspark.ml`` models with a training summary to its executors.)"""
-    return spark.read.parquet(path).count()
+    return spark.read.schema(schema).parquet(path).count()
 
 
 def write_jdbc(

@@ -80,6 +80,10 @@ class SnapshotTable:
             return self._scan(self._commit(self.version_as_of(as_of)))
         return self._scan(self._latest())
 
+    def read_if_exists(self) -> DataFrame | None:
+        commits = self._commits()
+        return self._scan(commits[-1]) if commits else None
+
     def version_as_of(self, as_of: dt.datetime | str) -> int:
         moment = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
         if moment.tzinfo is None:
@@ -128,7 +132,8 @@ class SnapshotTable:
         version = commits[-1].version + 1 if commits else 0
         # A directory without a history row is left over from a commit that never finished.
         df.write.mode("overwrite").parquet(self._data_path(version))
-        rows = written_rows(self.spark, self._data_path(version)) + (commits[-1].rows if keep else 0)
+        written = written_rows(self.spark, self._data_path(version), df.schema)
+        rows = written + (commits[-1].rows if keep else 0)
         self._publish(version, operation, parameters, rows, df.schema.json(), [*keep, version])
         return version
 
@@ -136,9 +141,17 @@ class SnapshotTable:
         self, version: int, operation: str, parameters: dict[str, str], rows: int, schema: str, data: list[int]
     ) -> None:
         now = dt.datetime.now(dt.timezone.utc)
-        row = [(version, now, operation, parameters, rows, schema, data)]
-        target = f"{self.path}/history/{version:020d}"
-        self.spark.createDataFrame(row, HISTORY_SCHEMA).coalesce(1).write.mode("errorifexists").json(target)
+        settings = [F.lit(x) for pair in parameters.items() for x in pair]
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(now.isoformat()).cast("timestamp").alias("timestamp"),
+            F.lit(operation).alias("operation"),
+            F.create_map(*settings).alias("parameters"),
+            F.lit(rows).cast("bigint").alias("rows"),
+            F.lit(schema).alias("table_schema"),
+            F.array(*[F.lit(v) for v in data]).cast("array<bigint>").alias("data_versions"),
+        )
+        row.write.mode("errorifexists").json(f"{self.path}/history/{version:020d}")
 
     def _log(self) -> DataFrame:
         return self.spark.read.schema(HISTORY_SCHEMA).json(f"{self.path}/history/*")
@@ -146,7 +159,7 @@ class SnapshotTable:
     def _commits(self) -> list[Commit]:
         """History rows, oldest first: one per commit, independent of the table's size."""
         try:
-            rows = self._log().withColumn("timestamp", F.unix_micros("timestamp")).orderBy("version").collect()
+            rows = self._log().withColumn("timestamp", F.unix_micros("timestamp")).collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -162,7 +175,7 @@ class SnapshotTable:
                 r["table_schema"],
                 r["data_versions"],
             )
-            for r in rows
+            for r in sorted(rows, key=lambda r: r["version"])
         ]
 
     def _latest(self) -> Commit:
