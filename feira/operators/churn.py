@@ -101,7 +101,7 @@ def experience(fact: DataFrame, payments: DataFrame, dim_customers: DataFrame) -
     )
 
 
-def churn_label(orders: DataFrame, customers: DataFrame, cutoff: str, horizon_days: int = 180) -> DataFrame:
+def churn_label(orders: DataFrame, dim_customers: DataFrame, cutoff: str, horizon_days: int = 180) -> DataFrame:
     """1 for people who bought before ``cutoff`` and not within ``horizon_days`` after it, else 0.
 
     Features must come from before the cut-off: a label made from the same orders as the frequency feature would
@@ -114,7 +114,7 @@ def churn_label(orders: DataFrame, customers: DataFrame, cutoff: str, horizon_da
         F.count_if((bought >= start) & (bought < end)).alias("after"),
     )
     return (
-        per_account.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
+        per_account.join(dim_customers.select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("customer_unique_id")
         .agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
         .filter(F.col("before") > 0)
@@ -126,7 +126,6 @@ def training_table(
     fact: DataFrame,
     payments: DataFrame,
     orders: DataFrame,
-    customers: DataFrame,
     dim_customers: DataFrame,
     cutoff: str,
     horizon_days: int = 180,
@@ -134,7 +133,7 @@ def training_table(
     """Features from before the cut-off beside the label from after it."""
     past = fact.filter(date_of_key("order_date_key") < F.lit(cutoff).cast("date"))
     return (
-        churn_label(orders, customers, cutoff, horizon_days)
+        churn_label(orders, dim_customers, cutoff, horizon_days)
         .join(rfm(past, dim_customers, cutoff), "customer_unique_id")
         .join(friction(past, dim_customers), "customer_unique_id", "left")
         .join(experience(past, payments, dim_customers), "customer_unique_id", "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira import schemas
-from feira.functions.casts import apply_table_casts
+from feira.functions.casts import apply_table_casts, to_timestamp
 from feira.functions.text import PORTUGUESE_STOPWORDS, clean_text
 from feira.operators.groups import any_per_key, discrete_quantile, first_per_key
 from feira.session import materialize
@@ -37,7 +37,7 @@ def parse_logistics(archive: DataFrame) -> DataFrame:
     return latest.select(
         "order_id",
         "customer_id",
-        *[F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")).alias(c) for c in dates],
+        *[to_timestamp(c).alias(c) for c in dates],
     )
 
 
@@ -76,7 +76,11 @@ def median_delivery_days(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def _with_delivery_days(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    zips = any_per_key(customers.select("customer_id", "customer_zip_code_prefix"), ["customer_id"])
+    """Orders with zip and transit days. One zip per customer is written first, so that the join can broadcast it by
+    its true size or split a customer that owns a large part of the orders."""
+    zips = materialize(
+        any_per_key(customers.select("customer_id", "customer_zip_code_prefix"), ["customer_id"]), "customer-zips"
+    )
     days = F.datediff("order_delivered_customer_date", "order_delivered_carrier_date")
     return orders.join(zips, "customer_id", "left").withColumn("__days", days)
 

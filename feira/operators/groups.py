@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,7 +48,12 @@ def discrete_quantile(
     return upto.filter(reached & before).select(*keys, F.col(value_col).alias(result_col))
 
 
-def share_of_total(df: DataFrame, value_col: str, share_col: str) -> DataFrame:
-    """Each row's share of the column total, NULL when the total is zero. ``df`` is an aggregate, not raw rows."""
-    total = df.agg(F.sum(value_col).cast("double").alias("total")).scalar()
-    return df.withColumn(share_col, F.try_divide(F.col(value_col).cast("double"), total))
+def share_of_total(df: DataFrame, shares: Mapping[str, str]) -> DataFrame:
+    """Each row's share of its column total, NULL when the total is zero; ``shares`` maps value to share columns.
+
+    ``df`` is an aggregate; its totals are scalar subqueries that reuse the aggregate's own exchange.
+    """
+    totals = {value: df.agg(F.sum(value).cast("double").alias("total")).scalar() for value in shares}
+    return df.withColumns(
+        {share: F.try_divide(F.col(value).cast("double"), totals[value]) for value, share in shares.items()}
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feira.session import materialize
 
-_SLICE, _POSITION, _BEFORE = "__slice", "__position", "__rows_before"
+_SLICE, _POSITION, _BEFORE, _ARRIVAL = "__slice", "__position", "__rows_before", "__arrival"
 
 
 class Ranked(NamedTuple):
@@ -21,18 +21,24 @@ class Ranked(NamedTuple):
     rows: int
 
 
-def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str) -> Ranked:
+def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str, unique: bool = False) -> Ranked:
     """Number all rows 1..n in ``order_by`` order.
 
     A range exchange sorts the rows into ordered slices (Spark samples the whole sort tuple, so a leading value that
     holds a third of the rows is still split by the columns behind it). Slice number and place in the slice are
     written once, which also freezes the slice bounds against recomputation; the rank is then the place plus the
     number of rows in earlier slices. Only those slice sizes, at most one per shuffle partition, visit the driver.
-    ``order_by`` should be a total order, otherwise ties are numbered arbitrarily.
+
+    Rows that tie on the whole ``order_by`` are told apart by an arrival number that is written with them first, so
+    even copies that make up a third of the table are split over slices, and a retried task numbers them as before.
+    ``unique=True`` says that there are no ties and saves that write.
     """
-    spark = df.sparkSession
-    placed = df.orderBy(*order_by).select(
-        "*",
+    spark, keys, columns = df.sparkSession, list(order_by), df.columns
+    if not unique:
+        df = materialize(df.withColumn(_ARRIVAL, F.monotonically_increasing_id()), "arrived")
+        keys.append(_ARRIVAL)
+    placed = df.orderBy(*keys).select(
+        *columns,
         F.spark_partition_id().alias(_SLICE),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(_POSITION),
     )
@@ -48,12 +54,12 @@ def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str) -> R
     )
     ranked = written.join(F.broadcast(offsets), _SLICE)
     rank = (F.col(_BEFORE) + F.col(_POSITION) + 1).alias(rank_col)
-    return Ranked(ranked.select(rank, *df.columns), total)
+    return Ranked(ranked.select(rank, *columns), total)
 
 
-def dense_key(df: DataFrame, order_by: list[str | Column], key_col: str) -> DataFrame:
+def dense_key(df: DataFrame, order_by: list[str | Column], key_col: str, unique: bool = False) -> DataFrame:
     """Surrogate key 1..n without gaps, in ``order_by`` order."""
-    return global_rank(df, order_by, key_col).df
+    return global_rank(df, order_by, key_col, unique).df
 
 
 class Split(NamedTuple):

@@ -16,7 +16,7 @@ NEGATIVE_SCORES = (1, 3)
 
 def score_distribution(fact: DataFrame) -> DataFrame:
     counted = fact.groupBy("review_score").agg(F.count("*").alias("items"))
-    return share_of_total(counted, "items", "share")
+    return share_of_total(counted, {"items": "share"})
 
 
 def _delays(fact: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def category_funnel(fact: DataFrame, dim_products: DataFrame) -> DataFrame:
     per_category = per_order.groupBy("product_category_english").agg(
         F.count("*").alias("orders"), F.sum("revenue").alias("revenue")
     )
-    return share_of_total(per_category, "revenue", "revenue_share")
+    return share_of_total(per_category, {"revenue": "revenue_share"})
 
 
 def category_rank(fact: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -55,13 +55,7 @@ def payment_mix(payments: DataFrame) -> DataFrame:
         F.sum(F.col("payment_value").try_cast("decimal(18,2)")).alias("payment_value"),
         F.avg("payment_installments").alias("avg_installments"),
     )
-    shared = share_of_total(per_type, "payments", "payment_share")
-    return shared.join(
-        share_of_total(per_type.select("payment_type", "payment_value"), "payment_value", "value_share").drop(
-            "payment_value"
-        ),
-        "payment_type",
-    )
+    return share_of_total(per_type, {"payments": "payment_share", "payment_value": "value_share"})
 
 
 def state_share(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
@@ -72,7 +66,7 @@ def state_share(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
         .groupBy("customer_state")
         .agg(F.count("customer_key").alias("customers"), F.sum("revenue").alias("revenue"))
     )
-    return share_of_total(per_state, "revenue", "revenue_share")
+    return share_of_total(per_state, {"revenue": "revenue_share"})
 
 
 def monthly_trend(fact: DataFrame) -> DataFrame:
@@ -133,13 +127,13 @@ def _rollup(df: DataFrame, *levels: str) -> DataFrame:
     )
 
 
-def one_time_buyers(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def one_time_buyers(orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Per calendar year: buyers, buyers with a single order, and their ratio."""
     per_account = orders.groupBy("customer_id", F.year("order_purchase_timestamp").alias("order_year")).agg(
         F.count("*").alias("orders")
     )
     per_person = (
-        per_account.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
+        per_account.join(dim_customers.select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("customer_unique_id", "order_year")
         .agg(F.sum("orders").alias("orders"))
     )

@@ -10,6 +10,7 @@ from feira.operators.clean import DEFAULT_REVIEW_SCORE
 from feira.operators.groups import any_per_key, first_per_key
 from feira.operators.keys import dense_key
 from feira.schemas import conform
+from feira.session import materialize
 
 
 def build_dim_customers(customers: DataFrame) -> DataFrame:
@@ -21,21 +22,20 @@ def build_dim_customers(customers: DataFrame) -> DataFrame:
         "customer_state",
     ]
     unique = any_per_key(customers.select(columns), ["customer_id"])
-    return conform(dense_key(unique, ["customer_id"], "customer_key"), "dim_customers")
+    return conform(dense_key(unique, ["customer_id"], "customer_key", unique=True), "dim_customers")
 
 
 def build_dim_sellers(sellers: DataFrame) -> DataFrame:
     unique = any_per_key(
         sellers.select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"), ["seller_id"]
     )
-    return conform(dense_key(unique, ["seller_id"], "seller_key"), "dim_sellers")
+    return conform(dense_key(unique, ["seller_id"], "seller_key", unique=True), "dim_sellers")
 
 
 def build_dim_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """English category where a translation exists, the original name elsewhere."""
-    names = any_per_key(
-        translation.select("product_category_name", "product_category_name_english"), ["product_category_name"]
-    )
+    pairs = translation.select("product_category_name", "product_category_name_english")
+    names = materialize(any_per_key(pairs, ["product_category_name"]), "translations")
     english = F.coalesce("product_category_name_english", "product_category_name")
     described = products.join(names, "product_category_name", "left").select(
         "product_id",
@@ -45,12 +45,12 @@ def build_dim_products(products: DataFrame, translation: DataFrame) -> DataFrame
         "product_volume_cm3",
     )
     unique = any_per_key(described, ["product_id"])
-    return conform(dense_key(unique, ["product_id"], "product_key"), "dim_products")
+    return conform(dense_key(unique, ["product_id"], "product_key", unique=True), "dim_products")
 
 
 def build_dim_order_status(orders: DataFrame) -> DataFrame:
     names = orders.select(F.col("order_status").alias("status_name")).distinct()
-    return conform(dense_key(names, ["status_name"], "status_key"), "dim_order_status")
+    return conform(dense_key(names, ["status_name"], "status_key", unique=True), "dim_order_status")
 
 
 def build_dim_date(orders: DataFrame, calendar: str = "occurring") -> DataFrame:
@@ -123,8 +123,9 @@ def build_fct_order_items(
 
     ``collapse_identical=True`` keeps one row for identical units of an order; ``False`` keeps the true item grain.
     Order-level columns depend on ``order_id`` alone, so identical units are collapsed on the five item columns
-    before the wide join. Dimensions are expected as written tables: the planner then broadcasts those under its
-    size threshold and sort-merges the others, splitting hot keys at run time.
+    before the wide join. Dimensions are expected as written tables, and everything known per order is written before
+    the items meet it: the planner then broadcasts what is under its size threshold and sort-merges the rest with hot
+    keys split at run time, which it only does for joins that read both sides straight from an exchange.
     """
     keyed = items.join(dim_products.select("product_id", "product_key"), "product_id", "left").join(
         dim_sellers.select("seller_id", "seller_key"), "seller_id", "left"
@@ -135,14 +136,17 @@ def build_fct_order_items(
     else:
         units, ties = keyed.select(*unit, "order_item_id"), ["order_item_id"]
     scores = latest_review_per_order(reviews).select("order_id", "review_score")
+    # Full outer: an item takes its review even when its order is missing.
+    per_order = materialize(
+        _order_measures(orders, dim_customers, dim_order_status).join(scores, "order_id", "full_outer"), "per-order"
+    )
     wide = (
-        units.join(_order_measures(orders, dim_customers, dim_order_status), "order_id", "left")
-        .join(scores, "order_id", "left")
+        units.join(per_order, "order_id", "left")
         .withColumn("review_score", F.coalesce("review_score", F.lit(DEFAULT_REVIEW_SCORE)))
         .withColumnRenamed("price", "item_price")
     )
     order_by = ["order_id", "customer_key", "product_key", "seller_key", *ties, "item_price", "freight_value"]
-    return conform(dense_key(wide, order_by, "order_item_key"), "fct_order_items")
+    return conform(dense_key(wide, order_by, "order_item_key", unique=collapse_identical), "fct_order_items")
 
 
 def build_fct_marketing_leads(leads: DataFrame, dim_sellers: DataFrame) -> DataFrame:

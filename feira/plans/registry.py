@@ -477,7 +477,6 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _gold(spark, sf_dir, "fct_order_items"),
                 _clean(spark, sf_dir, "order_payments"),
                 _clean(spark, sf_dir, "orders"),
-                _clean(spark, sf_dir, "customers"),
                 _gold(spark, sf_dir, "dim_customers"),
                 CHURN_CUTOFF,
             ),
@@ -576,7 +575,7 @@ QUERIES: dict[str, Query] = {
     "score_delay_corr": score_delay_corr,
     "negative_words": _on_star(reviews.negative_words, "clean:order_reviews"),
     "keyword_mentions": _on_star(reviews.keyword_mentions, "clean:order_reviews", phrases=PHRASES),
-    "one_time_buyers": _on_star(sales.one_time_buyers, "clean:orders", "clean:customers"),
+    "one_time_buyers": _on_star(sales.one_time_buyers, "clean:orders", "dim_customers"),
     "ytd_mom": _on_star(sales.monthly_trend, FACT),
     "subtotals": _on_star(sales.date_subtotals, FACT, "dim_date"),
     "place_subtotals": _on_star(sales.place_subtotals, FACT, "dim_customers"),
@@ -593,7 +592,7 @@ QUERIES: dict[str, Query] = {
     "rfm": _on_star(churn.rfm, FACT, "dim_customers", analysis_date=ANALYSIS_DATE),
     "friction": _on_star(churn.friction, FACT, "dim_customers"),
     "experience": _on_star(churn.experience, FACT, "clean:order_payments", "dim_customers"),
-    "churn_label": _on_star(churn.churn_label, "clean:orders", "clean:customers", cutoff=CHURN_CUTOFF),
+    "churn_label": _on_star(churn.churn_label, "clean:orders", "dim_customers", cutoff=CHURN_CUTOFF),
     "churn_features": churn_features,
     "churn_scores": churn_scores,
     "churn_scores_boosted": churn_scores_boosted,

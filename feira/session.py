@@ -17,6 +17,10 @@ _RUNTIME_SETTINGS = {
     # A hot join key is split at run time even when that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Streaming state lives on local disk with checkpoints, not in executor memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _local_dirs: dict[str, str] = {}

@@ -18,14 +18,18 @@ MAX_PAGE_ROWS = 10_000
 SHALLOW_ROWS = 100_000
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True) -> DataFrame:
     """Header CSV as text columns: no inference, so zip codes keep their zeros. Byte-order mark, quoted commas,
-    doubled quotes and line breaks inside quotes are understood. Columns are matched by position."""
+    doubled quotes and line breaks inside quotes are understood. Columns are matched by position.
+
+    With ``line_breaks`` a file is read by one task, because a break inside quotes hides where rows start; set it to
+    False for large files that are known to hold one row per line, and they are split.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("encoding", "UTF-8")
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)

@@ -33,6 +33,20 @@ def test_malformed_values_become_null(spark):
     assert one(spark, to_timestamp(F.lit("2018-01-02 10:11:12"))) == dt.datetime(2018, 1, 2, 10, 11, 12)
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["2018-1-02 10:11:12", "2018-01-02", "2018-01-02T10:11:12", "2018-01-02 10:11:12 ", " 2018-01-02 10:11:12",
+     "2018-13-02 10:11:12", "2018-01-02 24:00:00", "2018-01-02 10:11:12Z", "12018-1-02 10:11:12", "2018-02-30 00:00:00"],
+)
+def test_timestamp_format_is_exact(spark, text):
+    assert one(spark, to_timestamp(F.lit(text))) is None
+    assert one(spark, F.try_to_timestamp(F.lit(text), F.lit("yyyy-MM-dd HH:mm:ss"))) is None
+
+
+def test_other_timestamp_format(spark):
+    assert one(spark, to_timestamp(F.lit("02/01/2018"), "dd/MM/yyyy")) == dt.datetime(2018, 1, 2)
+
+
 def test_iso_timestamp_with_zone_letter(spark):
     shown = F.date_format(iso_timestamp(F.lit("2018-01-02T10:11:12Z")), "yyyy-MM-dd HH:mm:ss")
     assert one(spark, shown) == "2018-01-02 10:11:12"

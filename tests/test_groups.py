@@ -58,6 +58,6 @@ def test_top_one_is_limited_before_the_exchange(spark):
 
 def test_share_of_total(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3)], "k string, v int")
-    assert {r["k"]: r["s"] for r in share_of_total(df, "v", "s").collect()} == {"a": 0.25, "b": 0.75}
+    assert {r["k"]: r["s"] for r in share_of_total(df, {"v": "s"}).collect()} == {"a": 0.25, "b": 0.75}
     zero = spark.createDataFrame([("a", 0)], "k string, v int")
-    assert share_of_total(zero, "v", "s").first()["s"] is None
+    assert share_of_total(zero, {"v": "s"}).first()["s"] is None
