@@ -199,7 +199,7 @@ def train_logistic(
         seed=seed,
         parallelism=2,
     ).fit(weighted)
-    return ChurnModel(search.bestModel, chosen, max(search.avgMetrics))
+    return ChurnModel(search.bestModel, chosen, float(max(search.avgMetrics)))
 
 
 def train_boosted(

@@ -99,12 +99,14 @@ RELATIONAL_SUITE: Mapping[str, tuple[Constraint, ...]] = {
         MaxLength("customer_id", 50),
         MaxLength("customer_unique_id", 50),
         MaxLength("customer_city", 100),
+        MaxLength("customer_state", 2),
     ),
     "dim_sellers": (
         Complete("seller_id"),
         Unique("seller_id"),
         MaxLength("seller_id", 50),
         MaxLength("seller_city", 100),
+        MaxLength("seller_state", 2),
     ),
     "dim_products": (
         Complete("product_id"),

@@ -23,7 +23,7 @@ from feira.operators.star import (
     build_fct_marketing_leads,
     build_fct_order_items,
 )
-from feira.session import configure
+from feira.session import configure, scratch_scope
 from feira.sources.readers import read_optional, with_ingestion_time
 from feira.sources.snapshots import SnapshotTable
 from feira.streaming.archive import archive_path, archive_topics, wait_all
@@ -60,12 +60,13 @@ class Lakehouse:
 
 def _write_all(lake: Lakehouse, layer: str, builders: Mapping[str, Callable[[], DataFrame | None]]) -> None:
     """Write independent tables side by side, so that small ones do not leave the cluster idle. A builder that
-    returns None skips its table."""
+    returns None skips its table. Intermediate results go once their table stands."""
 
     def write(name: str) -> None:
-        df = builders[name]()
-        if df is not None:
-            lake.table(layer, name).overwrite(df)
+        with scratch_scope(lake.spark):
+            df = builders[name]()
+            if df is not None:
+                lake.table(layer, name).overwrite(df)
 
     with ThreadPoolExecutor(_CONCURRENT_TABLES) as pool:
         list(pool.map(inheritable_thread_target(lake.spark)(write), builders))

@@ -430,10 +430,10 @@ def statements() -> dict[str, str]:
         "dq_relational": _checks(
             _check("gold", "dim_customers", "dim_customers",
                    [_complete("customer_id"), _unique("customer_id", "dim_customers"), _short("customer_id", 50),
-                    _short("customer_unique_id", 50), _short("customer_city", 100)]),
+                    _short("customer_unique_id", 50), _short("customer_city", 100), _short("customer_state", 2)]),
             _check("gold", "dim_sellers", "dim_sellers",
                    [_complete("seller_id"), _unique("seller_id", "dim_sellers"), _short("seller_id", 50),
-                    _short("seller_city", 100)]),
+                    _short("seller_city", 100), _short("seller_state", 2)]),
             _check("gold", "dim_products", "dim_products",
                    [_complete("product_id"), _unique("product_id", "dim_products"), _short("product_id", 50),
                     _short("product_category_english", 100)]),

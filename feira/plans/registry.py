@@ -485,10 +485,13 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _training(spark, sf_dir)
-    model = _once(spark, sf_dir, "logistic", lambda: churn.train_logistic(table))
-    return churn.score(table, model)
+def _model(spark: SparkSession, sf_dir: str, kind: str) -> churn.ChurnModel:
+    train = {"logistic": churn.train_logistic, "boosted": churn.train_boosted}[kind]
+    return _once(spark, sf_dir, kind, lambda: train(_training(spark, sf_dir)))
+
+
+def _churn_scores(spark: SparkSession, sf_dir: str, kind: str = "logistic") -> DataFrame:
+    return churn.score(_training(spark, sf_dir), _model(spark, sf_dir, kind))
 
 
 def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,9 +503,14 @@ def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_scores_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _training(spark, sf_dir)
-    model = _once(spark, sf_dir, "boosted", lambda: churn.train_boosted(table))
-    return churn.score(table, model)
+    return _churn_scores(spark, sf_dir, "boosted")
+
+
+def churn_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features and area under the precision-recall curve (loyal customers are the positive class) per model."""
+    found = [(kind, _model(spark, sf_dir, kind)) for kind in ("logistic", "boosted")]
+    rows = [(kind, ", ".join(model.features), model.pr_auc) for kind, model in found]
+    return spark.createDataFrame(rows, "model string, features string, pr_auc double")
 
 
 def churn_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -597,4 +605,5 @@ QUERIES: dict[str, Query] = {
     "churn_scores": churn_scores,
     "churn_scores_boosted": churn_scores_boosted,
     "churn_alerts": churn_alerts,
+    "churn_models": churn_models,
 }

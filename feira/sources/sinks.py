@@ -19,10 +19,16 @@ def written_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
 
 
 def write_jdbc(
-    df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None, truncate: bool = False
+    df: DataFrame,
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None = None,
+    truncate: bool = False,
+    connections: int = 16,
 ) -> None:
-    """Overwrite a relational table; ``truncate`` keeps the table's own column types and keys."""
-    df.write.option("truncate", str(truncate).lower()).jdbc(
+    """Overwrite a relational table; ``truncate`` keeps the table's own column types and keys. ``connections`` bounds
+    how many tasks write at once."""
+    df.write.options(truncate=truncate, numPartitions=connections, batchsize=10_000).jdbc(
         url, table, mode="overwrite", properties=dict(properties or {})
     )
 
@@ -57,6 +63,12 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def export_star(tables: Mapping[str, DataFrame], base: str) -> None:
+    """Every curated table as a CSV folder."""
+    for name, df in tables.items():
+        export_csv(df, f"{base}/{name}")
+
+
 def json_message(
     df: DataFrame, fields: list[str], topic: str, key: str = "customer_id", keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from feira.operators.groups import any_per_key, discrete_quantile, first_per_key, share_of_total
 
-FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+FEW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def medians(spark, rows):

@@ -7,7 +7,7 @@ from conftest import plan_of
 from feira.operators.gaps import event_gaps
 from feira.operators.keys import chronological_split, dense_key, global_rank, with_previous
 
-FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+FEW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def hot_rows(n=9000, seed=3):

@@ -6,7 +6,7 @@ from conftest import plan_of
 from feira.operators import quality
 from feira.operators.quality import Complete, MaxLength, Satisfies, Unique
 
-FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+FEW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 CHECKS = (Complete("k"), Unique("k"), Satisfies("v >= 0", "non-negative"), MaxLength("k", 1))
 
 

@@ -1,6 +1,7 @@
 """Every registered query against its independent SQL, and the layer run end to end."""
 
 import math
+import pathlib
 
 import duckdb
 import pytest
@@ -10,8 +11,9 @@ from conftest import SF
 from feira import schemas
 from feira.operators.quality import DataQualityError
 from feira.plans import adapters, medallion, registry
+from feira.session import scratch_dir
 
-ROWS_ONLY = {"churn_features", "churn_scores", "churn_scores_boosted", "churn_alerts"}
+ROWS_ONLY = {"churn_features", "churn_scores", "churn_scores_boosted", "churn_alerts", "churn_models"}
 
 
 @pytest.fixture(scope="module")
@@ -69,6 +71,18 @@ def test_empty_source_is_skipped_and_visible(spark, tmp_path):
     assert statuses["products"] == "Skipped" and statuses["orders"] == "Success"
 
 
+def test_intermediate_results_are_deleted(spark, tmp_path):
+    lake = medallion.Lakehouse(spark, str(tmp_path / "lake"))
+    sources = {"orders": adapters.raw_orders(spark, SF), **adapters.raw_tables(spark, SF)}
+    scratch = pathlib.Path(scratch_dir(spark)) / "feira"
+    medallion.ingest_raw(lake, sources)
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    medallion.clean_layer(lake)
+    medallion.load_gold(lake)
+    assert set(scratch.iterdir()) == before
+    assert lake.read(medallion.GOLD, "fct_order_items").count() == lake.read(medallion.RAW, "order_items").count()
+
+
 def test_run_without_streams_is_repeatable(spark, tmp_path):
     lake = medallion.Lakehouse(spark, str(tmp_path / "lake"))
     sources = {"orders": adapters.raw_orders(spark, SF), **adapters.raw_tables(spark, SF)}

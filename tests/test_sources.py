@@ -23,6 +23,11 @@ def test_csv_keeps_leading_zeros_through_an_export(spark, tmp_path):
     assert readers.read_csv(spark, str(tmp_path / "out"), sellers.schema).collect() == sellers.collect()
 
 
+def test_every_star_table_is_exported(spark, tmp_path):
+    sinks.export_star({"a": spark.range(2), "b": spark.range(3)}, str(tmp_path))
+    assert spark.read.csv(str(tmp_path / "b"), header=True).count() == 3
+
+
 def test_as_raw_turns_values_to_text(spark):
     df = spark.createDataFrame([("o", 40.0, 3, "x", "extra")], "order_id string, payment_value double, payment_sequential int, payment_type string, extra string")
     raw = readers.as_raw(df.selectExpr("*", "null as payment_installments"), schemas.RAW_SCHEMAS["order_payments"])
