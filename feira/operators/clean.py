@@ -91,12 +91,13 @@ def impute_delivery(
     """Fill a missing delivery date with carrier date + the zip's lower-median days (midnight of that day).
 
     Without a median for the zip the date stays NULL, unless ``fallback="global"`` supplies the overall median.
-    ``flag_col`` adds a column telling which dates were filled in. The medians are written first, so that the
-    planner joins them by their true size: broadcast when small, otherwise a skew-split sort-merge join.
+    ``flag_col`` adds a column telling which dates were filled in. The orders with their zip are written once and read
+    twice: two narrow columns for the medians, then whole. The medians are written as well, so that the planner joins
+    them by their true size: broadcast when small, otherwise a skew-split sort-merge join.
     """
     if fallback not in (None, "global"):
         raise ValueError(f"unknown fallback {fallback!r}")
-    timed = _with_delivery_days(orders, customers)
+    timed = materialize(_with_delivery_days(orders, customers), "timed-orders")
     zip_col = "customer_zip_code_prefix"
     medians = materialize(discrete_quantile(timed, [zip_col], "__days", "__median"), "medians")
     joined = timed.join(medians, zip_col, "left")
