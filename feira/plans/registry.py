@@ -390,7 +390,7 @@ def fk_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> SnapshotTable:
-    """0: batch orders, 1: stream orders appended, 2: canceled orders dropped and shipped ones delivered, 3: back to 1."""
+    """0: batch orders, 1: stream orders appended, 2: canceled dropped and shipped delivered, 3: back to 1."""
 
     def build() -> SnapshotTable:
         split = order_split(spark, sf_dir)
