@@ -1,8 +1,57 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from feira.llm import exact, langid, mixing, packing, simhash
+from feira.llm.common import table
+from feira.llm.queries import TOKENIZER
+from feira.session import materialize
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    return langid.keep_known(docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: the one with the largest id."""
+    return exact.exact_dedup(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component: the one with the smallest id."""
+    return simhash.near_dedup(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target weight asks for."""
+    return mixing.mix(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    return packing.pack(docs, TOKENIZER)
+
+
+STAGES = [
+    ("language_id", language),
+    ("exact_dedup", exact_copies),
+    ("simhash_near_dedup", near_copies),
+    ("mixing", mixture),
+    ("packing", packed),
+]
+
+#: Fingerprints, components, the classifier and the tokenizer have no SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
