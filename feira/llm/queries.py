@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import chat, exact, html, langid, mixing, packing, pii, simhash, syncmers
+from feira.llm import chat, exact, html, langid, lines, mixing, packing, pii, simhash, syncmers
 from feira.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +35,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(told.unionByName(more)))
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return mixing.mixing_plan(documents, keep=["doc_id", "source"])
@@ -67,6 +71,7 @@ QUERIES = {
         op2_main_text,
         op3_packing,
         op4_chat,
+        op5_fuzzy_lines,
         op6_mixing,
         op7_simhash,
         op8_language_id,
