@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feira.llm.common import col, fresh, ship, small_batches
+from feira.llm.common import col, ship, small_batches
 
 BUCKETS = 4096
 DIMENSIONS = 16
@@ -178,23 +179,26 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", lang: str = "la
     threshold.
     """
     ship(df.sparkSession)
-    passed = [c for c in df.columns if c not in (lang, score, "rejected")]
-    text = fresh(df, "__text")
+    passed = [c for c in df.columns if c.lower() not in (lang, score, "rejected")]
+    names = [f"c{i}" for i in range(len(passed))]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column(text)]
+            found = [model.predict(t.as_py()) for t in batch.column("text")]
             new = [
                 pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()),
                 pa.array([f[0] == UNKNOWN or f[1] < model.threshold for f in found], pa.bool_()),
             ]
-            rest = [batch.column(c) for c in passed]
-            yield pa.RecordBatch.from_arrays([*rest, *new], [*passed, lang, score, "rejected"])
+            arrays = [*[batch.column(n) for n in names], *new]
+            yield pa.RecordBatch.from_arrays(arrays, [*names, "lang", "score", "rejected"])
 
-    work = df.select(*[col(c) for c in passed], col(text_col).cast("string").alias(text))
-    schema = df.select(*[col(c) for c in passed]).schema.add(lang, "string").add(score, "double").add("rejected", "boolean")
-    return work.mapInArrow(run, schema)
+    text = col(text_col).cast("string").alias("text")
+    work = df.select(*[col(c).alias(n) for c, n in zip(passed, names, strict=True)], text)
+    new = T.StructType().add("lang", "string").add("score", "double").add("rejected", "boolean")
+    out = work.mapInArrow(run, T.StructType([*work.schema.fields[:-1], *new.fields]))
+    shown = [F.col(n).alias(c) for c, n in zip(passed, names, strict=True)]
+    return out.select(*shown, F.col("lang").alias(lang), F.col("score").alias(score), "rejected")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -204,6 +208,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 def keep_known(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows whose language is recognised, learned from the labelled rows of ``df`` that are not held out."""
     model = fit(df.filter(~held_out(id_col)), id_col, text_col, lang_col)
-    mark = fresh(df, "__score"), fresh(df, "__lang")
-    scored = predict(df, model, text_col, mark[1], mark[0])
-    return scored.filter(~F.col("rejected")).select(*[col(c) for c in df.columns])
+    packed = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), col(text_col).alias("text"))
+    kept = predict(packed, model).filter(~F.col("rejected"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in df.columns])

@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feira.llm.common import col, ship, small_batches
 
@@ -220,8 +221,8 @@ def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]
     return "".join([*parts, text[at:]]), spans
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+_SPAN = T.StructType().add("kind", "string").add("start", "long").add("end", "long")
+_FOUND = T.StructType().add("found", T.ArrayType(_SPAN))
 
 
 def pseudonymise_text(
@@ -249,7 +250,7 @@ def pseudonymise_text(
                 new_columns = [pa.array(texts, pa.string()), pa.array(found, pa.list_(span))]
                 yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *new_columns], [*names, "text", "found"])
 
-    out = work.mapInArrow(run, f"{_ddl(work)}, found array<struct<kind:string,start:bigint,end:bigint>>")
+    out = work.mapInArrow(run, T.StructType([*work.schema.fields, *_FOUND.fields]))
     back = dict(zip(passed, names, strict=True))
     columns = [F.col("text").alias(c) if c.lower() == text_col.lower() else F.col(back[c]).alias(c) for c in df.columns if c in back or c.lower() == text_col.lower()]
     return out.select(*columns, F.col("found").alias(found_col))
