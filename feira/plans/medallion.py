@@ -55,7 +55,8 @@ class Lakehouse:
 
     def archive(self, topic: str = schemas.ORDERS_TOPIC) -> DataFrame:
         """Archived messages of a topic; empty when none has been archived."""
-        return read_optional(self.spark, archive_path(self.base, topic), schemas.ARCHIVE_SCHEMA)
+        found = read_optional(self.spark, archive_path(self.base, topic), schemas.ARCHIVE_SCHEMA)
+        return found.select(*schemas.ARCHIVE_SCHEMA.names)
 
 
 def _write_all(lake: Lakehouse, layer: str, builders: Mapping[str, Callable[[], DataFrame | None]]) -> None:

@@ -5,6 +5,7 @@ import pytest
 
 from feira import schemas
 from feira.operators.clean import merge_batch_and_stream
+from feira.plans import registry
 from feira.streaming import archive
 
 START = dt.datetime(2018, 1, 1, tzinfo=dt.timezone.utc)
@@ -41,7 +42,7 @@ def test_topics_are_archived_once_and_resumed(spark, tmp_path):
 
     run(spark, streams(), base)
     assert [archived(t).count() for t in topics] == [1, 1]
-    assert archived(topics[0]).columns == schemas.ARCHIVE_SCHEMA.names
+    assert archived(topics[0]).columns == [*schemas.ARCHIVE_SCHEMA.names, archive.ARCHIVE_DATE]
     row = archived(topics[0]).first()
     assert (row["kafka_key"], row["kafka_topic"], row["kafka_offset"]) == ("c1", topics[0], 10)
     assert row[schemas.INGESTED_AT] is not None
@@ -60,7 +61,7 @@ def test_replays_are_dropped_across_runs(spark, tmp_path):
 
     def catch_up():
         events = archive.file_stream(spark, source).selectExpr("cast(key as string) id", "timestamp")
-        clean = archive.deduplicate_replays(events, "id", "timestamp", "1 hour")
+        clean = archive.deduplicate_replays(events, "id", "1 hour")
         archive.start_append(clean, out, checkpoint, catch_up=True).awaitTermination()
         return sorted(r["id"] for r in spark.read.parquet(out).collect())
 
@@ -70,6 +71,41 @@ def test_replays_are_dropped_across_runs(spark, tmp_path):
     assert catch_up() == ["a", "b", "c"]
 
 
+def test_old_events_that_arrive_late_are_kept(spark, tmp_path):
+    """Newer files land before older ones, then one is replayed: every key once."""
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    day = 24 * 60
+    for days in (90, 30, 60, 0, 30):
+        land(spark, source, [(f"{days}-{i}", "", "t", 0, days * 10 + i, days * day) for i in range(5)])
+    events = archive.file_stream(spark, source, files_per_batch=1).selectExpr("cast(key as string) id", "timestamp")
+    clean = archive.deduplicate_replays(events, "id")
+    query = archive.start_append(clean, out, checkpoint, catch_up=True)
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 5
+    rows = [r["id"] for r in spark.read.parquet(out).collect()]
+    assert sorted(rows) == sorted(f"{d}-{i}" for d in (0, 30, 60, 90) for i in range(5))
+
+
+def test_file_stream_takes_files_and_folders_and_refuses_nothing(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for number, path in enumerate((f"{sf_dir}/events.parquet", str(tmp_path / "events.parquet"))):
+        stream = archive.file_stream(spark, path, events.schema)
+        out, checkpoint = str(tmp_path / f"o{number}"), str(tmp_path / f"c{number}")
+        archive.start_append(stream, out, checkpoint, catch_up=True).awaitTermination()
+        assert spark.read.parquet(out).count() == events.count()
+    with pytest.raises(FileNotFoundError):
+        archive.file_stream(spark, str(tmp_path / "missing"))
+
+
+@pytest.mark.parametrize("name", ["archive_stream", "stream_dedup"])
+def test_stream_queries_on_a_folder_table(spark, sf_dir, tmp_path, name):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    found = sorted(map(tuple, registry.QUERIES[name](spark, str(tmp_path)).collect()))
+    assert len(found) == events.count() and found == sorted(map(tuple, registry.QUERIES[name](spark, sf_dir).collect()))
+
+
 def test_failure_of_one_query_stops_the_others():
     class Query:
         def __init__(self, error=None):
