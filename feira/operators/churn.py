@@ -11,11 +11,13 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.functions.dates import date_of_key
+from feira.operators.clean import DEFAULT_REVIEW_SCORE
 from feira.operators.logistics import delay_days
+from feira.operators.star import latest_review_per_order
 from feira.session import materialize
 
 FEATURES = (
@@ -30,7 +32,8 @@ FEATURES = (
 
 
 def _by_person(per_key: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    return per_key.join(dim_customers.select("customer_key", "customer_unique_id"), "customer_key")
+    """Rows of customers that no dimension row knows go to the person NULL."""
+    return per_key.join(dim_customers.select("customer_key", "customer_unique_id"), "customer_key", "left")
 
 
 def rfm(fact: DataFrame, dim_customers: DataFrame, analysis_date: str) -> DataFrame:
@@ -114,7 +117,7 @@ def churn_label(orders: DataFrame, dim_customers: DataFrame, cutoff: str, horizo
         F.count_if((bought >= start) & (bought < end)).alias("after"),
     )
     return (
-        per_account.join(dim_customers.select("customer_id", "customer_unique_id"), "customer_id")
+        per_account.join(dim_customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
         .groupBy("customer_unique_id")
         .agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
         .filter(F.col("before") > 0)
@@ -122,29 +125,106 @@ def churn_label(orders: DataFrame, dim_customers: DataFrame, cutoff: str, horizo
     )
 
 
+def before_cutoff(fact: DataFrame, reviews: DataFrame, cutoff: str) -> DataFrame:
+    """The fact as it was known at ``cutoff``: orders bought before it, deliveries and reviews dated before it.
+
+    The cut-off is compared as an integer date key, so it reaches the scan of the fact.
+    """
+    key = int(cutoff.replace("-", ""))
+    known = latest_review_per_order(
+        reviews.filter(F.col("review_answer_timestamp") < F.lit(cutoff).cast("timestamp"))
+    ).select("order_id", F.col("review_score").alias("known_score"))
+    delivered = F.when(F.col("delivered_date_key") < key, F.col("delivered_date_key"))
+    return (
+        fact.filter(F.col("order_date_key") < key)
+        .withColumn("delivered_date_key", delivered)
+        .join(known, "order_id", "left")
+        .withColumn("review_score", F.coalesce("known_score", F.lit(DEFAULT_REVIEW_SCORE)))
+        .drop("known_score")
+    )
+
+
+def customer_features(
+    fact: DataFrame, payments: DataFrame, dim_customers: DataFrame, analysis_date: str
+) -> DataFrame:
+    """Recency, frequency, money, friction and experience per person in one pass over the fact.
+
+    Items are summed to orders, orders to customers and customers to persons, each on its way to the next key.
+    """
+    per_order = fact.groupBy("customer_key", "order_id").agg(
+        F.max("order_date_key").alias("last_key"),
+        F.sum("item_price").alias("price"),
+        F.sum("freight_value").alias("freight"),
+        F.sum(delay_days()).alias("delay"),
+        F.count(delay_days()).alias("delivered"),
+        F.sum("review_score").alias("score"),
+        F.count("*").alias("items"),
+    )
+    instalments = payments.groupBy("order_id").agg(F.max("payment_installments").alias("instalments"))
+    sums = ("price", "freight", "delay", "delivered", "score", "items")
+    per_key = (
+        per_order.join(instalments, "order_id", "left")
+        .groupBy("customer_key")
+        .agg(
+            F.max("last_key").alias("last_key"),
+            F.count("*").alias("orders"),
+            F.max("instalments").alias("instalments"),
+            *[F.sum(c).alias(c) for c in sums],
+        )
+    )
+    recency = F.datediff(F.lit(analysis_date).cast("date"), date_of_key(F.max("last_key")))
+    return (
+        _by_person(per_key, dim_customers)
+        .groupBy("customer_unique_id")
+        .agg(
+            recency.alias("recency_days"),
+            F.sum("orders").alias("frequency"),
+            F.sum("price").cast("double").alias("monetary"),
+            F.try_divide(F.sum("delay"), F.sum("delivered")).alias("delivery_delay_days"),
+            F.try_divide(F.sum("freight").cast("double"), F.sum("price").cast("double")).alias("freight_ratio"),
+            F.try_divide(F.sum("score"), F.sum("items")).alias("avg_review_score"),
+            F.max("instalments").alias("max_installments"),
+        )
+    )
+
+
 def training_table(
     fact: DataFrame,
     payments: DataFrame,
     orders: DataFrame,
+    reviews: DataFrame,
     dim_customers: DataFrame,
     cutoff: str,
     horizon_days: int = 180,
 ) -> DataFrame:
-    """Features from before the cut-off beside the label from after it."""
-    past = fact.filter(date_of_key("order_date_key") < F.lit(cutoff).cast("date"))
+    """Features from before the cut-off beside the label from after it; people only, not the NULL person."""
+    features = customer_features(before_cutoff(fact, reviews, cutoff), payments, dim_customers, cutoff)
     return (
         churn_label(orders, dim_customers, cutoff, horizon_days)
-        .join(rfm(past, dim_customers, cutoff), "customer_unique_id")
-        .join(friction(past, dim_customers), "customer_unique_id", "left")
-        .join(experience(past, payments, dim_customers), "customer_unique_id", "left")
+        .join(features, "customer_unique_id")
         .fillna(0.0, list(FEATURES))
     )
 
 
 class ChurnModel(NamedTuple):
+    """A model and its figures on the held-back people: area under the precision-recall curve of the loyal class
+    (classes weighted equally, so chance is ``CHANCE``), and the share of loyal people it finds."""
+
     model: PipelineModel
     features: tuple[str, ...]
     pr_auc: float
+    loyal_recall: float
+    degenerate: bool
+
+
+CHANCE = 0.5
+HELD_BACK = 5
+
+
+def is_held_back(seed: int = 7) -> Column:
+    """A fifth of the people, by a hash of their id; the same for every model, and never used to choose one."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("customer_unique_id"))), 1, 8)
+    return F.conv(digits, 16, 10).cast("bigint") % HELD_BACK == 0
 
 
 def _with_weights(table: DataFrame) -> DataFrame:
@@ -163,12 +243,35 @@ def _prepare(features: Sequence[str]) -> list:
     ]
 
 
+def standardised(table: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """The feature vector with mean 0 and deviation 1, as one column per feature."""
+    scaled = Pipeline(stages=_prepare(features)).fit(table).transform(table)
+    values = scaled.select("customer_unique_id", vector_to_array("features").alias("v"))
+    return values.select("customer_unique_id", *[F.col("v")[i].alias(f) for i, f in enumerate(features)])
+
+
 def _pr_auc() -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(
         labelCol="loyal", rawPredictionCol="rawPrediction", metricName="areaUnderPR", weightCol="weight"
     )
 
 
+def _split(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training people and held-back people, each with weights of their own."""
+    used = materialize(_with_weights(table.filter(~is_held_back())), "churn-training")
+    return used, materialize(_with_weights(table.filter(is_held_back())), "churn-test")
+
+
+def _measured(model: PipelineModel, features: tuple[str, ...], test: DataFrame, fold_score: float) -> ChurnModel:
+    scored = model.transform(test)
+    loyal = scored.filter("loyal = 1").agg(F.count("*").alias("n"), F.count_if(F.col("prediction") == 1).alias("found"))
+    n, found = loyal.first()
+    constant = scored.select(vector_to_array("probability")[1].alias("p")).agg(F.max("p") - F.min("p")).first()[0]
+    separates = fold_score > CHANCE and (constant or 0.0) > 0.0
+    auc = _pr_auc().evaluate(scored) if n else 0.0
+    return ChurnModel(model, features, auc, found / n if n else 0.0, not separates)
+
+
 def train_logistic(
     table: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -178,10 +281,15 @@ def train_logistic(
     folds: int = 2,
     seed: int = 7,
 ) -> ChurnModel:
-    """Grid-searched logistic regression on the ``top`` features by standardised coefficient."""
-    weighted = materialize(_with_weights(table), "churn-training")
+    """Grid-searched logistic regression on the ``top`` features by standardised coefficient.
+
+    Features and grid are chosen by folds of the training people; the figures come from the held-back ones. Among grid
+    points whose fold scores tie to three digits the least regularised wins, so a constant model is chosen only if
+    there is no other; ``degenerate`` says that nothing separated better than chance.
+    """
+    used, test = _split(table)
     first = LogisticRegression(labelCol="loyal", weightCol="weight", maxIter=20)
-    screening = Pipeline(stages=[*_prepare(features), first]).fit(weighted)
+    screening = Pipeline(stages=[*_prepare(features), first]).fit(used)
     sizes = [abs(c) for c in screening.stages[-1].coefficients]
     chosen = tuple(f for _, f in sorted(zip(sizes, features), reverse=True)[:top])
     logistic = LogisticRegression(labelCol="loyal", weightCol="weight", maxIter=50, threshold=0.5)
@@ -191,26 +299,30 @@ def train_logistic(
         .addGrid(logistic.elasticNetParam, list(elastic_net_params))
         .build()
     )
+    whole = Pipeline(stages=[*_prepare(chosen), logistic])
     search = CrossValidator(
-        estimator=Pipeline(stages=[*_prepare(chosen), logistic]),
-        estimatorParamMaps=grid,
-        evaluator=_pr_auc(),
-        numFolds=folds,
-        seed=seed,
-        parallelism=2,
-    ).fit(weighted)
-    return ChurnModel(search.bestModel, chosen, float(max(search.avgMetrics)))
+        estimator=whole, estimatorParamMaps=grid, evaluator=_pr_auc(), numFolds=folds, seed=seed, parallelism=2
+    ).fit(used)
+
+    def rank(place: int) -> tuple[float, float, float]:
+        point = grid[place]
+        # A fold score at or below chance is no separation, however it compares with others of that kind.
+        score = max(CHANCE, round(search.avgMetrics[place], 3))
+        return -score, point[logistic.regParam], point[logistic.elasticNetParam]
+
+    best = min(range(len(grid)), key=rank)
+    return _measured(whole.copy(grid[best]).fit(used), chosen, test, search.avgMetrics[best])
 
 
 def train_boosted(
     table: DataFrame, features: Sequence[str] = FEATURES, rounds: int = 10, depth: int = 3, seed: int = 7
 ) -> ChurnModel:
-    """Gradient-boosted trees with class weights; PR-AUC is measured on a fifth held back by a key hash."""
-    weighted = materialize(_with_weights(table), "churn-training")
-    held_back = F.pmod(F.xxhash64("customer_unique_id", F.lit(seed)), F.lit(5)) == 0
+    """Gradient-boosted trees with class weights, measured on the held-back people."""
+    used, test = _split(table)
     trees = GBTClassifier(labelCol="loyal", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=seed)
-    model = Pipeline(stages=[*_prepare(features), trees]).fit(weighted.filter(~held_back))
-    return ChurnModel(model, tuple(features), _pr_auc().evaluate(model.transform(weighted.filter(held_back))))
+    model = Pipeline(stages=[*_prepare(features), trees]).fit(used)
+    found = _measured(model, tuple(features), test, 1.0)
+    return found._replace(degenerate=found.degenerate or found.pr_auc <= CHANCE)
 
 
 def score(table: DataFrame, trained: ChurnModel) -> DataFrame:

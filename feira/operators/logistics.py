@@ -20,6 +20,20 @@ def is_late() -> Column:
     return F.col("delivered_date_key") > F.col("estimated_delivery_date_key")
 
 
+def on_time_orders(orders: DataFrame, imputed_col: str | None = None) -> DataFrame:
+    """Delivered and late orders per year of purchase, one count per order; without filled-in dates if
+    ``imputed_col`` flags them."""
+    day = F.to_date("order_delivered_customer_date")
+    real = F.lit(True) if imputed_col is None else ~F.coalesce(F.col(imputed_col), F.lit(False))
+    delivered = F.count_if(day.isNotNull() & real)
+    late = F.count_if((day > F.to_date("order_estimated_delivery_date")) & real)
+    return orders.groupBy(F.year("order_purchase_timestamp").alias("order_year")).agg(
+        delivered.alias("delivered_orders"),
+        late.alias("late_orders"),
+        F.try_divide(delivered - late, delivered).alias("on_time_rate"),
+    )
+
+
 def on_time_rate(fact: DataFrame) -> DataFrame:
     """Delivered and late fact rows per year of purchase; rows without a delivery are left out of the rate."""
     delivered, late = F.count("delivered_date_key"), F.count_if(is_late())
@@ -38,9 +52,11 @@ def seller_processing(fact: DataFrame, dim_sellers: DataFrame) -> DataFrame:
         (F.sum("processing_time_hours").cast("double") / F.count("*")).alias("avg_hours"),
     )
     medians = discrete_quantile(hours, ["seller_key"], "processing_time_hours", "median_hours")
+    # Rows without a seller form one group of their own.
+    medians = medians.withColumnRenamed("seller_key", "of_seller")
     return (
-        means.join(medians, "seller_key")
-        .join(dim_sellers.select("seller_key", "seller_id"), "seller_key")
+        means.join(medians, F.col("seller_key").eqNullSafe(F.col("of_seller")))
+        .join(dim_sellers.select("seller_key", "seller_id"), "seller_key", "left")
         .select("seller_id", "items", "avg_hours", F.col("median_hours").cast("double").alias("median_hours"))
     )
 
@@ -62,34 +78,41 @@ def zip_coordinates(geolocation: DataFrame) -> DataFrame:
     )
 
 
-def geo_grid(fact: DataFrame, dim_customers: DataFrame, geolocation: DataFrame, digits: int = 1) -> DataFrame:
-    """Buying customers and sold items per grid cell of the customer's coordinate; summed per zip before the lookup."""
-    per_customer = fact.groupBy("customer_key").agg(F.count("*").alias("items"))
+def geo_grid(
+    fact: DataFrame, dim: DataFrame, geolocation: DataFrame, digits: int = 1, party: str = "customer"
+) -> DataFrame:
+    """Buying customers (or selling ``party="seller"``) and sold items per grid cell of their coordinate; summed per
+    zip before the lookup. Parties without a known zip or coordinate form the cell with NULL coordinates."""
+    key = f"{party}_key"
+    per_party = fact.groupBy(key).agg(F.count("*").alias("items"))
+    zips = dim.select(key, to_int(f"{party}_zip_code_prefix").alias("zip"))
     per_zip = (
-        per_customer.join(
-            dim_customers.select("customer_key", to_int("customer_zip_code_prefix").alias("zip")), "customer_key"
-        )
+        per_party.join(zips, key, "left")
         .groupBy("zip")
-        .agg(F.count("*").alias("customers"), F.sum("items").alias("items"))
+        .agg(F.count(key).alias(f"{party}s"), F.sum("items").alias("items"))
     )
     return (
-        per_zip.join(zip_coordinates(geolocation), "zip")
+        per_zip.join(zip_coordinates(geolocation), "zip", "left")
         .groupBy(F.round("lat", digits).alias("cell_lat"), F.round("lng", digits).alias("cell_lng"))
-        .agg(F.sum("customers").alias("customers"), F.sum("items").alias("items"))
+        .agg(F.sum(f"{party}s").alias(f"{party}s"), F.sum("items").alias("items"))
     )
 
 
 def lane_distance(
     fact: DataFrame, dim_sellers: DataFrame, dim_customers: DataFrame, geolocation: DataFrame
 ) -> DataFrame:
-    """Items and great-circle kilometres per pair of seller zip and customer zip."""
+    """Items and great-circle kilometres per pair of seller zip and customer zip that trade (NULL: not known).
+
+    With very many zips that trade this tends to all their pairs; ``state_lane_distance`` stays small.
+    """
     lanes = (
         fact.join(
-            dim_sellers.select("seller_key", to_int("seller_zip_code_prefix").alias("seller_zip")), "seller_key"
+            dim_sellers.select("seller_key", to_int("seller_zip_code_prefix").alias("seller_zip")), "seller_key", "left"
         )
         .join(
             dim_customers.select("customer_key", to_int("customer_zip_code_prefix").alias("customer_zip")),
             "customer_key",
+            "left",
         )
         .groupBy("seller_zip", "customer_zip")
         .agg(F.count("*").alias("items"))
@@ -103,3 +126,19 @@ def lane_distance(
         .join(target, "customer_zip", "left")
         .select("seller_zip", "customer_zip", "items", distance.alias("distance_km"))
     )
+
+
+def state_lane_distance(
+    fact: DataFrame, dim_sellers: DataFrame, dim_customers: DataFrame, geolocation: DataFrame, band_km: int = 500
+) -> DataFrame:
+    """Items per seller state, customer state and distance band (its lower edge; NULL: not known)."""
+    states = [
+        dim.select(to_int(f"{party}_zip_code_prefix").alias(f"{party}_zip"), f"{party}_state")
+        .groupBy(f"{party}_zip")
+        .agg(F.min(f"{party}_state").alias(f"{party}_state"))
+        for party, dim in (("seller", dim_sellers), ("customer", dim_customers))
+    ]
+    lanes = lane_distance(fact, dim_sellers, dim_customers, geolocation)
+    placed = lanes.join(states[0], "seller_zip", "left").join(states[1], "customer_zip", "left")
+    band = (F.floor(F.col("distance_km") / band_km) * band_km).cast("bigint").alias("from_km")
+    return placed.groupBy("seller_state", "customer_state", band).agg(F.sum("items").alias("items"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from feira.functions.dates import month_of_key
 from feira.operators.groups import share_of_total
 from feira.operators.star import role_date
+from feira.schemas import fitted
 
 
 def category_funnel(fact: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def payment_mix(payments: DataFrame) -> DataFrame:
     """Share of payments and of money by payment type, and the average number of instalments."""
     per_type = payments.groupBy("payment_type").agg(
         F.count("*").alias("payments"),
-        F.sum(F.col("payment_value").try_cast("decimal(18,2)")).alias("payment_value"),
+        F.sum(fitted(F.col("payment_value"), "decimal(18,2)", "payment_value")).alias("payment_value"),
         F.avg("payment_installments").alias("avg_installments"),
     )
     return share_of_total(per_type, {"payments": "payment_share", "payment_value": "value_share"})
@@ -133,8 +134,9 @@ def one_time_buyers(orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
         F.count("*").alias("orders")
     )
     per_person = (
-        per_account.join(dim_customers.select("customer_id", "customer_unique_id"), "customer_id")
-        .groupBy("customer_unique_id", "order_year")
+        per_account.join(dim_customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
+        # An account that no customer row knows is a person of its own.
+        .groupBy(F.coalesce("customer_unique_id", F.concat(F.lit("unknown "), "customer_id")), "order_year")
         .agg(F.sum("orders").alias("orders"))
     )
     once = F.count_if(F.col("orders") == 1)
@@ -146,17 +148,20 @@ def one_time_buyers(orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
 
 
 def channel_sellers(
-    fact: DataFrame, leads: DataFrame, dim_sellers: DataFrame, dim_date: DataFrame, year: int, quarter: int
+    fact: DataFrame, leads: DataFrame, dim_sellers: DataFrame, year: int, quarter: int
 ) -> DataFrame:
     """Drill-across: what sellers won by each channel sold in a quarter, and how fast they handed over.
 
-    Each fact is aggregated to the shared seller dimension first, then the two results are joined.
+    Each fact is aggregated to the shared seller dimension first, then the two results are joined. What a seller sold
+    is attributed once, to the channel that won it first (``is_first_channel``). The quarter is a range of date keys,
+    so it reaches the scan of the fact.
     """
-    days = dim_date.filter((F.col("year") == year) & (F.col("quarter") == quarter)).select(
-        F.col("date_key").alias("order_date_key")
+    first_month = 3 * quarter - 2
+    in_quarter = F.col("order_date_key").between(
+        year * 10000 + first_month * 100 + 1, year * 10000 + (first_month + 2) * 100 + 31
     )
     sales = (
-        fact.join(days, "order_date_key", "left_semi")
+        fact.filter(in_quarter)
         .groupBy("seller_key")
         .agg(
             F.sum("item_price").alias("revenue"),
@@ -166,10 +171,27 @@ def channel_sellers(
         )
     )
     won = leads.groupBy("seller_key", "channel").agg(
-        F.count("*").alias("leads"), F.avg("sales_cycle_days").alias("avg_sales_cycle_days")
+        F.count("*").alias("leads"),
+        F.avg("sales_cycle_days").alias("avg_sales_cycle_days"),
+        F.min(F.struct("won_date_key", "lead_id")).alias("first_won"),
+    )
+    first = won.groupBy("seller_key").agg(F.min_by("channel", "first_won").alias("first_channel"))
+    credited = (
+        sales.join(first, "seller_key", "left")
+        .select("seller_key", F.col("first_channel").alias("channel"), "revenue", "avg_processing_hours")
+        .filter("channel is not null")
     )
     return (
-        won.join(sales, "seller_key", "left")
-        .join(dim_sellers.select("seller_key", "seller_id"), "seller_key")
-        .select("channel", "seller_id", "leads", "avg_sales_cycle_days", "revenue", "avg_processing_hours")
+        won.join(credited, ["seller_key", "channel"], "left")
+        .join(first, "seller_key", "left")
+        .join(dim_sellers.select("seller_key", "seller_id"), "seller_key", "left")
+        .select(
+            "channel",
+            "seller_id",
+            "leads",
+            "avg_sales_cycle_days",
+            (F.col("channel") == F.col("first_channel")).alias("is_first_channel"),
+            "revenue",
+            "avg_processing_hours",
+        )
     )

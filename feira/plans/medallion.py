@@ -99,7 +99,7 @@ def clean_layer(lake: Lakehouse) -> None:
         if raw is None:
             return None
         if name == "orders":
-            return clean_orders(raw, lake.archive(), lake.read(RAW, "customers"))
+            return clean_orders(raw, lake.archive(), lake.read(RAW, "customers"), flag_col="is_imputed")
         return clean_reviews(raw) if name == "order_reviews" else clean_table(raw, name)
 
     _write_all(lake, CLEAN, {name: (lambda name=name: build(name)) for name in schemas.RAW_SCHEMAS})

@@ -6,6 +6,7 @@ import re
 
 from feira.functions.dates import FIXED_HOLIDAYS
 from feira.functions.text import ACCENTED_LETTERS, PORTUGUESE_STOPWORDS
+from feira.operators.churn import FEATURES
 from feira.plans import registry as r
 from feira.plans.adapters import TRANSLATIONS
 
@@ -196,6 +197,29 @@ _BLOCKS: dict[str, str] = {
     "per_order": """
         select customer_key, order_id, max(order_date_key) as order_date_key, sum(item_price) as value,
             sum(review_score) as score, count(*) as items from fact group by all""",
+    "labels_after": f"""
+        select customer_unique_id,
+            case when count(*) filter (purchase >= timestamp '{r.CHURN_CUTOFF}'
+                and purchase < timestamp '{r.CHURN_CUTOFF}' + to_days(180)) = 0 then 1 else 0 end as churned
+        from full_orders join customers using (customer_id) group by 1
+        having count(*) filter (purchase < timestamp '{r.CHURN_CUTOFF}') > 0""",
+    "known_scores": f"""
+        select order_id, review_score from (
+            select *, row_number() over (partition by order_id order by answered desc nulls last, review_id) as place
+            from reviews where answered < timestamp '{r.CHURN_CUTOFF}') where place = 1""",
+    "training": f"""
+        select customer_unique_id, any_value(churned) as churned,
+            cast(date '{r.CHURN_CUTOFF}' - {_key_date('max(order_date_key)')} as integer) as recency_days,
+            count(distinct order_id) as frequency, cast(sum(item_price) as double) as monetary,
+            coalesce(sum(delay) / count(delay), 0) as delivery_delay_days,
+            coalesce(cast(sum(freight_value) as double) / cast(sum(item_price) as double), 0) as freight_ratio,
+            sum(coalesce(k.review_score, 3)) / count(*) as avg_review_score,
+            coalesce(max(payment_installments), 0) as max_installments
+        from (select *, case when delivered_date_key < {r.CHURN_CUTOFF.replace('-', '')} then delay_days end as delay
+                from delays where order_date_key < {r.CHURN_CUTOFF.replace('-', '')}) f
+            join dim_customers using (customer_key) join labels_after using (customer_unique_id)
+            left join known_scores k using (order_id) left join payments using (order_id)
+        group by 1""",
     "version_two": """
         select order_id, case when order_status = 'shipped' then 'delivered' else order_status end as order_status
         from ranked_orders where order_status <> 'canceled'""",
@@ -318,10 +342,19 @@ def statements() -> dict[str, str]:
             from raw_orders order by order_id limit 100 offset 200""",
         "lookup_order": f"select {_ORDER_COLUMNS} from raw_orders where order_id = '{r.LOOKUP_VALUE}'",
         "orders_in_range": f"""
+            select {_ORDER_COLUMNS} from raw_orders
+            where order_purchase_timestamp::timestamp between timestamp '{r.RANGE[0]}' and timestamp '{r.RANGE[1]}'""",
+        "table_schemas": """
+            select table_name, cast(column_index - 1 as integer) as position, column_name,
+                case data_type when 'BIGINT' then 'bigint' when 'VARCHAR' then 'string' when 'DOUBLE' then 'double'
+                    when 'INTEGER' then 'int' when 'DATE' then 'date'
+                    when 'TIMESTAMP WITH TIME ZONE' then 'timestamp' else 'timestamp_ntz' end as type
+            from duckdb_columns() where table_name in ('orders', 'events', 'customer')""",
+        "orders_in_range_page": f"""
             select {_ORDER_COLUMNS}, count(*) over () as total_rows
             from raw_orders
             where order_purchase_timestamp::timestamp between timestamp '{r.RANGE[0]}' and timestamp '{r.RANGE[1]}'
-            order by order_purchase_timestamp, order_id limit 5000""",
+            order by order_purchase_timestamp, order_id limit 50 offset 50""",
         "csv_roundtrip": "select * from raw_products",
         "raw_ingest": f"select {_ORDER_COLUMNS}, true as has_time from raw_orders",
         "split_batch": "select rank, order_id, order_purchase_timestamp from head_orders",
@@ -502,22 +535,43 @@ def statements() -> dict[str, str]:
         "geo_grid": """
             select round(lat, 1) as cell_lat, round(lng, 1) as cell_lng, count(distinct customer_key) as customers,
                 count(*) as items
-            from fact join dim_customers using (customer_key)
-                join geolocation on zip = cast(customer_zip_code_prefix as integer) group by 1, 2""",
+            from fact left join dim_customers using (customer_key)
+                left join geolocation on zip = cast(customer_zip_code_prefix as integer) group by 1, 2""",
+        "geo_grid_sellers": """
+            select round(lat, 1) as cell_lat, round(lng, 1) as cell_lng, count(distinct seller_key) as sellers,
+                count(*) as items
+            from fact left join dim_sellers using (seller_key)
+                left join geolocation on zip = cast(seller_zip_code_prefix as integer) group by 1, 2""",
+        "state_lanes": """
+            select seller_state, customer_state, cast(floor(2 * 6371.0 * asin(sqrt(
+                    power(sin(radians(c.lat - s.lat) / 2), 2)
+                    + cos(radians(s.lat)) * cos(radians(c.lat)) * power(sin(radians(c.lng - s.lng) / 2), 2))) / 500)
+                    * 500 as bigint) as from_km, count(*) as items
+            from fact left join dim_sellers using (seller_key) left join dim_customers using (customer_key)
+                left join geolocation s on s.zip = cast(seller_zip_code_prefix as integer)
+                left join geolocation c on c.zip = cast(customer_zip_code_prefix as integer) group by 1, 2, 3""",
+        "on_time_orders": """
+            select cast(year(purchase) as integer) as order_year, with_imputed,
+                count(*) filter (counted) as delivered_orders,
+                count(*) filter (counted and delivered::date > estimated::date) as late_orders,
+                count(*) filter (counted and delivered::date <= estimated::date)
+                    / nullif(count(*) filter (counted), 0) as on_time_rate
+            from (select *, delivered is not null and (with_imputed or not is_imputed) as counted
+                from full_orders, (values (true), (false)) as m(with_imputed)) group by 1, 2""",
         "lane_distance": """
             select s.zip as seller_zip, c.zip as customer_zip, count(*) as items,
                 cast(floor(any_value(2 * 6371.0 * asin(sqrt(
                     power(sin(radians(c.lat - s.lat) / 2), 2)
                     + cos(radians(s.lat)) * cos(radians(c.lat)) * power(sin(radians(c.lng - s.lng) / 2), 2)))))
                     as bigint) as distance_km
-            from fact join dim_sellers using (seller_key) join dim_customers using (customer_key)
-                join geolocation s on s.zip = cast(seller_zip_code_prefix as integer)
-                join geolocation c on c.zip = cast(customer_zip_code_prefix as integer) group by 1, 2""",
+            from fact left join dim_sellers using (seller_key) left join dim_customers using (customer_key)
+                left join geolocation s on s.zip = cast(seller_zip_code_prefix as integer)
+                left join geolocation c on c.zip = cast(customer_zip_code_prefix as integer) group by 1, 2""",
         "seller_processing": """
             select seller_id, count(*) as items,
                 cast(sum(processing_time_hours) as double) / count(*) as avg_hours,
                 cast(quantile_disc(processing_time_hours, 0.5) as double) as median_hours
-            from fact join dim_sellers using (seller_key) where processing_time_hours is not null group by 1""",
+            from fact left join dim_sellers using (seller_key) where processing_time_hours is not null group by 1""",
         "lane_shipping": """
             select seller_state, customer_state, count(*) as items, avg(shipping_time_days) as avg_shipping_days
             from fact left join dim_sellers using (seller_key) left join dim_customers using (customer_key)
@@ -551,7 +605,7 @@ def statements() -> dict[str, str]:
             select order_year, count(*) as buyers, count(*) filter (n = 1) as one_time_buyers,
                 count(*) filter (n = 1) / count(*) as one_time_ratio
             from (select customer_unique_id, cast(year(purchase) as integer) as order_year, count(*) as n
-                from full_orders join customers using (customer_id) group by 1, 2) group by 1""",
+                from full_orders left join customers using (customer_id) group by 1, 2) group by 1""",
         "ytd_mom": """
             select m.month, cast(m.revenue as double) as revenue,
                 cast(sum(m.revenue) over (partition by m.year order by m.month) as double) as revenue_ytd,
@@ -572,8 +626,9 @@ def statements() -> dict[str, str]:
             from fact join dim_customers using (customer_key) group by rollup (customer_state, customer_city)""",
         "channel_seller": f"""
             select channel, seller_id, count(*) as leads, avg(won_date - first_contact_date) as avg_sales_cycle_days,
-                cast(any_value(revenue) as double) as revenue, any_value(hours) as avg_processing_hours
-            from leads join dim_sellers using (seller_id) left join (
+                true as is_first_channel, cast(any_value(revenue) as double) as revenue,
+                any_value(hours) as avg_processing_hours
+            from leads left join dim_sellers using (seller_id) left join (
                 select seller_key, sum(item_price) as revenue,
                     cast(sum(processing_time_hours) as double) / count(processing_time_hours) as hours
                 from fact where order_date_key // 10000 = {year}
@@ -601,5 +656,19 @@ def statements() -> dict[str, str]:
                     and purchase < timestamp '{r.CHURN_CUTOFF}' + to_days(180)) = 0 then 1 else 0 end as churned
             from full_orders join customers using (customer_id) group by 1
             having count(*) filter (purchase < timestamp '{r.CHURN_CUTOFF}') > 0""",
+        "churn_features": "select * from training",
+        "churn_features_scaled": f"""
+            select customer_unique_id, {', '.join(
+                f"round(coalesce(({f} - avg({f}) over ()) / nullif(stddev_samp({f}) over (), 0), 0), 4) + 0.0 as {f}"
+                for f in FEATURES)}
+            from training""",
+        "churn_scores": "select customer_unique_id, true as is_probability from training",
+        "churn_scores_boosted": "select customer_unique_id, true as is_probability from training",
+        "churn_alerts": "select customer_unique_id, true as follows_rule from training",
+        "churn_models": """
+            select model, cast(features as integer) as features, count(*) filter (not held) as training_people,
+                count(*) filter (held) as test_people, count(*) filter (held and churned = 0) as loyal_test_people
+            from (select *, ('0x' || substr(md5('7:' || customer_unique_id), 1, 8))::bigint % 5 = 0 as held
+                from training), (values ('logistic', 4), ('boosted', 7)) as m(model, features) group by 1, 2""",
     }
     return {name: _statement(body) for name, body in bodies.items()}

@@ -159,9 +159,23 @@ def lookup_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.lookup({"orders": adapters.raw_orders(spark, sf_dir)}, "orders", LOOKUP_VALUE)
 
 
-def orders_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _written_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed orders as a written table, so that bounds reach its scan."""
     typed = apply_table_casts(adapters.raw_orders(spark, sf_dir), "orders")
-    return plain(readers.time_range(typed, "order_purchase_timestamp", *RANGE, page=1, size=5000))
+    return _once(spark, sf_dir, "typed_orders", lambda: materialize(typed, "typed-orders"))
+
+
+def orders_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(readers.in_range(_written_orders(spark, sf_dir), "order_purchase_timestamp", *RANGE))
+
+
+def orders_in_range_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(readers.time_range(_written_orders(spark, sf_dir), "order_purchase_timestamp", *RANGE, page=2, size=50))
+
+
+def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readers.schema_rows({t: adapters.load(spark, sf_dir, t) for t in ("orders", "events", "customer")})
+    return spark.createDataFrame(rows, "table_name string, position int, column_name string, type string")
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,6 +500,7 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _gold(spark, sf_dir, "fct_order_items"),
                 _clean(spark, sf_dir, "order_payments"),
                 _clean(spark, sf_dir, "orders"),
+                _clean(spark, sf_dir, "order_reviews"),
                 _gold(spark, sf_dir, "dim_customers"),
                 CHURN_CUTOFF,
             ),
@@ -494,6 +509,9 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_KINDS = ("logistic", "boosted")
+
+
 def _model(spark: SparkSession, sf_dir: str, kind: str) -> churn.ChurnModel:
     train = {"logistic": churn.train_logistic, "boosted": churn.train_boosted}[kind]
     return _once(spark, sf_dir, kind, lambda: train(_training(spark, sf_dir)))
@@ -507,25 +525,81 @@ def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _training(spark, sf_dir)
 
 
+def churn_features_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scaled = churn.standardised(_training(spark, sf_dir))
+    return scaled.select("customer_unique_id", *[(F.round(f, 4) + 0.0).alias(f) for f in churn.FEATURES])
+
+
+def _checked_scores(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Every person once, and whether the score is a probability."""
+    p = F.col("churn_probability")
+    return _churn_scores(spark, sf_dir, kind).select("customer_unique_id", p.between(0.0, 1.0).alias("is_probability"))
+
+
 def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _churn_scores(spark, sf_dir)
+    return _checked_scores(spark, sf_dir, "logistic")
 
 
 def churn_scores_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked_scores(spark, sf_dir, "boosted")
+
+
+def churn_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _churn_scores(spark, sf_dir)
+
+
+def churn_probabilities_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _churn_scores(spark, sf_dir, "boosted")
 
 
 def churn_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features and area under the precision-recall curve (loyal customers are the positive class) per model."""
-    found = [(kind, _model(spark, sf_dir, kind)) for kind in ("logistic", "boosted")]
-    rows = [(kind, ", ".join(model.features), model.pr_auc) for kind, model in found]
-    return spark.createDataFrame(rows, "model string, features string, pr_auc double")
+    """People each model was trained and measured on; both share the held-back people."""
+    table = _training(spark, sf_dir).withColumn("held", churn.is_held_back())
+    counts = table.agg(
+        F.count_if(~F.col("held")).alias("training_people"),
+        F.count_if("held").alias("test_people"),
+        F.count_if(F.col("held") & (F.col("churned") == 0)).alias("loyal_test_people"),
+    )
+    kinds = F.array(
+        *[
+            F.struct(F.lit(k).alias("model"), F.lit(len(_model(spark, sf_dir, k).features)).alias("features"))
+            for k in _KINDS
+        ]
+    )
+    return counts.select(F.inline(kinds), *counts.columns)
+
+
+def churn_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per model: features, area under the precision-recall curve and share of loyal people found, both on held-back
+    people, and whether the model separates at all."""
+    found = [(kind, _model(spark, sf_dir, kind)) for kind in _KINDS]
+    rows = [(k, ", ".join(m.features), m.pr_auc, churn.CHANCE, m.loyal_recall, m.degenerate) for k, m in found]
+    return spark.createDataFrame(
+        rows, "model string, features string, pr_auc double, chance double, loyal_recall double, degenerate boolean"
+    )
 
 
 def churn_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every person, and whether the alert list has exactly those above the threshold."""
+    scores = materialize(_churn_scores(spark, sf_dir), "churn-scores")
+    listed = churn.alerts(scores).select("customer_unique_id", F.lit(True).alias("listed"))
+    above = F.col("churn_probability") > 0.5
+    return scores.join(listed, "customer_unique_id", "left").select(
+        "customer_unique_id", (F.coalesce("listed", F.lit(False)) == above).alias("follows_rule")
+    )
+
+
+def churn_alert_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return churn.alerts(_churn_scores(spark, sf_dir))
 
 
+def on_time_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On-time rate in orders, with and without filled-in delivery dates."""
+    orders = _clean(spark, sf_dir, "orders")
+    every = logistics.on_time_orders(orders).withColumn("with_imputed", F.lit(True))
+    return every.unionByName(logistics.on_time_orders(orders, "is_imputed").withColumn("with_imputed", F.lit(False)))
+
+
 FACT = "fct_order_items"
 
 QUERIES: dict[str, Query] = {
@@ -533,6 +607,8 @@ QUERIES: dict[str, Query] = {
     "page_orders": page_orders,
     "lookup_order": lookup_order,
     "orders_in_range": orders_in_range,
+    "orders_in_range_page": orders_in_range_page,
+    "table_schemas": table_schemas,
     "csv_roundtrip": csv_roundtrip,
     "raw_ingest": raw_ingest,
     "split_batch": split_batch,
@@ -583,7 +659,12 @@ QUERIES: dict[str, Query] = {
     "payment_mix": _on_star(sales.payment_mix, "clean:order_payments"),
     "state_share": _on_star(sales.state_share, FACT, "dim_customers"),
     "geo_grid": _on_star(logistics.geo_grid, FACT, "dim_customers", "clean:geolocation"),
+    "geo_grid_sellers": _on_star(logistics.geo_grid, FACT, "dim_sellers", "clean:geolocation", party="seller"),
     "lane_distance": lane_distance,
+    "state_lanes": _on_star(
+        logistics.state_lane_distance, FACT, "dim_sellers", "dim_customers", "clean:geolocation"
+    ),
+    "on_time_orders": on_time_orders,
     "seller_processing": _on_star(logistics.seller_processing, FACT, "dim_sellers"),
     "lane_shipping": _on_star(logistics.lane_shipping, FACT, "dim_sellers", "dim_customers"),
     "on_time_rate": _on_star(logistics.on_time_rate, FACT),
@@ -601,7 +682,6 @@ QUERIES: dict[str, Query] = {
         FACT,
         "fct_marketing_leads",
         "dim_sellers",
-        "dim_date",
         year=CHANNEL_QUARTER[0],
         quarter=CHANNEL_QUARTER[1],
     ),
@@ -611,8 +691,13 @@ QUERIES: dict[str, Query] = {
     "experience": _on_star(churn.experience, FACT, "clean:order_payments", "dim_customers"),
     "churn_label": _on_star(churn.churn_label, "clean:orders", "dim_customers", cutoff=CHURN_CUTOFF),
     "churn_features": churn_features,
+    "churn_features_scaled": churn_features_scaled,
     "churn_scores": churn_scores,
     "churn_scores_boosted": churn_scores_boosted,
+    "churn_probabilities": churn_probabilities,
+    "churn_probabilities_boosted": churn_probabilities_boosted,
     "churn_alerts": churn_alerts,
+    "churn_alert_list": churn_alert_list,
     "churn_models": churn_models,
+    "churn_report": churn_report,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,7 +182,21 @@ FACT_FOREIGN_KEYS: dict[str, tuple[str, str]] = {
 }
 
 
+def fitted(value: Column, data_type: T.DataType | str, what: str) -> Column:
+    """``value`` in ``data_type``; a value that does not fit stops the job with a message that names ``what``."""
+    cast = value.try_cast(data_type)
+    name = data_type if isinstance(data_type, str) else data_type.simpleString()
+    wrong = F.raise_error(F.concat(F.lit(f"{what}: does not fit {name}: "), value.cast("string"))).cast(data_type)
+    return F.when(value.isNotNull() & cast.isNull(), wrong).otherwise(cast)
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select and cast ``df`` to the declared curated schema; values that do not fit become NULL."""
+    """Select and cast ``df`` to the declared curated schema; a value that does not fit fails the build."""
+    given = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(field: T.StructField) -> Column:
+        same = given.get(field.name) == field.dataType
+        return F.col(field.name) if same else fitted(F.col(field.name), field.dataType, f"{table}.{field.name}")
+
     schema = T.StructType.fromDDL(GOLD_SCHEMAS[table])
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[column(f).alias(f.name) for f in schema.fields])

@@ -20,6 +20,8 @@ _RUNTIME_SETTINGS = {
     # A hot join key is split at run time even when that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A page so deep that its rows would not fit a task's heap of best rows is sorted through files instead.
+    "spark.sql.execution.topKSortFallbackThreshold": "1000000",
     # Streaming state lives on local disk with checkpoints, not in executor memory.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

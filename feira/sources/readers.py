@@ -11,19 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira import schemas
-from feira.operators.keys import global_rank
 
 MAX_PAGE_ROWS = 10_000
-# Up to this many rows a page is a top-k over the tasks' own best rows; deeper pages are cut from global positions.
-SHALLOW_ROWS = 100_000
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True) -> DataFrame:
-    """Header CSV as text columns: no inference, so zip codes keep their zeros. Byte-order mark, quoted commas,
-    doubled quotes and line breaks inside quotes are understood. Columns are matched by position.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False) -> DataFrame:
+    """Header CSV as text columns: no inference, so zip codes keep their zeros. Byte-order mark, quoted commas and
+    doubled quotes are understood. Columns are matched by position.
 
-    With ``line_breaks`` a file is read by one task, because a break inside quotes hides where rows start; set it to
-    False for large files that are known to hold one row per line, and they are split.
+    A file holds one row per line and is split over tasks. ``line_breaks=True`` is for files with line breaks inside
+    quotes: such a break hides where rows start, so each file is then read by one task.
     """
     return (
         spark.read.schema(schema)
@@ -78,15 +75,9 @@ def _check_page(page: int, size: int) -> None:
         raise ValueError(f"page must be >= 1 and size in 1..{MAX_PAGE_ROWS}, got page={page} size={size}")
 
 
-def _slice(
-    df: DataFrame, order_by: list[str | Column], page: int, size: int, shallow_rows: int = SHALLOW_ROWS
-) -> DataFrame:
-    start = (page - 1) * size
-    if start + size <= shallow_rows:
-        return df.orderBy(*order_by).offset(start).limit(size)
-    ranked = global_rank(df, order_by, "__rank").df
-    wanted = ranked.filter(F.col("__rank").between(start + 1, start + size))
-    return wanted.orderBy("__rank").drop("__rank")
+def _slice(df: DataFrame, order_by: list[str | Column], page: int, size: int) -> DataFrame:
+    """One plan for all pages: the tasks' own best rows. ``page_after`` reads on from a key without skipping rows."""
+    return df.orderBy(*order_by).offset((page - 1) * size).limit(size)
 
 
 def page(df: DataFrame, key: str, page: int = 1, size: int = 100) -> DataFrame:
@@ -104,20 +95,13 @@ def page_after(df: DataFrame, key: str, last_key: str | None, size: int = 100) -
     return rest.orderBy(key).limit(size)
 
 
-def time_range(
-    df: DataFrame,
-    time_col: str,
-    start: str | None = None,
-    end: str | None = None,
-    page: int = 1,
-    size: int = 100,
-    end_inclusive_day: bool = False,
+def in_range(
+    df: DataFrame, time_col: str, start: str | None = None, end: str | None = None, end_inclusive_day: bool = False
 ) -> DataFrame:
-    """Rows with ``start <= time <= end`` in time order, paged, with the number of rows in the range.
+    """Rows with ``start <= time <= end``, whole; both bounds are literals that reach the scan.
 
     ``end_inclusive_day`` counts the whole day of ``end`` in.
     """
-    _check_page(page, size)
     chosen = df
     if start is not None:
         chosen = chosen.filter(F.col(time_col) >= F.lit(start).cast("timestamp"))
@@ -127,6 +111,21 @@ def time_range(
             chosen = chosen.filter(F.col(time_col) < F.date_add(F.to_date(bound), 1).cast("timestamp"))
         else:
             chosen = chosen.filter(F.col(time_col) <= bound)
+    return chosen
+
+
+def time_range(
+    df: DataFrame,
+    time_col: str,
+    start: str | None = None,
+    end: str | None = None,
+    page: int = 1,
+    size: int = 100,
+    end_inclusive_day: bool = False,
+) -> DataFrame:
+    """One page of ``in_range`` in time order, with the number of rows in the range."""
+    _check_page(page, size)
+    chosen = in_range(df, time_col, start, end, end_inclusive_day)
     total = chosen.agg(F.count("*").alias("n")).scalar()
     others = [c for c in df.columns if c != time_col]
     return _slice(chosen, [time_col, *others], page, size).withColumn("total_rows", total)
@@ -153,3 +152,12 @@ def catalog(tables: Mapping[str, DataFrame]) -> DataFrame:
 def empty_like(df: DataFrame) -> DataFrame:
     """The schema of a table without reading a row."""
     return df.limit(0)
+
+
+def schema_rows(tables: Mapping[str, DataFrame]) -> list[tuple[str, int, str, str]]:
+    """(table, position, column, type) of every column of the tables, without reading a row."""
+    return [
+        (name, place, field.name, field.dataType.simpleString())
+        for name, df in sorted(tables.items())
+        for place, field in enumerate(empty_like(df).schema.fields)
+    ]

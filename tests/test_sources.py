@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import pytest
+from conftest import plan_of
 
 from feira import schemas
 from feira.sources import readers, sinks
@@ -12,7 +13,7 @@ def test_csv_with_mark_quotes_and_line_breaks(spark, tmp_path):
     path = tmp_path / "reviews.csv"
     head = ",".join(schemas.RAW_SCHEMAS["order_reviews"].names)
     path.write_bytes(("﻿" + head + '\nr1,o1,5,,"a, ""x""\nb",,\n').encode())
-    row = readers.read_csv(spark, str(path), schemas.RAW_SCHEMAS["order_reviews"]).collect()
+    row = readers.read_csv(spark, str(path), schemas.RAW_SCHEMAS["order_reviews"], line_breaks=True).collect()
     assert len(row) == 1 and row[0]["review_id"] == "r1"
     assert row[0]["review_comment_message"] == 'a, "x"\nb' and row[0]["review_comment_title"] is None
 
@@ -54,10 +55,12 @@ def test_pages(spark, numbers):
             readers.page(numbers, "id", page, size)
 
 
-def test_deep_pages_equal_shallow_ones(numbers):
-    for page in (1, 2, 3, 4):
-        deep = readers._slice(numbers, ["id"], page, 10, shallow_rows=0).collect()
-        assert [r["id"] for r in deep] == [r["id"] for r in readers.page(numbers, "id", page, 10).collect()]
+def test_pages_have_one_plan_and_run_no_job(spark):
+    wide = spark.range(300_000)
+    deep = readers.page(wide, "id", 29_000, 10)
+    assert [r["id"] for r in deep.collect()] == list(range(289_990, 290_000))
+    kinds = [plan_of(readers._slice(wide, ["id"], n, 10)).count("TakeOrderedAndProject") for n in (1, 29_000)]
+    assert kinds[0] == kinds[1] > 0
 
 
 def test_keyset_pages(numbers):
