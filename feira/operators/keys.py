@@ -24,6 +24,7 @@ class Ranked(NamedTuple):
 def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str, unique: bool = False) -> Ranked:
     """Number all rows 1..n in ``order_by`` order.
 
+    The input is evaluated once and written; sampling and sorting read that copy, the sample only its sort columns.
     A range exchange sorts the rows into ordered slices (Spark samples the whole sort tuple, so a leading value that
     holds a third of the rows is still split by the columns behind it). Slice number and place in the slice are
     written once, which also freezes the slice bounds against recomputation; the rank is then the place plus the
@@ -31,11 +32,11 @@ def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str, uniq
 
     Rows that tie on the whole ``order_by`` are told apart by an arrival number that is written with them first, so
     even copies that make up a third of the table are split over slices, and a retried task numbers them as before.
-    ``unique=True`` says that there are no ties and saves that write.
+    ``unique=True`` says that there are no ties and saves that number.
     """
     spark, keys, columns = df.sparkSession, list(order_by), df.columns
+    df = materialize(df if unique else df.withColumn(_ARRIVAL, F.monotonically_increasing_id()), "arrived")
     if not unique:
-        df = materialize(df.withColumn(_ARRIVAL, F.monotonically_increasing_id()), "arrived")
         keys.append(_ARRIVAL)
     placed = df.orderBy(*keys).select(
         *columns,
@@ -84,7 +85,12 @@ def chronological_split(
 
 
 def with_previous(
-    df: DataFrame, order_by: list[str | Column], value_col: str, previous_col: str, block_rows: int = 1_000_000
+    df: DataFrame,
+    order_by: list[str | Column],
+    value_col: str,
+    previous_col: str,
+    block_rows: int = 1_000_000,
+    unique: bool = False,
 ) -> DataFrame:
     """Value of the row before each row in the global order (NULL for the first).
 
@@ -92,7 +98,7 @@ def with_previous(
     window per block sees every neighbour and no block is larger than ``block_rows + 1``.
     """
     rank, block, carried = "__rank", "__block", "__carried"
-    ranked = global_rank(df, order_by, rank).df.withColumn(
+    ranked = global_rank(df, order_by, rank, unique).df.withColumn(
         block, F.floor((F.col(rank) - 1) / block_rows).cast("bigint")
     )
     last_of_block = F.col(rank) % block_rows == 0

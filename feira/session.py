@@ -30,6 +30,8 @@ _RUNTIME_SETTINGS = {
 
 _local_dirs: dict[str, str] = {}
 _scope = threading.local()
+# Copies made outside any scope, by application.
+_unowned: dict[str, list[str]] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -83,12 +85,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     paths = getattr(_scope, "paths", None)
-    if paths is not None:
-        paths.append(path)
+    (_unowned.setdefault(spark.sparkContext.applicationId, []) if paths is None else paths).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_scratch(spark: SparkSession) -> int:
+    """Delete what this application has materialized outside any ``scratch_scope``; returns the number of copies.
+
+    To be called when the results that were built from them have been written, at the latest before the session stops.
+    """
+    paths = _unowned.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete what this thread materializes inside the block at its end, when the result has been written."""

@@ -1,8 +1,10 @@
 """Versioned tables: immutable Parquet data directories plus one history row per commit.
 
-A commit writes its data first and its history row last, so readers only ever see finished versions. Each history row
-lists the data directories that make up the version, which makes appends and restores free of copying. One writer per
-table is assumed; a second one that races for the same version number fails instead of overwriting.
+A commit writes its data first and its history row last, so readers only ever see finished versions. A history row
+says which data directories make up the version, which makes appends and restores free of copying: as a full list, or
+as a base version with a full list and what was added since. A version is found by the name of its row's folder, so
+whatever the number of commits, reading a table reads one or two history rows. One writer per table is assumed; a
+second one that races for the same version number fails instead of overwriting.
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ import datetime as dt
 import json
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -20,8 +21,13 @@ from feira.sources.sinks import written_rows
 
 HISTORY_SCHEMA = (
     "version bigint, timestamp timestamp, operation string, parameters map<string,string>, rows bigint, "
-    "table_schema string, data_versions array<bigint>"
+    "table_schema string, data_versions array<bigint>, base bigint, added array<bigint>"
 )
+#: Appends that a history row may list on top of its base before a row gets a full list again.
+LONGEST_CHANGE = 64
+
+
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
 class Commit(NamedTuple):
@@ -32,6 +38,8 @@ class Commit(NamedTuple):
     rows: int
     table_schema: str
     data_versions: list[int]
+    base: int | None  # None: the row has the full list
+    added: list[int]
 
 
 class SnapshotTable:
@@ -44,24 +52,23 @@ class SnapshotTable:
         return self._log().select("version", "timestamp", "operation", "parameters", "rows").orderBy(F.desc("version"))
 
     def exists(self) -> bool:
-        return bool(self._commits())
+        return bool(self._versions())
 
     def latest_version(self) -> int:
         return self._latest().version
 
     def overwrite(self, df: DataFrame, operation: str = "WRITE", **parameters: str) -> int:
         """Replace the table, schema included; returns the new version."""
-        return self._write(df, operation, {"mode": "Overwrite", **parameters}, keep=[])
+        return self._write(df, operation, {"mode": "Overwrite", **parameters}, keep=None)
 
     def append(self, df: DataFrame, operation: str = "WRITE", **parameters: str) -> int:
         """Add rows; only the new rows are written."""
-        commits = self._commits()
-        keep = commits[-1].data_versions if commits else []
-        if commits:
-            known = self._schema_of(commits[-1])
+        last = self._last()
+        if last:
+            known = self._schema_of(last)
             if [(f.name, f.dataType) for f in known] != [(f.name, f.dataType) for f in df.schema]:
                 raise ValueError("appended rows must have the table's schema")
-        return self._write(df, operation, {"mode": "Append", **parameters}, keep=keep)
+        return self._write(df, operation, {"mode": "Append", **parameters}, keep=last)
 
     def restore(self, version: int) -> int:
         """Make an older version current again as a new commit; no data moves."""
@@ -81,17 +88,20 @@ class SnapshotTable:
         return self._scan(self._latest())
 
     def read_if_exists(self) -> DataFrame | None:
-        commits = self._commits()
-        return self._scan(commits[-1]) if commits else None
+        last = self._last()
+        return self._scan(last) if last else None
 
     def version_as_of(self, as_of: dt.datetime | str) -> int:
         moment = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
         if moment.tzinfo is None:
             moment = moment.replace(tzinfo=dt.timezone.utc)
-        known = [c.version for c in self._commits() if c.timestamp <= moment]
-        if not known:
+        micros = round((moment - _EPOCH) / dt.timedelta(microseconds=1))
+        known = None
+        if self.exists():
+            known = self._log().filter(F.unix_micros("timestamp") <= micros).agg(F.max("version")).first()[0]
+        if known is None:
             raise ValueError(f"no version of {self.path} at or before {as_of}")
-        return known[-1]
+        return known
 
     def added_since(self, version: int) -> DataFrame:
         """Rows committed after ``version``: the appended data alone, or a multiset difference after a rewrite."""
@@ -127,21 +137,38 @@ class SnapshotTable:
         )
         return left.join(right, key, "full_outer").select(key, change.alias("change")).filter("change is not null")
 
-    def _write(self, df: DataFrame, operation: str, parameters: dict[str, str], keep: list[int]) -> int:
-        commits = self._commits()
-        version = commits[-1].version + 1 if commits else 0
+    def _write(self, df: DataFrame, operation: str, parameters: dict[str, str], keep: Commit | None) -> int:
+        versions = self._versions()
+        version = versions[-1] + 1 if versions else 0
         # A directory without a history row is left over from a commit that never finished.
         df.write.mode("overwrite").parquet(self._data_path(version))
-        written = written_rows(self.spark, self._data_path(version), df.schema)
-        rows = written + (commits[-1].rows if keep else 0)
-        self._publish(version, operation, parameters, rows, df.schema.json(), [*keep, version])
+        rows = written_rows(self.spark, self._data_path(version), df.schema) + (keep.rows if keep else 0)
+        schema = df.schema.json()
+        if keep is None or len(keep.added) >= LONGEST_CHANGE:
+            self._publish(version, operation, parameters, rows, schema, [*(keep.data_versions if keep else []), version])
+        else:
+            base = keep.version if keep.base is None else keep.base
+            self._publish(version, operation, parameters, rows, schema, None, base, [*keep.added, version])
         return version
 
     def _publish(
-        self, version: int, operation: str, parameters: dict[str, str], rows: int, schema: str, data: list[int]
+        self,
+        version: int,
+        operation: str,
+        parameters: dict[str, str],
+        rows: int,
+        schema: str,
+        data: list[int] | None,
+        base: int | None = None,
+        added: list[int] | None = None,
     ) -> None:
         now = dt.datetime.now(dt.timezone.utc)
         settings = [F.lit(x) for pair in parameters.items() for x in pair]
+
+        def numbers(values: list[int] | None):
+            found = F.lit(None) if values is None else F.array(*[F.lit(v) for v in values])
+            return found.cast("array<bigint>")
+
         row = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.lit(now.isoformat()).cast("timestamp").alias("timestamp"),
@@ -149,46 +176,50 @@ class SnapshotTable:
             F.create_map(*settings).alias("parameters"),
             F.lit(rows).cast("bigint").alias("rows"),
             F.lit(schema).alias("table_schema"),
-            F.array(*[F.lit(v) for v in data]).cast("array<bigint>").alias("data_versions"),
+            numbers(data).alias("data_versions"),
+            F.lit(base).cast("bigint").alias("base"),
+            numbers(added).alias("added"),
         )
-        row.write.mode("errorifexists").json(f"{self.path}/history/{version:020d}")
+        row.write.mode("errorifexists").json(self._row_path(version))
 
     def _log(self) -> DataFrame:
         return self.spark.read.schema(HISTORY_SCHEMA).json(f"{self.path}/history/*")
 
-    def _commits(self) -> list[Commit]:
-        """History rows, oldest first: one per commit, independent of the table's size."""
-        try:
-            rows = self._log().withColumn("timestamp", F.unix_micros("timestamp")).collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
-        return [
-            Commit(
-                r["version"],
-                epoch + dt.timedelta(microseconds=r["timestamp"]),
-                r["operation"],
-                r["parameters"],
-                r["rows"],
-                r["table_schema"],
-                r["data_versions"],
-            )
-            for r in sorted(rows, key=lambda r: r["version"])
-        ]
+    def _row_path(self, version: int) -> str:
+        return f"{self.path}/history/{version:020d}"
+
+    def _versions(self) -> list[int]:
+        """Numbers of the finished commits, oldest first, from the names of their folders."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        pattern = hadoop.Path(f"{self.path}/history/*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        return sorted(int(f.getPath().getParent().getName()) for f in found or ())
+
+    def _last(self) -> Commit | None:
+        versions = self._versions()
+        return self._commit(versions[-1]) if versions else None
 
     def _latest(self) -> Commit:
-        commits = self._commits()
-        if not commits:
+        last = self._last()
+        if last is None:
             raise ValueError(f"no version of {self.path}")
-        return commits[-1]
+        return last
+
+    def _row(self, version: int):
+        """One history row; the only place that reads them one by one."""
+        log = self.spark.read.schema(HISTORY_SCHEMA).json(self._row_path(version))
+        return log.withColumn("timestamp", F.unix_micros("timestamp")).first()
 
     def _commit(self, version: int) -> Commit:
-        for commit in self._commits():
-            if commit.version == version:
-                return commit
-        raise ValueError(f"no version {version} of {self.path}")
+        if version not in self._versions():
+            raise ValueError(f"no version {version} of {self.path}")
+        row = self._row(version)
+        added = row["added"] or []
+        data = row["data_versions"] if row["base"] is None else [*self._row(row["base"])["data_versions"], *added]
+        moment = _EPOCH + dt.timedelta(microseconds=row["timestamp"])
+        return Commit(
+            version, moment, row["operation"], row["parameters"], row["rows"], row["table_schema"], data, row["base"], added
+        )
 
     def _schema_of(self, commit: Commit) -> StructType:
         return StructType.fromJson(json.loads(commit.table_schema))

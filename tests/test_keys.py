@@ -1,11 +1,15 @@
+import pathlib
 import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from conftest import plan_of
 from feira.operators.gaps import event_gaps
 from feira.operators.keys import chronological_split, dense_key, global_rank, with_previous
+from feira.session import release_scratch, scratch_dir, scratch_scope
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -88,3 +92,22 @@ def test_event_gaps_with_missing_time(spark):
     )
     got = {r["id"]: r["gap_seconds"] for r in event_gaps(df, "ts", ["id"]).collect()}
     assert got == {3: None, 1: None, 2: 1.5}
+
+
+def test_the_input_is_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    counted = spark.range(6000).select(F.udf(lambda i: seen.add(1) or i, "bigint")("id").alias("k"))
+    for unique in (True, False):
+        before = seen.value
+        assert dense_key(counted, ["k"], "key", unique).count() == 6000
+        assert seen.value - before == 6000
+
+
+def test_scratch_copies_go_with_their_owner(spark):
+    scratch = pathlib.Path(scratch_dir(spark)) / "feira"
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    with scratch_scope(spark):
+        assert dense_key(spark.range(10), ["id"], "key").count() == 10
+    assert set(scratch.iterdir()) == before
+    dense_key(spark.range(10), ["id"], "key").count()
+    assert release_scratch(spark) > 0 and not [p for p in scratch.iterdir() if p not in before]

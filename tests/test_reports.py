@@ -1,10 +1,15 @@
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feira.operators import churn, logistics, reviews, sales, scd
+from conftest import plan_of
 from feira.functions.geo import haversine_km
-from feira.schemas import GOLD_SCHEMAS
+from feira.operators import churn, logistics, reviews, sales, scd
+from feira.schemas import GOLD_SCHEMAS, conform
+from feira.sources import readers
 
 
 def star_row(order, customer, product, seller, day, price, freight=1.0, score=3, delivered=None, estimated=20180110, status=1, hours=None, days=None):
@@ -185,6 +190,99 @@ def test_history_of_a_dimension(spark):
         ("b", "x", 1, None, True), ("c", "new", 2, None, True), ("d", None, 1, None, True),
     ]
     assert versions(merged) == sorted(expected, key=str)
+    late = spark.createDataFrame(
+        [("a", "w", at("2018-02-15")), ("a", "q", at("2018-03-01")), ("a", "v", at("2018-02-15"))],
+        "k string, city string, at timestamp",
+    )
+    found = versions(scd.scd2_merge(merged, late, "k", ["city"], "at"))
+    assert [f for f in found if f[0] == "a"] == sorted(
+        [("a", "x", 1, 2, False), ("a", "w", 2, 3, False), ("a", "q", 3, 4, False), ("a", "x", 4, None, True)], key=str
+    )
     later = spark.createDataFrame([("b", "z", at("2018-05-01"))], "k string, city string, at timestamp")
     again = versions(scd.scd2_merge(merged, later, "k", ["city"], "at"))
     assert ("b", "x", 1, 5, False) in again and ("b", "z", 5, None, True) in again and len(again) == 7
+
+
+def test_versions_of_a_key_never_overlap(spark):
+    """Random batches with late updates: versions are gapless, and what the last batch said holds at its time.
+
+    (A repeat of the known state leaves no trace, so a later update that comes before it can hide it.)
+    """
+    rng = random.Random(5)
+    at = dt.datetime(2018, 1, 1)
+    start = spark.createDataFrame([(k, "s") for k in "abc"], "k string, city string")
+    history = scd.start_history(start, "k", ["city"], "2018-01-01")
+    updates = {(rng.choice("abcd"), at + dt.timedelta(days=rng.randint(1, 40))): rng.choice("xyz") for _ in range(40)}
+    rows = [(k, city, when) for (k, when), city in updates.items()]
+    rng.shuffle(rows)
+    schema = "k string, city string, at timestamp"
+    merged = history
+    for begin in (0, 14, 28):
+        merged = scd.scd2_merge(merged, spark.createDataFrame(rows[begin : begin + 14], schema), "k", ["city"], "at")
+    by_key = {}
+    for r in merged.collect():
+        by_key.setdefault(r["k"], []).append(r)
+    for versions in by_key.values():
+        versions.sort(key=lambda r: r["valid_from"])
+        for a, b in zip(versions, versions[1:]):
+            assert a["valid_to"] == b["valid_from"] and a["city"] != b["city"] and not a["is_current"]
+        assert versions[-1]["valid_to"] is None and versions[-1]["is_current"]
+        for r in rows[28:]:
+            if r[0] == versions[0]["k"]:
+                valid = [v["city"] for v in versions if v["valid_from"] <= r[2] and (v["valid_to"] is None or r[2] < v["valid_to"])]
+                assert valid == [r[1]]
+
+
+def test_values_that_do_not_fit_stop_the_build(spark):
+    row = spark.range(1).select(*[F.lit(None).cast("string").alias(c) for c in T.StructType.fromDDL(GOLD_SCHEMAS["fct_order_items"]).names])
+    priced = row.withColumn("item_price", F.lit(150_000_000.0))
+    with pytest.raises(Exception, match="fct_order_items.item_price"):
+        conform(priced, "fct_order_items").collect()
+    assert conform(row, "fct_order_items").count() == 1
+    paid = spark.createDataFrame([("card", 1, 1e20)], "payment_type string, payment_installments int, payment_value double")
+    with pytest.raises(Exception, match="payment_value"):
+        sales.payment_mix(paid).collect()
+
+
+def test_unknown_parties_stay_in_the_reports(fact, dims, spark):
+    one = dims["customers"].filter("customer_key = 1"), dims["sellers"].filter("seller_key = 1")
+    geo = dims["geo"].filter("geolocation_zip_code_prefix = 9")
+    everything = fact.count()
+    for df in (
+        logistics.geo_grid(fact, one[0], dims["geo"]),
+        logistics.geo_grid(fact, dims["customers"], geo),
+        logistics.geo_grid(fact, one[1], dims["geo"], party="seller"),
+        logistics.lane_distance(fact, one[1], one[0], dims["geo"]),
+        logistics.state_lane_distance(fact, one[1], one[0], dims["geo"]),
+    ):
+        assert df.agg(F.sum("items")).first()[0] == everything
+    timed = fact.filter("processing_time_hours is not null")
+    nobody = timed.withColumn("seller_key", F.lit(None).cast("bigint"))
+    found = logistics.seller_processing(timed.unionByName(nobody), dims["sellers"])
+    assert found.agg(F.sum("items")).first()[0] == 2 * timed.count()
+
+
+def test_noise_is_reported_as_no_model(spark):
+    rng = random.Random(3)
+    rows = [(f"u{i}", rng.randint(0, 1), 5, 1, 2.0, 0.0, 0.1, 3.0, 1) for i in range(300)]
+    schema = (
+        "customer_unique_id string, churned int, recency_days int, frequency int, monetary double, "
+        "delivery_delay_days double, freight_ratio double, avg_review_score double, max_installments int"
+    )
+    assert churn.train_logistic(spark.createDataFrame(rows, schema)).degenerate
+
+
+def test_ranges_reach_the_scan(spark, tmp_path, fact):
+    fact.write.parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    leads = spark.createDataFrame([], GOLD_SCHEMAS["fct_marketing_leads"])
+    sellers = spark.createDataFrame([], GOLD_SCHEMAS["dim_sellers"])
+    quarter = plan_of(sales.channel_sellers(stored, leads.union(leads), sellers, 2018, 1))
+    reviews_ = spark.createDataFrame([], "order_id string, review_id string, review_score int, review_answer_timestamp timestamp")
+    past = plan_of(churn.before_cutoff(stored, reviews_, "2018-03-01"))
+    assert "LessThan(order_date_key,20180301)" in past
+    assert "GreaterThanOrEqual(order_date_key,20180101)" in quarter or "LocalTableScan" in quarter
+    orders = spark.createDataFrame([("o", dt.datetime(2018, 1, 1))], "order_id string, t timestamp")
+    orders.write.parquet(str(tmp_path / "orders"))
+    ranged = plan_of(readers.in_range(spark.read.parquet(str(tmp_path / "orders")), "t", "2018-01-01", "2018-02-01"))
+    assert "GreaterThanOrEqual(t," in ranged and "LessThanOrEqual(t," in ranged

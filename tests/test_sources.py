@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import shutil
 
 import pytest
 from conftest import plan_of
@@ -55,6 +56,29 @@ def test_pages(spark, numbers):
             readers.page(numbers, "id", page, size)
 
 
+def test_reading_takes_one_or_two_history_rows_of_two_hundred(spark, tmp_path, monkeypatch):
+    """Appends 0 to 199 as the table writes them, laid out by hand to save 200 jobs."""
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    one = spark.range(1).coalesce(1)
+    assert table.append(one) == 0 and table.append(one) == 1
+    kept = {"timestamp": "2018-01-01T00:00:00.000Z", "operation": "WRITE", "parameters": {"mode": "Append"}}
+    for v in range(2, 200):
+        base = v // 65 * 65
+        lists = {"data_versions": list(range(v + 1))} if v == base else {"base": base, "added": list(range(base + 1, v + 1))}
+        folder = tmp_path / "t" / "history" / f"{v:020d}"
+        folder.mkdir()
+        (folder / "part-0.json").write_text(json.dumps({"version": v, **kept, "rows": v + 1, "table_schema": one.schema.json(), **lists}))
+        (folder / "_SUCCESS").touch()
+        shutil.copytree(tmp_path / "t" / "data" / "v1", tmp_path / "t" / "data" / f"v{v}")
+    read, row = [], SnapshotTable._row
+    monkeypatch.setattr(SnapshotTable, "_row", lambda self, v: read.append(v) or row(self, v))
+    assert table.read().count() == 200 and len(read) <= 2
+    assert table.append(one) == 200 and table.read().count() == 201
+    assert table.history().count() == 201 and table.read(version=70).count() == 71
+    assert table.added_since(150).count() == 50
+    assert table.restore(100) == 201 and table.read().count() == 101
+
+
 def test_pages_have_one_plan_and_run_no_job(spark):
     wide = spark.range(300_000)
     deep = readers.page(wide, "id", 29_000, 10)
@@ -157,7 +181,7 @@ def test_versions(spark, tmp_path):
         (3, "RESTORE", 2), (2, "MERGE", 3), (1, "WRITE", 3), (0, "WRITE", 2),
     ]
     assert log[1]["parameters"] == {"mode": "Overwrite", "reason": "test"}
-    times = [c.timestamp for c in table._commits()]
+    times = [table._commit(v).timestamp for v in range(4)]
     assert rows(table.read(as_of=times[1])) == rows(table.read(version=1))
     assert rows(table.read(as_of=times[2] - dt.timedelta(microseconds=1))) == rows(table.read(version=1))
     assert rows(table.read(as_of="2999-01-01")) == rows(table.read())
