@@ -47,7 +47,10 @@ class Satisfies:
     """A SQL predicate holds on every row; NULL counts as a miss."""
 
     predicate: str
-    name: str
+
+    @property
+    def name(self) -> str:
+        return f"satisfies({self.predicate})"
 
 
 @dataclass(frozen=True)
@@ -64,6 +67,7 @@ class MaxLength:
 
 Constraint = Complete | Unique | Satisfies | MaxLength
 
+# The constraints of each layer.
 RAW_SUITE: Mapping[str, tuple[Constraint, ...]] = {
     "orders": (Complete("order_id"), Unique("order_id"), Complete("customer_id")),
     "customers": (Complete("customer_id"),),
@@ -74,9 +78,9 @@ CLEAN_SUITE: Mapping[str, tuple[Constraint, ...]] = {
     "orders": (Complete("order_id"), Unique("order_id"), Complete("customer_id")),
     "order_reviews": (
         Complete("review_id"),
-        Satisfies("review_score >= 1 AND review_score <= 5", "review score in [1,5]"),
+        Satisfies("review_score >= 1 AND review_score <= 5"),
     ),
-    "order_items": (Complete("order_id"), Satisfies("price >= 0", "price non-negative")),
+    "order_items": (Complete("order_id"), Satisfies("price >= 0")),
 }
 
 GOLD_SUITE: Mapping[str, tuple[Constraint, ...]] = {
@@ -85,8 +89,8 @@ GOLD_SUITE: Mapping[str, tuple[Constraint, ...]] = {
         Unique("order_item_key"),
         Complete("customer_key"),
         Complete("product_key"),
-        Satisfies("item_price >= 0", "item price non-negative"),
-        Satisfies("freight_value >= 0", "freight value non-negative"),
+        Satisfies("item_price >= 0"),
+        Satisfies("freight_value >= 0"),
     ),
     "dim_customers": (Complete("customer_key"), Unique("customer_key")),
 }

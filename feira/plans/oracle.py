@@ -273,8 +273,8 @@ def _unique(col: str, source: str) -> tuple[str, str]:
     return f"unique({col})", f"any_value(({once}))"
 
 
-def _holds(name: str, predicate: str) -> tuple[str, str]:
-    return name, f"count(*) filter ({predicate}) / count(*)"
+def _holds(predicate: str) -> tuple[str, str]:
+    return f"satisfies({predicate})", f"count(*) filter ({predicate}) / count(*)"
 
 
 def _short(col: str, length: int) -> tuple[str, str]:
@@ -447,16 +447,16 @@ def statements() -> dict[str, str]:
                    [_complete("order_id"), _unique("order_id", "full_orders"), _complete("customer_id")]),
             _check("clean", "order_reviews", "reviews",
                    [_complete("review_id"),
-                    _holds("review score in [1,5]", "review_score >= 1 and review_score <= 5")]),
+                    _holds("review_score >= 1 AND review_score <= 5")]),
             _check("clean", "order_items", "items",
-                   [_complete("order_id"), _holds("price non-negative", "price >= 0")]),
+                   [_complete("order_id"), _holds("price >= 0")]),
         ),
         "dq_gold": _checks(
             _check("gold", "fct_order_items", f"(select {fact_key.format(ties='')} as order_item_key, * from fact)",
                    [_complete("order_item_key"), ("unique(order_item_key)", "count(distinct order_item_key) / count(*)"),
                     _complete("customer_key"), _complete("product_key"),
-                    _holds("item price non-negative", "item_price >= 0"),
-                    _holds("freight value non-negative", "freight_value >= 0")]),
+                    _holds("item_price >= 0"),
+                    _holds("freight_value >= 0")]),
             _check("gold", "dim_customers", "dim_customers",
                    [_complete("customer_key"), _unique("customer_key", "dim_customers")]),
         ),
@@ -481,7 +481,7 @@ def statements() -> dict[str, str]:
         "dq_defects": _checks(
             _check("raw", "orders", "raw_orders",
                    [_complete("order_approved_at"), _unique("customer_id", "raw_orders"),
-                    _holds("approved before hand-over", "order_approved_at <= order_delivered_carrier_date"),
+                    _holds("order_approved_at <= order_delivered_carrier_date"),
                     _short("order_status", 8)]),
         ),
         "fk_integrity": _foreign_keys(),

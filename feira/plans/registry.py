@@ -395,7 +395,7 @@ def dq_relational(spark: SparkSession, sf_dir: str) -> DataFrame:
 DEFECTS = (
     quality.Complete("order_approved_at"),
     quality.Unique("customer_id"),
-    quality.Satisfies("order_approved_at <= order_delivered_carrier_date", "approved before hand-over"),
+    quality.Satisfies("order_approved_at <= order_delivered_carrier_date"),
     quality.MaxLength("order_status", 8),
 )
 

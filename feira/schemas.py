@@ -83,6 +83,7 @@ LOOKUP_KEYS: dict[str, str] = {
     "category_translation": "product_category_name",
 }
 
+# Which raw columns are times, numbers and whole numbers.
 TIMESTAMP_COLUMNS: dict[str, tuple[str, ...]] = {
     "orders": (
         "order_purchase_timestamp",
@@ -116,7 +117,7 @@ LOGISTICS_PAYLOAD = _strings(
     "order_id", "customer_id", "delivered_carrier_date", "delivered_customer_date", "estimated_delivery_date"
 )
 
-# What a topic reader delivers, and what the archive keeps of it.
+# What a topic reader delivers, and what the archive keeps of it.
 TOPIC_SCHEMA = T.StructType(
     [
         T.StructField("key", T.BinaryType()),
@@ -139,7 +140,7 @@ ARCHIVE_SCHEMA = T.StructType(
     ]
 )
 
-# Curated layer. Surrogate keys are 64-bit, because a dense 32-bit key overflows at two billion rows;
+# Columns of the curated layer. Surrogate keys are 64-bit, because a dense 32-bit key overflows at two billion rows;
 # smart date keys (yyyyMMdd) fit 32 bits.
 GOLD_SCHEMAS: dict[str, str] = {
     "dim_customers": (

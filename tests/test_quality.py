@@ -7,7 +7,7 @@ from feira.operators import quality
 from feira.operators.quality import Complete, MaxLength, Satisfies, Unique
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-CHECKS = (Complete("k"), Unique("k"), Satisfies("v >= 0", "non-negative"), MaxLength("k", 1))
+CHECKS = (Complete("k"), Unique("k"), Satisfies("v >= 0"), MaxLength("k", 1))
 
 
 def results(spark, rows):
@@ -20,7 +20,7 @@ def test_statuses(spark):
     assert {n: r["metric"] for n, r in got.items()} == {
         "complete(k)": 0.75,
         "unique(k)": 1 / 3,
-        "non-negative": 0.5,
+        "satisfies(v >= 0)": 0.5,
         "max_length(k,1)": 0.75,
     }
     assert all(r["constraint_status"] == "Failure" and "0." in r["message"] for r in got.values())
@@ -39,7 +39,7 @@ def test_metrics_equal_counting(spark, rows):
     keys = [k for k, _ in rows if k is not None]
     assert got["complete(k)"] == len(keys) / len(rows)
     assert got["unique(k)"] == (sum(keys.count(k) == 1 for k in keys) / len(keys) if keys else None)
-    assert got["non-negative"] == sum(v is not None and v >= 0 for _, v in rows) / len(rows)
+    assert got["satisfies(v >= 0)"] == sum(v is not None and v >= 0 for _, v in rows) / len(rows)
     assert got["max_length(k,1)"] == sum(k is None or len(k) <= 1 for k, _ in rows) / len(rows)
 
 
