@@ -31,6 +31,11 @@ from feira.streaming.archive import archive_path, archive_topics, wait_all
 RAW, CLEAN, GOLD = "raw", "clean", "gold"
 BATCH_FRACTION = 0.9
 _CONCURRENT_TABLES = 8
+# What quarters, cut-offs and time ranges are asked of.
+_CLUSTERED = {
+    (CLEAN, "orders"): ("order_purchase_timestamp", "order_id"),
+    (GOLD, "fct_order_items"): ("order_date_key", "order_id"),
+}
 
 
 class Lakehouse:
@@ -67,7 +72,7 @@ def _write_all(lake: Lakehouse, layer: str, builders: Mapping[str, Callable[[],
         with scratch_scope(lake.spark):
             df = builders[name]()
             if df is not None:
-                lake.table(layer, name).overwrite(df)
+                lake.table(layer, name).overwrite(df, cluster_by=_CLUSTERED.get((layer, name), ()))
 
     with ThreadPoolExecutor(_CONCURRENT_TABLES) as pool:
         list(pool.map(inheritable_thread_target(lake.spark)(write), builders))

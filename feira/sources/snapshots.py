@@ -57,8 +57,17 @@ class SnapshotTable:
     def latest_version(self) -> int:
         return self._latest().version
 
-    def overwrite(self, df: DataFrame, operation: str = "WRITE", **parameters: str) -> int:
-        """Replace the table, schema included; returns the new version."""
+    def overwrite(
+        self, df: DataFrame, operation: str = "WRITE", cluster_by: tuple[str, ...] = (), **parameters: str
+    ) -> int:
+        """Replace the table, schema included; returns the new version.
+
+        ``cluster_by`` deals the rows to files by ranges of these columns, so that a range of the first one reaches few
+        files (and row groups); the others split a value that holds much of the table.
+        """
+        if cluster_by:
+            df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+            parameters = {"clusterBy": ", ".join(cluster_by), **parameters}
         return self._write(df, operation, {"mode": "Overwrite", **parameters}, keep=None)
 
     def append(self, df: DataFrame, operation: str = "WRITE", **parameters: str) -> int:

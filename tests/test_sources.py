@@ -4,6 +4,7 @@ import shutil
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from feira import schemas
 from feira.sources import readers, sinks
@@ -79,6 +80,20 @@ def test_reading_takes_one_or_two_history_rows_of_two_hundred(spark, tmp_path, m
     assert table.restore(100) == 201 and table.read().count() == 101
 
 
+def test_clustered_files_hold_disjoint_ranges(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    rows = spark.range(20_000).selectExpr("id % 500 as day", "id").repartition(4)
+    small = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(small, "false")  # these few rows would end in one file
+    table.overwrite(rows, cluster_by=("day", "id"))
+    spark.conf.set(small, "true")
+    files = table.read().groupBy(F.input_file_name()).agg(F.min("day"), F.max("day")).collect()
+    spans = sorted((r[1], r[2]) for r in files)
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert "PushedFilters: [IsNotNull(day), EqualTo(day,7)]" in plan_of(table.read().filter("day = 7"))
+    assert table.read().count() == 20_000
+
+
 def test_pages_have_one_plan_and_run_no_job(spark):
     wide = spark.range(300_000)
     deep = readers.page(wide, "id", 29_000, 10)
