@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feira.llm.common import col, fresh, ship, text_or_empty
+from feira.llm.common import col, ship, text_or_empty
 from feira.session import materialize
 
 HEAVY_SHARE = 1 / 4096
@@ -120,22 +120,16 @@ def duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns.
 
-    The decisions are narrow; the rows meet them in one join on (id, digest), whose order also leaves one of the rows
-    that repeat both.
+    Losers of heavy digests are dropped where they are read, by the broadcast winners; all other rows meet the rest of
+    their group in one shuffle. Of rows that repeat both id and text one stays.
     """
-    kept = materialize(
-        duplicate_groups(df.select(col(id_col).alias("id"), col(text_col).alias("text")), "id", "text")
-        .filter("kept")
-        .select("id", F.unhex("text_sha256").alias("digest")),
-        "kept",
-    )
-    mark, place = fresh(df, "__digest"), fresh(df, "__place")
-    rows = df.withColumn(mark, digest(text_col))
-    joined = rows.join(
-        kept, rows[f"`{mark}`"].eqNullSafe(kept["digest"]) & rows[f"`{id_col}`"].eqNullSafe(kept["id"]), "left_semi"
-    )
-    return (
-        joined.withColumn(place, F.row_number().over(W.partitionBy(col(id_col), mark).orderBy(mark)))
-        .filter(F.col(place) == 1)
-        .select(*[col(c) for c in df.columns])
+    keyed = materialize(
+        df.select(col(id_col).alias("id"), digest(text_col).alias("digest"), F.lit(0).alias("row")), "digests"
     )
+    heavy = heavy_winners(keyed).select(F.col("digest").alias("heavy_digest"), F.col("winner.id").alias("winner_id"))
+    packed = df.select(F.struct(*[col(c) for c in df.columns]).alias("doc"), col(id_col).alias("id"), digest(text_col).alias("digest"))
+    met = packed.join(F.broadcast(heavy), F.col("digest") == F.col("heavy_digest"), "left")
+    open_ = met.filter(F.col("heavy_digest").isNull() | F.col("id").eqNullSafe(F.col("winner_id")))
+    best = F.row_number().over(W.partitionBy("digest").orderBy(F.col("id").desc_nulls_last()))
+    kept = open_.select("doc", "id", "digest").withColumn("place", best).filter("place = 1")
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in df.columns])
