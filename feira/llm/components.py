@@ -43,19 +43,14 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """
     larger, smaller = F.greatest("a", "b"), F.least("a", "b")
     stars = materialize(_distinct(edges.filter("a <> b").select(larger.alias("a"), smaller.alias("b"))), name)
-    before = None
-    while True:
-        state = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if before == state or not state[0]:
-            return _labels(stars)
-        before = state
+    while not _are_stars(stars):
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = materialize(
             both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"{name}-least"
         )
         # Large star: larger neighbours of a point to the least of a's neighbourhood.
         wide = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        wide = materialize(_distinct(wide), f"{name}-large")
+        wide = materialize(wide, f"{name}-large")
         least = materialize(wide.groupBy("a").agg(F.min("b").alias("m")), f"{name}-least")
         # Small star: so do a's smaller neighbours and a itself.
         narrow = wide.join(least, "a")
@@ -65,6 +60,16 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .unionByName(least.select("a", F.col("m").alias("b")))
         )
         stars = materialize(_distinct(narrow.filter("a <> b")), name)
+    return _labels(stars)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether no node has two links down, and none that is pointed at points on."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    per_node = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return per_node.filter("down + up > 1").isEmpty()
 
 
 def _labels(stars: DataFrame) -> DataFrame:

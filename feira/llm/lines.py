@@ -5,8 +5,8 @@ first. A line's signature has ``BANDS * ROWS`` MinHash values over its ``SHINGLE
 Jaccard similarity of 0.8 share one of the 12 bands of 4 with a probability of 0.998. Lines that share a band are
 verified on their exact shingle sets and united, and of each component one line stays.
 
-Texts travel only where they are needed. Two bands come first, and find most true links; of the other bands, only
-buckets that still hold lines of different components are verified. A bucket with more than ``CELL`` lines is cut into
+Texts travel only where they are needed. ``FIRST_BANDS`` bands come first, and find most true links; of the other bands,
+only buckets that still hold lines not known to be linked are verified. A bucket with more than ``CELL`` lines is cut into
 chunks whose pairs are cells of their own, so no task gathers an unbounded bucket and no pair is lost. A cell reports at
 most one link per line.
 """
@@ -28,7 +28,7 @@ from feira.session import materialize
 
 SHINGLE = 10
 BANDS, ROWS = 12, 4
-FIRST_BANDS = 2
+FIRST_BANDS = 3
 SIMILARITY = 0.8
 CELL = 256
 
@@ -40,8 +40,14 @@ def normal(line: str) -> str:
     return " ".join(line.split()).lower()
 
 
+_SLICES = [slice(i, i + SHINGLE) for i in range(4096)]
+
+
 def shingles(line: str) -> set[str]:
-    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
+    n = max(1, len(line) - SHINGLE + 1)
+    if n <= len(_SLICES):
+        return set(map(line.__getitem__, _SLICES[:n]))
+    return {line[i : i + SHINGLE] for i in range(n)}
 
 
 def similarity(a: set[str], b: set[str]) -> float:
@@ -155,14 +161,28 @@ def _runs(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...], rows: int =
         yield pa.Table.from_batches(held)
 
 
+def _numbered(table: pa.Table) -> np.ndarray:
+    """Number of each row's key in a table sorted by key."""
+    key = table.column("key").to_numpy()
+    return np.cumsum(np.append(True, key[1:] != key[:-1])) - 1
+
+
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of keys that have more than one; input sorted by key."""
+    """The rows of keys that have more than one, with their number ``n``; input sorted by key."""
     for table in _runs(batches, ("key",)):
-        key = table.column("key").to_numpy()
-        first = np.append(True, key[1:] != key[:-1])
-        number = np.cumsum(first) - 1
-        many = pa.array((np.bincount(number) > 1)[number])
-        yield from table.filter(many).combine_chunks().to_batches() or []
+        number = _numbered(table)
+        n = np.bincount(number)[number]
+        sized = table.append_column("n", pa.array(n, pa.int64()))
+        yield from sized.filter(pa.array(n > 1)).combine_chunks().to_batches()
+
+
+def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of keys whose nodes are not all known to be linked; input sorted by key."""
+    for table in _runs(batches, ("key",)):
+        number, known = _numbered(table), table.column("known").to_numpy()
+        starts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+        apart = np.minimum.reduceat(known, starts) != np.maximum.reduceat(known, starts)
+        yield from table.filter(pa.array(apart[number])).combine_chunks().to_batches()
 
 
 def verified_links(nodes: list[int], known: list[int], lines: list[str], least: float = SIMILARITY) -> list[tuple[int, int]]:
@@ -179,7 +199,7 @@ def verified_links(nodes: list[int], known: list[int], lines: list[str], least:
     at: dict[int, int] = {}
     for i, c in enumerate(known):
         parent[i] = at.setdefault(c, i)
-    apart, links = len(at), []
+    apart, joined = len(at), False
     sets: list[set[str] | None] = [None] * len(nodes)
     for j in range(1, len(nodes)):
         if apart == 1:
@@ -193,9 +213,10 @@ def verified_links(nodes: list[int], known: list[int], lines: list[str], least:
             low, high = sorted((len(sets[i]), len(sets[j])))
             if low >= least * high and similarity(sets[i], sets[j]) >= least:
                 parent[max(a, b)] = min(a, b)
-                links.append((nodes[i], nodes[j]))
+                joined = True
                 apart -= 1
-    return links
+    # Each line points at the first of its component, so that least neighbours tell most of what is linked.
+    return [(nodes[i], nodes[root(i)]) for i in range(len(nodes)) if root(i) != i] if joined else []
 
 
 def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,15 +234,14 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(members: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
-    """Verified links from rows (key, node, known) of shared buckets."""
-    sizes = materialize(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell), "line-hot")
-    chunks: Column = F.coalesce(F.ceil(F.col("n") / cell), F.lit(1)).cast("int")
+    """Verified links from rows (key, node, n, known) of shared buckets with ``n`` rows or less."""
+    chunks: Column = F.ceil(F.col("n") / cell).cast("int")
     own = F.pmod(F.xxhash64("node"), chunks).cast("int")
     each = F.transform(
         F.sequence(F.lit(0), chunks - 1),
         lambda i: F.struct(F.least(i, own).alias("left"), F.greatest(i, own).alias("right")),
     )
-    cells = members.join(sizes, "key", "left").select("key", "node", "known", F.inline(each))
+    cells = members.select("key", "node", "known", F.inline(each))
     return materialize(
         cells.join(texts, "node")
         .repartition("key", "left", "right")
@@ -254,23 +274,27 @@ def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         spread.select("key", "node", (F.col("band") < FIRST_BANDS).alias("early"))
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_shared, "key bigint, node bigint, early boolean"),
+        .mapInArrow(_shared, "key bigint, node bigint, early boolean, n bigint"),
         "line-buckets",
     )
     needed = materialize(shared.select("node").distinct().join(distinct, "node").select("node", "h"), "line-needed")
     texts = materialize(
         _texts(df, id_col, text_col).join(needed, "h").groupBy("node").agg(F.first("line").alias("line")), "line-texts"
     )
-    early = _links(shared.filter("early").select("key", "node", F.col("node").alias("known")), texts, cell)
-    united = materialize(components(early, "line-components"), "line-united")
-    late = materialize(
+    early = _links(shared.filter("early").withColumn("known", F.col("node")), texts, cell)
+    # A node's least neighbour is certainly linked to it.
+    both = early.unionByName(early.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    known = materialize(least.select("node", F.least("node", "m").alias("known")), "line-known")
+    late = (
         shared.filter("not early")
-        .join(united, "node", "left")
-        .select("key", "node", F.coalesce("component", "node").alias("known")),
-        "line-late",
+        .join(known, "node", "left")
+        .select("key", "node", "n", F.coalesce("known", "node").alias("known"))
+        .repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_open, "key bigint, node bigint, n bigint, known bigint")
     )
-    open_ = late.groupBy("key").agg(F.min("known").alias("x"), F.max("known").alias("y")).filter("x <> y").select("key")
-    more = _links(late.join(materialize(open_, "line-open"), "key", "left_semi"), texts, cell)
+    more = _links(materialize(late, "line-late"), texts, cell)
     labels = materialize(components(early.unionByName(more), "line-components"), "line-labels")
     named = materialize(
         distinct.join(labels, "node", "left").select("h", F.coalesce("component", "node").alias("class_id")), "line-classes"
