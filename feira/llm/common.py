@@ -18,8 +18,18 @@ from feira.session import configure
 _shipped: set[str] = set()
 
 
+#: Rows and bytes of a batch between Spark and its Python workers: texts are long, and a few megabytes are enough.
+BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this package to the application's Python workers, once."""
+    """Give this package to the application's Python workers, once, and keep their batches small."""
+    for key, value in BATCH_SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

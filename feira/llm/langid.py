@@ -27,7 +27,7 @@ SAMPLE = 3200
 EPOCHS = 30
 UNKNOWN = "und"
 #: Share of rightly classified calibration texts that rejection may cost, and the score from which none is rejected.
-REJECT_SHARE, SURE = 0.002, 0.5
+REJECT_SHARE, SURE = 0.002, 0.4
 
 _letters: list[np.ndarray] = []
 
@@ -103,7 +103,7 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOC
             rows = used[begin : begin + size]
             rate = 1.0 - step / steps
             step += 1
-            xb = x[rows]
+            xb = x[rows].astype(np.float32)
             hidden = xb @ embed
             error = _softmax(hidden @ layer + bias)
             error[np.arange(len(rows)), y[rows]] -= 1
@@ -114,7 +114,7 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOC
             # Shares are small, so the embeddings need the longer step.
             embed -= rate * 200 * (xb.T @ back)
     weights = embed @ layer
-    logits = x[held] @ weights + bias
+    logits = x[held].astype(np.float32) @ weights + bias
     grid = np.geomspace(0.1, 20, 60)
     truth = (np.arange(len(held)), y[held])
     losses = [-np.log(np.maximum(_softmax(logits / t)[truth], 1e-12)).mean() for t in grid]
@@ -125,6 +125,21 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOC
     return Model(languages, weights.astype(np.float32), bias, temperature, min(threshold, SURE))
 
 
+def _packed(shares: np.ndarray) -> bytes:
+    """The buckets that occur and their shares, in a few bytes each."""
+    at = np.flatnonzero(shares)
+    return at.astype("<u2").tobytes() + shares[at].astype("<f2").tobytes()
+
+
+def _unpacked(rows: list[bytes], buckets: int = BUCKETS) -> np.ndarray:
+    """Half-precision matrix of packed rows."""
+    x = np.zeros((len(rows), buckets), np.float16)
+    for row, data in zip(x, rows, strict=True):
+        half = len(data) // 2
+        row[np.frombuffer(data, "<u2", half // 2)] = np.frombuffer(data, "<f2", half // 2, half)
+    return x
+
+
 def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in small_batches([batch], "text"):
@@ -139,7 +154,7 @@ def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for piece in (codes, codes[begin : begin + size]):
                     place.append(p)
                     lang.append(name)
-                    data.append(features(piece).tobytes())
+                    data.append(_packed(features(piece)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(place, pa.int64()), pa.array(lang, pa.string()), pa.array(data, pa.binary())],
                 ["place", "lang", "x"],
@@ -168,23 +183,19 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     languages = sorted({r["lang"] for r in rows})
     number = {name: i for i, name in enumerate(languages)}
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows])
-    return train(x, np.array([number[r["lang"]] for r in rows]), languages)
+    y = np.array([number[r["lang"]] for r in rows])
+    return train(_unpacked([r["x"] for r in rows]), y, languages)
 
 
-def predict(df: DataFrame, model: Model, text_col: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``df`` with the predicted language, its probability, and whether the prediction is rejected.
-
-    ``und`` with score 0, and rejected: null, empty and letterless texts. Rejected as well: scores under the model's
-    threshold.
-    """
+def _scored(df: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """Columns c0, c1, ... of ``df`` in order (any names do), then lang, score and rejected."""
     ship(df.sparkSession)
-    passed = [c for c in df.columns if c.lower() not in (lang, score, "rejected")]
-    names = [f"c{i}" for i in range(len(passed))]
+    names = [f"c{i}" for i in range(len(df.columns))]
+    text = names[df.columns.index(text_col)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column("text")]
+            found = [model.predict(t.as_py()) for t in batch.column(text)]
             new = [
                 pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()),
@@ -193,11 +204,19 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", lang: str = "la
             arrays = [*[batch.column(n) for n in names], *new]
             yield pa.RecordBatch.from_arrays(arrays, [*names, "lang", "score", "rejected"])
 
-    text = col(text_col).cast("string").alias("text")
-    work = df.select(*[col(c).alias(n) for c, n in zip(passed, names, strict=True)], text)
+    work = df.select(*[col(c).alias(n) for c, n in zip(df.columns, names, strict=True)])
     new = T.StructType().add("lang", "string").add("score", "double").add("rejected", "boolean")
-    out = work.mapInArrow(run, T.StructType([*work.schema.fields[:-1], *new.fields]))
-    shown = [F.col(n).alias(c) for c, n in zip(passed, names, strict=True)]
+    return work.mapInArrow(run, T.StructType([*work.schema.fields, *new.fields]))
+
+
+def predict(df: DataFrame, model: Model, text_col: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``df`` with the predicted language, its probability, and whether the prediction is rejected.
+
+    ``und`` with score 0, and rejected: null, empty and letterless texts. Rejected as well: scores under the model's
+    threshold. Columns of ``df`` with the names of the new ones are left out.
+    """
+    out = _scored(df, model, text_col)
+    shown = [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c.lower() not in (lang, score, "rejected")]
     return out.select(*shown, F.col("lang").alias(lang), F.col("score").alias(score), "rejected")
 
 
@@ -208,6 +227,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 def keep_known(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows whose language is recognised, learned from the labelled rows of ``df`` that are not held out."""
     model = fit(df.filter(~held_out(id_col)), id_col, text_col, lang_col)
-    packed = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), col(text_col).alias("text"))
-    kept = predict(packed, model).filter(~F.col("rejected"))
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in df.columns])
+    kept = _scored(df, model, text_col).filter(~F.col("rejected"))
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])

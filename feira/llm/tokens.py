@@ -40,7 +40,7 @@ _POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
 class WordTokenizer:
     """Encodes batches of texts. ``limit`` bounds the number of remembered units; beyond it the memory starts anew."""
 
-    def __init__(self, path: str, limit: int = 4_000_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         # A task has one core; the library would start a thread for each core of the machine.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
