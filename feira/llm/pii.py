@@ -8,6 +8,7 @@ stay different, and whoever has the key can invert it. Text around the values is
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import functools
 import hashlib
@@ -163,10 +164,8 @@ def secret(key: bytes, text: str, inverse: bool = False) -> str | None:
     return permute_letters(key, "secret", text, (kind,), inverse)
 
 
-#: Tried in this order at each place; the first that validates wins.
+#: Tried in this order at each place, behind account and card numbers; the first that validates wins.
 KINDS: tuple[tuple[str, str, Callable], ...] = (
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
-    ("card", r"(?<![\d.+-])(?:\d[ -]?){12,18}\d(?![\d-]|\.\d)", card),
     ("ip", r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)", ip),
     ("date", r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\w/-]|\.\d)", date),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", ssn),
@@ -180,19 +179,92 @@ _SECRET = re.compile(
 _PATTERNS = [(kind, re.compile(pattern), change) for kind, pattern, change in KINDS]
 _DIGIT = re.compile(r"\d")
 
+# Characters of an IBAN by country.
+_IBAN_SIZES = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]*(?![A-Za-z0-9])")
+_IBAN_GROUP = re.compile(r" [A-Z0-9]+(?![A-Za-z0-9])")
+_IBAN_FOURS = re.compile(r"[A-Z0-9]{4}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
+_DIGIT_RUN = re.compile(r"(?<!\d)[0-9](?:[ -]?[0-9]){12,}(?!\d)")
+_DIGIT_GROUP = re.compile(r"[0-9]+")
+_CARD_LAYOUTS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4)}
+_CARD_ISSUERS = re.compile(r"[3-6]|2(?:2[2-9]|[3-6]|7[0-2])")
+
+
+def find_ibans(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the valid IBANs between any two group boundaries, best first; they may overlap.
+
+    Those of their country's length come first, then those of another length in groups of four; longer ones first.
+    """
+    found = []
+    for m in _IBAN_START.finditer(text):
+        start, group = m.start(), m
+        size = 0
+        while group and size <= 34:
+            end = group.end()
+            size += len(group[0].strip())
+            listed = size == _IBAN_SIZES.get(text[start : start + 2])
+            if 15 <= size <= 34 and (listed or _IBAN_FOURS.fullmatch(text, start, end)):
+                plain = text[start:end].replace(" ", "")
+                if f"{_iban_check(plain[:2], plain[4:]):02d}" == plain[2:4]:
+                    found.append((not listed, -size, start, end))
+            group = _IBAN_GROUP.match(text, end)
+    return [f[2:] for f in sorted(found)]
+
+
+def find_cards(text: str) -> list[tuple[bool, int, int]]:
+    """(usual layout, start, end) of the valid card numbers between any two group boundaries, best first; they may overlap.
+
+    A number in one piece or in a layout printed on cards comes before other cuts of the same digits, as their neighbours
+    could complete a check sum by chance; then come first digits that are issued, then longer ones.
+    """
+    found = []
+    for run in _DIGIT_RUN.finditer(text):
+        groups = [m.span() for m in _DIGIT_GROUP.finditer(text, *run.span())]
+        for i, (start, _) in enumerate(groups):
+            if i == 0 and start and text[start - 1] in ".+-":
+                continue
+            digits, sizes = "", ()
+            for a, end in groups[i : i + 19]:
+                digits += text[a:end]
+                sizes += (end - a,)
+                if len(digits) > 19:
+                    break
+                if len(digits) < 13 or luhn_digit(digits[:-1]) != digits[-1] or not digits.strip("0"):
+                    continue
+                if end == run.end() and re.match(r"-|\.\d", text[end : end + 2]):
+                    continue
+                marks = {c for c in text[start:end] if not c.isdigit()}
+                usual = not marks or (len(marks) == 1 and sizes in _CARD_LAYOUTS)
+                found.append((not usual, not _CARD_ISSUERS.match(digits), -len(digits), start, end))
+    return [(not f[0], *f[3:]) for f in sorted(found)]
+
 
 def find(text: str) -> list[tuple[int, int, str, Callable]]:
-    """(start, end, kind, permutation) of what looks like personal data, without overlaps, in order of place.
+    """(start, end, kind, permutation) of what looks like personal data, in order of precedence; places may overlap.
 
-    Earlier kinds take precedence over later ones. Validation is left to the permutations.
+    Earlier kinds take precedence over later ones; cards of unusual layout come last, as their digits can be those of a
+    date and a phone number. Validation of the other kinds is left to the permutations.
     """
     out: list[tuple[int, int, str, Callable]] = []
     if "@" in text:
         out += [(m.start(), m.end(), "email", email) for m in _EMAIL.finditer(text)]
     if _DIGIT.search(text):
         out += [(m.start(1), m.end(1), "secret", secret) for m in _SECRET.finditer(text)]
+        out += [(start, end, "iban", iban) for start, end in find_ibans(text)]
+        cards = find_cards(text)
+        out += [(start, end, "card", card) for usual, start, end in cards if usual]
         for kind, pattern, change in _PATTERNS:
             out += [(m.start(), m.end(), kind, change) for m in pattern.finditer(text)]
+        out += [(start, end, "card", card) for usual, start, end in cards if not usual]
     return out
 
 
@@ -204,16 +276,16 @@ def pseudonym(key: bytes, kind: str, change: Callable, value: str) -> str | None
 def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with each validated value replaced, and (kind, start, end) of the replacements in the new text."""
     chosen: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
     for start, end, kind, change in find(text):
-        if any(start < b and a < end for a, b in taken):
+        # Chosen places are in order and apart, so only the neighbours can overlap.
+        place = bisect.bisect(chosen, (start,))
+        if any(start < b and a < end for a, b, *_ in chosen[max(0, place - 1) : place + 1]):
             continue
         other = pseudonym(key, kind, change, text[start:end])
         if other is not None:
-            taken.append((start, end))
-            chosen.append((start, end, kind, other))
+            chosen.insert(place, (start, end, kind, other))
     parts, spans, at, length = [], [], 0, 0
-    for start, end, kind, other in sorted(chosen):
+    for start, end, kind, other in chosen:
         parts += [text[at:start], other]
         length += start - at
         spans.append((kind, length, length + len(other)))

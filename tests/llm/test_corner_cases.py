@@ -239,3 +239,27 @@ def test_pseudonyms(odd, none, spark):
     assert [k for k, _, _ in spans] == ["card", "email", "date"]
     assert all(pii.pseudonymise(new[a:b], key)[1] for _, a, b in spans)
     assert "4417744280351548 or 1234" in new and "2001-02-30" in new
+
+
+def test_pseudonyms_between_other_numbers():
+    """A card or account number is found, and changed as if alone, whatever numbers and codes stand beside it."""
+    key = b"key"
+    for value in ("4417744280351547", "4417 7442 8035 1547", "4417-7442-8035-1547", "3782 822463 10005"):
+        expected = pii.card(key, value)
+        for n in range(300):
+            for text in (f"{value} {n}/27", f"{n} {value}", f"{n} {value} {n + 7}", f"{value}  {n}.50", f"{n}-{value}-{n}"):
+                new, spans = pii.pseudonymise(text, key)
+                assert new == text.replace(value, expected) and [k for k, _, _ in spans] == ["card"], text
+    two = "4417744280351547 4417 7442 8035 1547 123"
+    assert pii.pseudonymise(two, key)[0] == f"{pii.card(key, two[:16])} {pii.card(key, two[17:36])} 123"
+    for value in ("BE68 5390 0754 7034", "BE68539007547034", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"):
+        for text in (f"{value} EUR", f"{value} EUR 100", f"IBAN {value} BIC 12", f"A1 {value} 4417744280351547", f"AB12 {value}"):
+            new, spans = pii.pseudonymise(text, key)
+            assert pii.iban(key, value) in new and value not in new, text
+            assert [k for k, _, _ in spans] == ["iban", "card"][: len(spans)] and len(spans) == 1 + ("4417" in text)
+    # Neither a card whose check digit is wrong nor a date and a number beside each other become a card.
+    kept = "4417744280351548 12 and 4417 7442 8035 1548/9"
+    assert pii.pseudonymise(kept, key) == (kept, [])
+    for day in range(1, 29):
+        spans = pii.pseudonymise(f"2001-02-{day:02d} 123-45-6789", key)[1]
+        assert [k for k, _, _ in spans] == ["date", "ssn"]
