@@ -2,9 +2,11 @@
 
 A k-mer of code points is a closed syncmer when the least of its inner s-mers, by hash, is its first or its last. That
 depends on the k-mer alone, so the same passage yields the same anchors wherever it stands, and an edit moves only the
-anchors it touches. ``anchors`` returns them with their positions; ``fingerprint`` keeps the ``SKETCH`` smallest
-distinct anchor hashes, an unbiased sketch of the set: the whole set for short texts, and for long ones a sample in
-which any two texts can be compared by ``likeness``, the estimated share of common anchors (Jaccard).
+anchors it touches. ``anchors`` returns them with their positions. Texts at hand are compared by all of them, up to
+collisions of 32-bit hashes: ``jaccard`` is the share of common anchors, ``shared_passages`` the places where they stand.
+
+``sketch`` keeps the ``SKETCH`` smallest distinct anchor hashes for texts that are not at hand together: the whole set
+for short texts, and for long ones an unbiased sample, from which ``likeness`` estimates the share of common anchors.
 """
 
 from __future__ import annotations
@@ -53,6 +55,10 @@ def _mers(codes: np.ndarray, size: int) -> np.ndarray:
     return out ^ (out >> np.uint32(16))
 
 
+def _whole_hash(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+
+
 def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     """Positions and 32-bit hashes of the closed syncmers of a whole text.
 
@@ -60,7 +66,7 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     """
     if not text:
         return np.zeros(0, np.int64), np.zeros(0, np.uint32)
-    whole = np.zeros(1, np.int64), np.array([zlib.crc32(text.encode("utf-8", "surrogatepass"))], np.uint32)
+    whole = np.zeros(1, np.int64), np.array([_whole_hash(text)], np.uint32)
     if len(text) < k:
         return whole
     inner = _mers(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), s)
@@ -102,6 +108,38 @@ def likeness(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
     return len(np.intersect1d(np.intersect1d(a, b, True), union, True)) / len(union)
 
 
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of common values of two whole sets of distinct anchor hashes. Empty = empty."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    common = len(np.intersect1d(a, b, True))
+    return common / (len(a) + len(b) - common)
+
+
+def shared_passages(
+    text: str, found: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and lengths of the passages of ``text`` made of anchors that the other text has too, and the first place of
+    each passage's first anchor in the other text.
+
+    ``found`` and ``other`` are the ``anchors`` of the two texts. Two anchors follow each other within K - S places, so a
+    common passage is found in one piece, less at most K - S code points at either end.
+    """
+    at, hashes = found
+    distinct, first = np.unique(other[1], return_index=True)
+    if not len(at) or not len(distinct):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    place = np.minimum(np.searchsorted(distinct, hashes), len(distinct) - 1)
+    common = distinct[place] == hashes
+    begin, there = at[common], other[0][first[place[common]]]
+    # A text without anchors is one itself.
+    own = len(at) == 1 and hashes[0] == _whole_hash(text)
+    end = begin + (len(text) if own else K)
+    fresh = np.flatnonzero(np.concatenate([np.ones(min(1, len(begin)), bool), begin[1:] > end[:-1]]))
+    last = np.concatenate([fresh[1:], np.full(min(1, len(begin)), len(begin))]) - 1
+    return begin[fresh], end[last] - begin[fresh], there[fresh]
+
+
 def as_text(values: np.ndarray) -> str:
     return values.astype(">u4").tobytes().hex()
 
@@ -183,12 +221,16 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 _NEW = (
     "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
-    "near_next double"
+    "near_next double, shared_next bigint, longest_next bigint"
 )
 
 
 def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each document's fingerprint against that of an edited copy and that of the next document in order of id.
+    """Each document's fingerprint and that of an edited copy, and all its anchors against those of the edited copy and
+    those of the next document in order of id.
+
+    ``near_edited`` and ``near_next`` are shares of common anchors over the whole texts. ``shared_next`` is the number of
+    the document's code points in passages that the next document has too, ``longest_next`` the longest such passage.
 
     In the edited copy the last floor(n/2) code points are replaced by the first as many (or all) of the next document.
     Null texts are empty, null ids come first; rows that share an id are ordered by a hash of their text. A single row
@@ -204,10 +246,10 @@ def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for part in small_batches([batch], "text"):
                 columns = [part.column(c).to_pylist() for c in ("id", "text", "block", "carried")]
                 for name, text, block, carried in zip(*columns, strict=True):
-                    own = sketch(text)
-                    if held and held[3] == block:
-                        rows.append(_compared(*held[:3], text, own))
-                    held = None if carried else (name, text, own, block)
+                    own = _Anchored(text)
+                    if held and held[2] == block:
+                        rows.append(_compared(held[0], held[1], own))
+                    held = None if carried else (name, own, block)
                 yield _batch(rows, batch.schema.field("id").type)
                 rows = []
 
@@ -215,17 +257,29 @@ def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.withColumnRenamed("id", id_col)
 
 
-def _compared(name, text: str, own: np.ndarray, following: str, next_sketch: np.ndarray) -> tuple:
+class _Anchored:
+    """A text, its anchors and their distinct hashes in order, of which the first are its sketch."""
+
+    def __init__(self, text: str):
+        self.text, self.found = text, anchors(text)
+        self.distinct = np.unique(self.found[1])
+
+
+def _compared(name, own: _Anchored, following: _Anchored) -> tuple:
+    text = own.text
     half = len(text) // 2
-    edited = text[: len(text) - half] + following[:half]
-    other = sketch(edited)
+    edited = text[: len(text) - half] + following.text[:half]
+    other = np.unique(anchors(edited)[1])
     digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    near = likeness(own, other), likeness(own, next_sketch)
-    return name, len(text), digest, as_text(own), as_text(other), *near
+    near = jaccard(own.distinct, other), jaccard(own.distinct, following.distinct)
+    lengths = shared_passages(text, own.found, following.found)[1]
+    shared = int(lengths.sum()), int(lengths.max(initial=0))
+    return name, len(text), digest, as_text(own.distinct[:SKETCH]), as_text(other[:SKETCH]), *near, *shared
 
 
 def _batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
     types = [id_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    types += [pa.int64(), pa.int64()]
     names = ["id", *[c.split()[0] for c in _NEW.split(", ")]]
     columns = zip(*rows, strict=True) if rows else [[]] * len(types)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)

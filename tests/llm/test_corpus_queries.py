@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -92,6 +93,39 @@ def test_syncmers(spark, documents):
     assert all(len(v) == 1 for v in same.values())
 
 
+def test_syncmers_of_long_texts(spark, documents):
+    """All anchors of a text are compared, however long it is."""
+    rows = {r.doc_id: r for r in queries.op1_syncmers(spark, SF).collect()}
+    above = 0
+    for i, d in enumerate(documents):
+        text, following = d["text"], documents[(i + 1) % len(documents)]["text"]
+        edited = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        own, copy, after = (set(syncmers.anchors(t)[1].tolist()) for t in (text, edited, following))
+        above += len(own) > syncmers.SKETCH
+        assert abs(rows[d["doc_id"]].near_edited - len(own & copy) / len(own | copy)) < 1e-12
+        assert abs(rows[d["doc_id"]].near_next - len(own & after) / len(own | after)) < 1e-12
+        at, hashes = syncmers.anchors(text)
+        width = syncmers.K if len(text) >= syncmers.K else len(text)
+        covered = {j for p, h in zip(at.tolist(), hashes.tolist(), strict=True) if h in after for j in range(p, p + width)}
+        assert rows[d["doc_id"]].shared_next == len(covered)
+    assert above > 20
+    draw = random.Random(1)
+    long = ["".join(draw.choices("abcdefghijklmnop ", k=128_000)) for _ in range(2)]
+    passage = "".join(draw.choices("qrstuvwxyz ", k=300))
+    one, two = (t[:n] + passage + t[n:] for t, n in zip(long, (90_000, 40_000), strict=True))
+    changed = one.replace(one[70_000:70_008], "another", 1)
+    df = spark.createDataFrame([(1, one), (2, two), (3, one), (4, changed)], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in syncmers.edited_likeness(df).collect()}
+    assert 0 < found[1].near_next < 0.01 and 280 <= found[1].longest_next <= 302 and found[1].shared_next < 400
+    assert 0.999 < found[3].near_next < 1 and len(one) - 60 < found[3].shared_next < len(one)
+    starts, lengths, there = syncmers.shared_passages(one, syncmers.anchors(one), syncmers.anchors(two))
+    start, length, place = max(zip(starts.tolist(), lengths.tolist(), there.tolist(), strict=True), key=lambda p: p[1])
+    assert one[start : start + length] == two[place : place + length] and 0 <= start - 90_000 < 10
+    short = syncmers.anchors("tiny")
+    assert [x.tolist() for x in syncmers.shared_passages("tiny", short, short)] == [[0], [4], [0]]
+    assert not len(syncmers.shared_passages("", syncmers.anchors(""), short)[0])
+
+
 def test_main_text(spark):
     """The article element holds the main text of these pages."""
     import html as entities
