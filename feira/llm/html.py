@@ -2,10 +2,13 @@
 
 A page is cut into blocks at block-level tags. Pass one decides each block by itself: structure that never holds the
 article (menus, forms, scripts, asides, footers, what names itself an advert, notice or comment), link density, length
-and the share of stop words. Short blocks are ambiguous; in pass two they inherit the label of the nearest decided
-block of their section, preferring the article where both sides are equally near.
+and the share of stop words, looked up in the list that fits the block best. Where no list fits the page (another
+language, code, tables), long blocks with few links are good; where one does, long blocks without its words are bad.
+Short blocks are ambiguous; in pass two they inherit the label of the nearest decided block of their section, preferring
+the article where both sides are equally near.
 
-The share of stop words is looked up in the page's own language if one of the lists fits it best.
+A name such as ``sidebar`` may stand on a wrapper around the article itself: if nothing else is the article, an article
+or main element inside such a wrapper is.
 """
 
 from __future__ import annotations
@@ -54,15 +57,19 @@ _BAD_NAME = re.compile(
     re.IGNORECASE,
 )
 _BAD_OUTSIDE = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|skip|legal|tags?|top)(?:$|[\s_-])", re.IGNORECASE)
+#: Names of what a wrapper has or lacks, not of what it is: has-sidebar, post-with-comments, no-ads.
+_MODIFIER = re.compile(r"(?:^|(?<=\s)|[_-]+)(?:has|have|with|without|no|non|hide)[_-]\S*", re.IGNORECASE)
 _BAD_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 LONG, LEAST = 70, 25
 STOP_HIGH, STOP_LOW = 0.12, 0.06
+STOP_FITS = 0.2  # share in a page's whole text from which a list is that of its language
 LINK_MOST = 0.35
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)|<(?=/?[a-zA-Z])[^<]*$", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
+_WIDE = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -73,39 +80,84 @@ class Block(NamedTuple):
     inside: bool  # in the article or main part
     barred: bool  # in structure that never holds the article
     heading: bool
+    listing: bool = False  # preformatted, such as code
+    held: bool = False  # in an article or main part that only names of wrappers around it bar
 
 
-def _barred(tag: str, attributes: str, in_article: bool) -> bool:
+FIXED, NAMED = "fixed", "named"
+
+
+def _bad_name(value: str, in_article: bool) -> bool:
+    value = _MODIFIER.sub(" ", value)
+    return bool(_BAD_NAME.search(value) or (not in_article and _BAD_OUTSIDE.search(value)))
+
+
+def _barred(tag: str, attributes: str, in_article: bool) -> str:
+    """Whether an element never holds the article: by its kind (FIXED), by its class or id only (NAMED), or not ("")."""
     if tag in SKIPPED or tag in ASIDE or (tag == "header" and not in_article):
-        return True
+        return FIXED
     if not attributes.strip() or tag in ("html", "body", "article", "main"):
-        return False
+        return ""
+    named = ""
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         value = m[2] or m[3] or m[4] or ""
-        if name in ("class", "id") and (_BAD_NAME.search(value) or (not in_article and _BAD_OUTSIDE.search(value))):
-            return True
+        if name in ("class", "id") and _bad_name(value, in_article):
+            named = NAMED
         if name == "role" and value.lower() in _BAD_ROLE:
-            return True
+            return FIXED
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return FIXED
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-    return False
+            return FIXED
+    return named
+
+
+def _names_itself_bad(attributes: str) -> bool:
+    found = _ATTRIBUTE.finditer(attributes)
+    return any(m[1].lower() in ("class", "id") and _bad_name(m[2] or m[3] or m[4] or "", True) for m in found)
+
+
+class _Open(NamedTuple):
+    """An open element, and what holds for the text in it."""
+
+    tag: str
+    barred: str
+    inside: str  # the innermost of article and main around, article before main
+    held: bool
+
+
+def _opened(tag: str, attributes: str, parent: _Open) -> _Open:
+    own = _barred(tag, attributes, bool(parent.inside))
+    barred = FIXED if FIXED in (own, parent.barred) else own or parent.barred
+    held = parent.held and not own
+    inside = parent.inside
+    if tag in ("article", "main"):
+        if parent.barred == NAMED and inside != "article" and not (inside and tag == "main"):
+            held = held or not _names_itself_bad(attributes)
+        inside = "article" if "article" in (tag, inside) else "main"
+    return _Open(tag, barred, inside, held)
+
+
+_ROOT = _Open("", "", "", False)
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order, cut at block-level tags. Unclosed and crossing tags are repaired as browsers do."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, barred and inside up to here
+    stack: list[_Open] = []
     parts: list[str] = []
     state = {"linked": 0, "section": 0, "heading": False}
 
     def flush() -> None:
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            barred, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            out.append(Block(text, min(state["linked"], len(text)), state["section"], inside, barred, state["heading"]))
+            top = stack[-1] if stack else _ROOT
+            listing = any(s.tag == "pre" for s in stack)
+            linked = min(state["linked"], len(text))
+            out.append(
+                Block(text, linked, state["section"], bool(top.inside), bool(top.barred), state["heading"], listing, top.held)
+            )
         parts.clear()
         state["linked"] = 0
 
@@ -149,10 +201,7 @@ def blocks(page: str) -> list[Block]:
                         del stack[i:]
                         break
             if tag not in VOID and not m[3].endswith("/"):
-                barred, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                stack.append(
-                    (tag, barred or _barred(tag, m[3], inside), inside or tag in ("article", "main"))
-                )
+                stack.append(_opened(tag, m[3], stack[-1] if stack else _ROOT))
             if tag in RAW and not m[3].endswith("/"):
                 end = re.compile(rf"</{tag}\b[^>]*>?", re.IGNORECASE).search(page, at)
                 if tag in ("title", "textarea"):
@@ -178,6 +227,11 @@ def stop_share(text: str) -> float:
 GOOD, BAD, SHORT = "good", "bad", "short"
 
 
+def _length(text: str) -> int:
+    """Characters, those of scripts that write a word in one or two of them counted three times."""
+    return len(text) + 2 * (0 if text.isascii() else len(_WIDE.findall(text)))
+
+
 def classify(found: list[Block]) -> list[str]:
     """First pass: good, bad, or short (ambiguous)."""
     article = any(b.inside and not b.barred for b in found)
@@ -194,6 +248,21 @@ def classify(found: list[Block]) -> list[str]:
                 labels.append(GOOD)
             else:
                 labels.append(SHORT)
+    # Inside an article pass two makes all that is undecided good.
+    if not article and SHORT in labels:
+        fits = stop_share(" ".join(b.text for b, label in zip(found, labels, strict=True) if label != BAD)) >= STOP_FITS
+        for i, b in enumerate(found):
+            if labels[i] == SHORT and not b.heading and _length(b.text) > LONG:
+                labels[i] = GOOD if not fits else SHORT if b.listing else BAD
+        if GOOD not in labels:
+            # Tables, verses and lists: many short blocks that are long together.
+            sizes: dict[int, int] = {}
+            for b, label in zip(found, labels, strict=True):
+                if label == SHORT:
+                    sizes[b.section] = sizes.get(b.section, 0) + _length(b.text)
+            labels = [
+                GOOD if label == SHORT and sizes[b.section] > LONG else label for b, label in zip(found, labels, strict=True)
+            ]
     return labels
 
 
@@ -221,13 +290,21 @@ def inherit(found: list[Block], labels: list[str]) -> list[str]:
     return [BAD if x == SHORT else x for x in out]
 
 
+def _kept(found: list[Block]) -> str:
+    labels = inherit(found, classify(found))
+    return " ".join(b.text for b, label in zip(found, labels, strict=True) if label == GOOD)
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks in page order, joined by one blank; empty for a null or empty page."""
     if not page:
         return ""
     found = blocks(page)
-    labels = inherit(found, classify(found))
-    return " ".join(b.text for b, label in zip(found, labels, strict=True) if label == GOOD)
+    text = _kept(found)
+    if any(b.held for b in found) and not any(b.inside and not b.barred and not b.heading for b in found):
+        # The longer of the two, as comments beside a text without an article element may be articles of their own.
+        text = max(text, _kept([b._replace(barred=b.barred and not b.held) for b in found]), key=len)
+    return text
 
 
 def extract(df: DataFrame, html_col: str = "html", text: str = "text", n_chars: str = "n_chars") -> DataFrame:

@@ -305,6 +305,47 @@ def test_html_rules():
     assert html.main_text("<article><p>a &lt;b&gt; <!-- x --> c &#233;</article") == "a <b> c é"
 
 
+def test_html_without_a_stop_list():
+    """Pages in other languages, of code and of tables; a list that fits also tells what is not the article."""
+    menu = "<ul><li><a href=1>Etusivu</a></li><li><a href=2>Yhteystiedot</a></li></ul><div>Tilaa</div>"
+    finnish = (
+        "Talvella järven jää kantaa usein jo joulukuussa, mutta keväällä sille ei enää kannata lähteä kävelemään.",
+        "Kalastajat odottavat silloin rannalla, kunnes viimeisetkin lautat ovat sulaneet ja veneet päästään laskemaan vesille.",
+    )
+    page = f"<body>{menu}<div class='text'><h2>Järvellä</h2><p>{finnish[0]}</p><p>Kevät.</p><p>{finnish[1]}</p></div></body>"
+    assert html.main_text(page).endswith(f"Järvellä {finnish[0]} Kevät. {finnish[1]}") and "Etusivu" not in html.main_text(page)
+    japanese = "冬になると湖は厚い氷に覆われ、漁師たちは岸辺で春を待ちながら網を直している。"
+    assert html.main_text(f"<div><p>{japanese}</p></div>") == japanese
+    code = "def area(width, height):\n    total = width * height\n    return round(total, 2) if total > 0 else None"
+    assert html.main_text(f"<div><pre>{code}</pre></div>") == " ".join(code.split())
+    rows = [[f"Station {i}", f"{i}.5 mm", f"{990 + i} hPa"] for i in range(12)]
+    cells = "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows)
+    assert html.main_text(f"<a href=1>Home</a><table>{cells}</table>") == " ".join(c for r in rows for c in r)
+    english = "<p>This is the text of the page and it is about the things that are in it for you and for all of us.</p>" * 3
+    tags = "Photographs Reuters Getty Images Associated Press London Paris Berlin Madrid Rome Vienna Prague Warsaw"
+    found = html.main_text(f"<div>{english}<pre>{code}</pre>{english}</div><div>{tags}</div>")
+    assert "Photographs" not in found and "def area" in found and found.count("This is the text") == 6
+
+
+def test_html_wrappers_with_telling_names():
+    article = "This is the article, and it is about the things that are in it for the reader of the page."
+    other = "I think that this is the best that I have read in a long time and I will be back for more."
+    for name in ("content has-sidebar", "post with-comments", "no-ads layout", "page-with-sidebar", "sidebar-layout", "comments-open"):
+        for kind in ("article", "main"):
+            page = f"<div class='{name}'><{kind}><p>{article}</p><div class='comments'><p>{other}</p></div></{kind}>"
+            page += f"<div class='sidebar'>{other}</div></div><footer>{other}</footer>"
+            assert html.main_text(page) == article, (name, kind)
+    for name in ("has-sidebar", "with_comments", "no-ads"):
+        assert html.main_text(f"<div class='{name}'><p>{article}</p></div><div class='sidebar-with-ads'>{other}</div>") == article
+    # What stands in the comments or beside the article stays out, be it an article element or not.
+    comment = f"<div class='comments'><article class='comment-body'><p>{other * 3}</p></article></div>"
+    assert html.main_text(f"<div><p>{article}</p></div>{comment}") == article
+    related = f"<div class='related'><article><p>{other * 3}</p></article></div>"
+    assert html.main_text(f"<article><p>{article}</p>{related}</article>{related}") == article
+    assert html.main_text(f"<main><h1>Name</h1><div class='sidebar-layout'><article>{article}</article></div></main>") == f"Name {article}"
+    assert html.main_text(f"<aside class='x'><article><p>{article}</p></article></aside>") == ""
+
+
 def test_template_language():
     render = chat.compile_template(
         "{% set a = 'x' ~ 1 %}{% for m in messages %}{% if m.role == 'u' and not false %}<{{ m.text | trim | upper }}>"
