@@ -235,21 +235,22 @@ def archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events landed in four parts, the newest first, streamed part by part and delivered twice; one row each."""
+    """All events landed in four parts, the newest first, each streamed by a run of its own from one checkpoint and
+    delivered twice; one row each."""
     events = adapters.load(spark, sf_dir, "events")
     seconds = F.unix_timestamp("ts")
     cuts = events.select(seconds.cast("double").alias("s")).approxQuantile("s", [0.25, 0.5, 0.75], 0.01)
     part = sum((F.when(seconds > c, 1).otherwise(0) for c in cuts), F.lit(0))
     landed, path, checkpoint = (scratch_path(spark, n) for n in ("events", "dedup", "dedup-checkpoint"))
-    for number in range(len(cuts), -1, -1):
-        events.filter(part == number).coalesce(1).write.mode("append").parquet(landed)
 
     def delivery() -> DataFrame:
-        return adapters.event_topic(archive.file_stream(spark, landed, events.schema, files_per_batch=1))
+        return adapters.event_topic(archive.file_stream(spark, landed, events.schema))
 
-    unique = archive.deduplicate_replays(delivery().unionByName(delivery()), "offset")
-    rows = unique.select("offset", "topic", F.col("value").cast("string").alias("value"))
-    archive.start_append(rows, path, checkpoint, catch_up=True).awaitTermination()
+    for number in range(len(cuts), -1, -1):
+        events.filter(part == number).write.mode("append").parquet(landed)
+        unique = archive.deduplicate_replays(delivery().unionByName(delivery()), "offset")
+        rows = unique.select("offset", "topic", F.col("value").cast("string").alias("value"))
+        archive.start_append(rows, path, checkpoint, catch_up=True).awaitTermination()
     return spark.read.parquet(path)
 
 

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from feira import schemas
 from feira.operators.clean import merge_batch_and_stream
@@ -106,6 +107,24 @@ def test_stream_queries_on_a_folder_table(spark, sf_dir, tmp_path, name):
     assert len(found) == events.count() and found == sorted(map(tuple, registry.QUERIES[name](spark, sf_dir).collect()))
 
 
+def test_hot_second_of_the_replays_is_not_landed_by_one_task(spark, sf_dir, tmp_path, monkeypatch):
+    """Events without a time and of one second stay in their partitions, and parts are still streamed newest first."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    hot = F.when(F.col("event_id") % 3 == 0, None).when(F.col("event_id") % 3 == 1, F.lit(START)).otherwise(F.col("ts"))
+    events.withColumn("ts", hot.cast(events.schema["ts"].dataType)).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(registry, "scratch_path", lambda _, name: str(tmp_path / f"scratch-{name}"))
+    found = [r.offset for r in registry.stream_dedup(spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted(r.event_id for r in events.collect())
+    landed = spark.read.parquet(str(tmp_path / "scratch-events"))
+    sizes = [r["count"] for r in landed.filter("ts is null").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 3 and max(sizes) < 0.5 * sum(sizes)
+    # The part without a time is the last one, read by the last run.
+    nulls = {r[0].rsplit("/", 1)[1] for r in landed.filter("ts is null").select(F.input_file_name()).distinct().collect()}
+    logs = sorted((tmp_path / "scratch-dedup-checkpoint" / "sources" / "0").glob("[0-9]*"), key=lambda p: int(p.name))
+    read = [{n for n in nulls if n in p.read_text()} for p in logs]
+    assert len(read) > 1 and read[-1] == nulls and not any(read[:-1])
+
+
 def test_failure_of_one_query_stops_the_others():
     class Query:
         def __init__(self, error=None):
