@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import chat, exact, html, langid, lines, mixing, packing, pii, simhash, syncmers
+from feira.llm import (
+    chat,
+    exact,
+    html,
+    langid,
+    lines,
+    mixing,
+    negatives,
+    packing,
+    pii,
+    ranked,
+    simhash,
+    syncmers,
+    vectors,
+)
 from feira.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -64,6 +78,19 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise_text(documents, DEMO_KEY).select("doc_id", F.size("found").alias("n_found"), "text")
 
 
+def op11_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_groups(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").withColumn("label", negatives.moved_label())
+    return negatives.mine(embeddings, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +104,9 @@ QUERIES = {
         op8_language_id,
         op9_exact_dedup,
         op10_pseudonyms,
+        op11_projections,
+        op12_ranked_search,
+        op13_hard_negatives,
     )
 }
 
@@ -133,4 +163,69 @@ SQL = {
             from keyed)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from grouped
     """,
+    "op11_projections": """
+        with recursive good as (
+          select vec_id, embedding::double[] as v from embeddings
+          where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links as (
+          select a.vec_id as a, b.vec_id as b from good a join good b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+          where list_cosine_similarity(a.v, b.v) >= 0.9),
+        reach as (
+          select vec_id as a, vec_id as b from embeddings
+          union
+          select r.a, l.b from reach r join links l on r.b = l.a),
+        parts as (select a as vec_id, min(b) as component_id from reach group by a),
+        degrees as (select a as vec_id, count(*) as n_links from links group by a)
+        select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+        from parts left join degrees using (vec_id)
+    """,
+    "op12_ranked_search": """
+        with lowered as (
+          select doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as words from documents),
+        corpus as (
+          select count(*)::bigint as docs, sum(len(words))::bigint as total from lowered where len(words) > 0),
+        occurring as (
+          select doc_id, len(words)::bigint as n, unnest(words) as term from lowered),
+        counted as (select doc_id, n, term, count(*)::bigint as tf from occurring group by all),
+        weighted as (
+          select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+          from counted, corpus group by term, docs),
+        asked as (
+          select item_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from benchmark),
+        wanted as (select item_id, term, count(*)::bigint as times from asked group by all),
+        scored as (
+          select q.item_id, c.doc_id, sum(q.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (
+              100 - 75 + (75 * c.n * docs) // total))))::bigint as score
+          from wanted q join weighted w using (term) join counted c using (term), corpus
+          group by q.item_id, c.doc_id)
+        select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score
+        from scored where score > 0
+        qualify rank <= 10
+    """,
+    "op13_hard_negatives": """
+        with rows as (
+          select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as whole
+          from embeddings
+          where label is not null and embedding is not null and vec_id is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+          select a.vec_id as anchor_id, r.vec_id as id, r.label = a.label as same,
+            list_dot_product(a.whole, r.whole)::bigint as score
+          from rows a join rows r on r.vec_id <> a.vec_id where a.vec_id % 100 = 0),
+        positives as (
+          select anchor_id, id as positive_id, score as positive_score from scored where same
+          qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+        select p.anchor_id, p.positive_id,
+          row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.id)::integer as rank,
+          n.id as negative_id, p.positive_score, n.score as negative_score
+        from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+          and 80 * p.positive_score <= 100 * n.score and 100 * n.score <= 100 * p.positive_score
+        qualify rank <= 5
+    """,
 }
