@@ -39,7 +39,7 @@ COUNT = 3
 WINDOW = 1.0
 SEED = 20240611
 #: Share of a list that is kept at each end, times the square root of the number of vectors.
-_TAIL = 0.0527
+_TAIL = 0.036
 _CODES = 256
 _CHUNK = 1024
 _ROWS = 1024
@@ -398,7 +398,7 @@ def _member_links(undecided: DataFrame, members: DataFrame, cosine: float) -> Da
 
 
 def candidates(members: DataFrame, plan: Plan) -> DataFrame:
-    """(dim, a, b, n): pairs of balls with enough collisions in the sorted lists."""
+    """(a, b, n): pairs of balls with enough collisions in the sorted lists."""
     tails = materialize(
         members.select("dim", "ball", "unit")
         .mapInArrow(_tails(plan), "dim int, list bigint, ball bigint, low float, high float")
@@ -412,7 +412,7 @@ def candidates(members: DataFrame, plan: Plan) -> DataFrame:
     return (
         left.join(right, ["dim", "list"])
         .filter((F.col("a") < F.col("b")) & window)
-        .groupBy("dim", "a", "b")
+        .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= plan.count)
     )
@@ -473,6 +473,7 @@ def link_groups(
     decided = materialize(
         found.join(sides[0], "a")
         .join(sides[1], "b")
+        .withColumn("dim", F.size("left_centre"))
         .mapInArrow(_decide(cosine), "a bigint, b bigint, left_size bigint, right_size bigint, whole boolean"),
         "vector-decided",
     )
