@@ -2,33 +2,34 @@
 
 Lines are compared lower-cased and with single blanks; blank lines are left alone. Equal lines become one candidate
 first. A line's signature has ``BANDS * ROWS`` MinHash values over its ``SHINGLE``-character shingles; two lines with a
-Jaccard similarity of 0.8 share one of the 12 bands of 4 with a probability of 0.998. Lines that share a band are
-verified on their exact shingle sets and united, and of each component one line stays.
-
-Texts travel only where they are needed. ``FIRST_BANDS`` bands come first, and find most true links; of the other bands,
-only buckets that still hold lines not known to be linked are verified. A bucket with more than ``CELL`` lines is cut into
-chunks whose pairs are cells of their own, so no task gathers an unbounded bucket and no pair is lost. A cell reports at
-most one link per line.
+Jaccard similarity of 0.8 share one of the 12 bands of 4 with a probability of 0.998 (0.9999 at 0.85). Lines that share
+a band are verified on their shingle sets and united, and of each component one line stays.
+
+Buckets are counted by an aggregate, never gathered: those of equal members, as the bands of near copies mostly are,
+are verified once. A bucket of up to ``CELL`` lines is one cell. A larger one is first cut into chunks of that size, one
+cell each; as the chunks differ from band to band, this unites groups of many near copies in time that is linear in
+their size. Only large buckets that still hold several components then have their chunks compared with each other, and
+there only lines of different components, so no pair is lost. A cell reports at most one link per line.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feira.llm.common import col, ship, small_batches, text_or_empty
-from feira.llm.components import components
+from feira.llm.common import col, fresh, ship, small_batches, text_or_empty
+from feira.llm.components import components, roots
 from feira.llm.syncmers import _mers as run_hashes
 from feira.session import materialize
 
 SHINGLE = 10
 BANDS, ROWS = 12, 4
-FIRST_BANDS = 3
 SIMILARITY = 0.8
 CELL = 256
 
@@ -55,24 +56,43 @@ def similarity(a: set[str], b: set[str]) -> float:
     return common / (len(a) + len(b) - common)
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """One 64-bit key per line and band."""
+def _blocks(lines: list[str], most: int = 1 << 15) -> Iterator[slice]:
+    """Consecutive lines of about ``most`` code points, so that the arrays over them stay in a core's cache."""
+    start = size = 0
+    for i, line in enumerate(lines):
+        if size and size + len(line) > most:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(line)
+    if start < len(lines):
+        yield slice(start, len(lines))
+
+
+def _shingled(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all lines, which places start a shingle, and each line's number of shingles, repeats included."""
     padded = [s.ljust(SHINGLE, "\0") for s in lines]
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
-    hashes = run_hashes(codes, SHINGLE)
     ends = np.cumsum(sizes)
-    # Drop the runs that reach into the next line.
+    # Runs that reach into the next line are none of its shingles.
     inside = np.ones(len(codes), bool)
     for back in range(1, SHINGLE):
         inside[ends - back] = False
-    hashes = hashes[inside[: len(hashes)]]
-    counts = sizes - SHINGLE + 1
-    starts = np.cumsum(counts) - counts
+    return codes, inside[: len(codes) - SHINGLE + 1], sizes - SHINGLE + 1
+
+
+def band_keys(lines: list[str]) -> np.ndarray:
+    """One 64-bit key per line and band."""
     least = np.empty((len(lines), BANDS * ROWS), np.uint32)
-    for i in range(BANDS * ROWS):
-        mixed = hashes * _FACTORS[i] + _ADDENDS[i]
-        least[:, i] = np.minimum.reduceat(mixed ^ (mixed >> np.uint32(15)), starts)
+    for block in _blocks(lines):
+        codes, inside, counts = _shingled(lines[block])
+        hashes = run_hashes(codes, SHINGLE)[inside]
+        starts = np.cumsum(counts) - counts
+        mixed = np.empty_like(hashes)
+        for i in range(BANDS * ROWS):
+            np.multiply(hashes, _FACTORS[i], out=mixed)
+            np.add(mixed, _ADDENDS[i], out=mixed)
+            least[block, i] = np.minimum.reduceat(mixed, starts)
     keys = np.zeros((len(lines), BANDS), np.uint64)
     for row in range(ROWS):
         keys = (keys ^ least[:, row::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
@@ -80,251 +100,345 @@ def band_keys(lines: list[str]) -> np.ndarray:
     return keys * np.uint64(2 * BANDS) + np.arange(BANDS, dtype=np.uint64)
 
 
-def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[list[str]]]]:
-    """Ids and normal lines (blank ones as "") of some documents at a time."""
-    for batch in batches:
-        for part in small_batches([batch], "text", 500_000):
-            texts = part.column("text").to_pylist()
-            yield part.column("id").to_pylist(), [[normal(x) for x in t.split("\n")] for t in texts]
-
-
 def _digest(line: str) -> bytes:
     return hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, line_no, h, bands) of every line that isn't blank; bands are given where a task first meets a line."""
-    work = df.select(col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", number_col: str | None = None) -> DataFrame:
+    """(id, number, line_no, h, bands, line) of every line that isn't blank.
+
+    Bands and text are given where a task first meets a line; ``number`` is the row's own, if ``number_col`` names it.
+    """
+    number = col(number_col).cast("bigint") if number_col else F.lit(0).cast("bigint")
+    work = df.select(col(id_col).alias("id"), number.alias("number"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = None
         for batch in batches:
-            kind = batch.schema.field("id").type
-            for ids, documents in _parts([batch]):
+            for part in small_batches([batch], "text", 500_000):
                 new: dict[str, int] = {}
-                rows: list[tuple] = []
-                for name, lines in zip(ids, documents, strict=True):
-                    for number, line in enumerate(lines):
+                owner, place_in_text, which, first = [], [], [], []
+                for i, text in enumerate(part.column("text").to_pylist()):
+                    for at, raw in enumerate(text.split("\n")):
+                        line = normal(raw)
                         if line:
-                            first = line not in new
-                            place = new.setdefault(line, len(new))
-                            rows.append((name, number, line, place if first else None))
-                if not rows:
+                            known = len(new)
+                            place = new.setdefault(line, known)
+                            owner.append(i)
+                            place_in_text.append(at)
+                            which.append(place)
+                            first.append(place == known)
+                if not owner:
                     continue
-                keys = [k.astype("<u8").tobytes() for k in band_keys(list(new))]
-                digests = {line: _digest(line) for line in new}
+                lines = list(new)
+                at = pa.array(which, pa.int32())
+                seen = pa.array([i if f else None for i, f in zip(which, first, strict=True)], pa.int32())
+                keys = band_keys(lines).view(np.int64)
+                ends = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([r[0] for r in rows], kind),
-                        pa.array([r[1] for r in rows], pa.int32()),
-                        pa.array([digests[r[2]] for r in rows], pa.binary()),
-                        pa.array([None if r[3] is None else keys[r[3]] for r in rows], pa.binary()),
+                        part.column("id").take(pa.array(owner, pa.int32())),
+                        part.column("number").take(pa.array(owner, pa.int32())),
+                        pa.array(place_in_text, pa.int32()),
+                        pa.array(map(_digest, lines), pa.binary()).take(at),
+                        pa.ListArray.from_arrays(ends, pa.array(keys.ravel())).take(seen),
+                        pa.array(lines, pa.string()).take(seen),
                     ],
-                    ["id", "line_no", "h", "bands"],
+                    ["id", "number", "line_no", "h", "bands", "line"],
                 )
 
     kind = work.schema["id"].dataType.simpleString()
-    return work.mapInArrow(run, f"id {kind}, line_no int, h binary, bands binary")
+    shape = f"id {kind}, number bigint, line_no int, h binary, bands array<bigint>, line string"
+    return work.mapInArrow(run, shape)
+
+
+_POWERS = np.cumprod(np.full(SHINGLE, 0xD6E8FEB86659FD93, np.uint64))
+
+
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, hash) of every distinct 64-bit shingle hash of each line, sorted."""
+    owners, hashes, done = [], [], 0
+    for block in _blocks(lines):
+        codes, inside, counts = _shingled(lines[block])
+        wide = codes.astype(np.uint64)
+        # Spread first, so that sums of small code points do not meet by chance.
+        wide = (wide ^ np.uint64(0x2545F4914F6CDD1D)) * np.uint64(0xFF51AFD7ED558CCD)
+        wide ^= wide >> np.uint64(32)
+        n = len(codes) - SHINGLE + 1
+        total = np.zeros(n, np.uint64)
+        for j in range(SHINGLE):
+            total += wide[j : j + n] * _POWERS[j]
+        hashes.append(total[inside])
+        owners.append(np.repeat(np.arange(done, done + len(counts)), counts))
+        done += len(counts)
+    owner, value = np.concatenate(owners), np.concatenate(hashes)
+    order = np.lexsort((value, owner))
+    owner, value = owner[order], value[order]
+    new = np.append(True, (owner[1:] != owner[:-1]) | (value[1:] != value[:-1]))
+    return owner[new], value[new]
+
+
+def _close(common: np.ndarray, a: np.ndarray, b: np.ndarray, least: float, same: Callable[[int], bool]) -> np.ndarray:
+    """Whether pairs with ``common`` of ``a`` and ``b`` shingles reach the similarity; near the limit ``same`` decides
+    on the shingles themselves."""
+    found = common / (a + b - common) >= least
+    for i in np.flatnonzero(np.abs(common - least * (a + b) / (1 + least)) < 0.75):
+        found[i] = same(int(i))
+    return found
+
+
+_PAIRS_UP_TO = 4
+_MATRIX = 1 << 22
+
+
+def _cell_links(known: np.ndarray, lines: list[str], owner: np.ndarray, value: np.ndarray, size: np.ndarray, least: float) -> tuple:
+    """Pairs (i, j) of one cell's lines that are similar enough, found by a product of their incidence matrix."""
+    n = len(lines)
+    distinct, place = np.unique(value, return_inverse=True)
+    common = np.zeros((n, n), np.float32)
+    step = max(1, _MATRIX // n)
+    for begin in range(0, len(distinct), step):
+        here = (place >= begin) & (place < begin + step)
+        held = np.zeros((n, min(step, len(distinct) - begin)), np.float32)
+        held[owner[here], place[here] - begin] = 1
+        common += held @ held.T
+    i, j = np.nonzero(np.triu(common, 1))
+    apart = (known[i] != known[j]) & (np.minimum(size[i], size[j]) >= least * np.maximum(size[i], size[j]))
+    i, j = i[apart], j[apart]
+    near = _close(
+        common[i, j], size[i], size[j], least, lambda k: similarity(shingles(lines[i[k]]), shingles(lines[j[k]])) >= least
+    )
+    return i[near], j[near]
+
+
+def _pair_links(
+    first: np.ndarray, second: np.ndarray, lines: list[str], start: np.ndarray, value: np.ndarray, size: np.ndarray, least: float
+) -> np.ndarray:
+    """Which of many pairs of lines are similar enough, by counting equal neighbours in one sorted array."""
+    sizes = np.stack([size[first], size[second]], axis=1).ravel()
+    begins = np.stack([start[first], start[second]], axis=1).ravel()
+    pair = np.repeat(np.arange(len(first)), size[first] + size[second])
+    within = np.arange(len(pair)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    values = value[np.repeat(begins, sizes) + within]
+    order = np.lexsort((values, pair))
+    values, pair = values[order], pair[order]
+    equal = (values[1:] == values[:-1]) & (pair[1:] == pair[:-1])
+    common = np.bincount(pair[1:][equal], minlength=len(first))
+    return _close(
+        common,
+        size[first],
+        size[second],
+        least,
+        lambda k: similarity(shingles(lines[first[k]]), shingles(lines[second[k]])) >= least,
+    )
 
 
-def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(h, text) of the lines, once for each part of a task."""
-    work = df.select(col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+def verified_links(cell: np.ndarray, known: np.ndarray, lines: list[str], least: float = SIMILARITY) -> np.ndarray:
+    """For rows sorted by cell, the first row of each row's component within its cell.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, documents in _parts(batches):
-            lines = list({x for d in documents for x in d if x})
-            arrays = [pa.array(map(_digest, lines), pa.binary()), pa.array(lines, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, ["h", "line"])
+    Two rows of a cell are linked if the Jaccard similarity of their shingle sets is ``least`` or more; rows of one
+    ``known`` component are not compared, but united where another link needs them.
+    """
+    owner, value = shingle_hashes(lines)
+    size = np.bincount(owner, minlength=len(lines))
+    start = np.cumsum(size) - size
+    bounds = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    sizes = np.diff(np.append(bounds, len(cell)))
+    a, b = [], []
+    for n in range(2, _PAIRS_UP_TO + 1):
+        at = bounds[sizes == n]
+        for i, j in combinations(range(n), 2):
+            a.append(at + i)
+            b.append(at + j)
+    a, b = (np.concatenate(x).astype(np.int64) for x in (a, b))
+    open_ = (known[a] != known[b]) & (np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b]))
+    a, b = a[open_], b[open_]
+    if len(a):
+        # In slices of pairs, so that the sorted arrays stay small.
+        work = np.cumsum(size[a] + size[b])
+        cuts = [0, *np.searchsorted(work, np.arange(_MATRIX, work[-1], _MATRIX)).tolist(), len(a)]
+        near = [
+            _pair_links(a[x:y], b[x:y], lines, start, value, size, least) for x, y in pairwise(cuts) if y > x
+        ]
+        near = np.concatenate(near)
+        a, b = a[near], b[near]
+    found = [(a, b)]
+    for at, n in zip(bounds[sizes > _PAIRS_UP_TO], sizes[sizes > _PAIRS_UP_TO], strict=True):
+        rows = slice(int(at), int(at + n))
+        held = slice(int(start[at]), int(start[at + n - 1] + size[at + n - 1]))
+        i, j = _cell_links(known[rows], lines[rows], owner[held] - at, value[held], size[rows], least)
+        found.append((i + at, j + at))
+    # Rows of one known component in one cell belong together.
+    order = np.lexsort((known, cell))
+    same = (cell[order[1:]] == cell[order[:-1]]) & (known[order[1:]] == known[order[:-1]])
+    found.append((order[1:][same], order[:-1][same]))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    return roots(len(lines), a, b)
+
+
+def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of rows sorted by cell, one for each row that is not the first of its component in the cell."""
+    for table in _cells(batches):
+        keys = np.stack([table.column(k).to_numpy() for k in _CELL])
+        cell = np.cumsum(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
+        node, known = table.column("node").to_numpy(), table.column("known").to_numpy()
+        first = verified_links(cell, known, table.column("line").to_pylist())
+        moved = np.flatnonzero(first != np.arange(len(first)))
+        yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[first[moved]])], ["a", "b"])
 
-    return work.mapInArrow(run, "h binary, line string")
 
+_CELL = ("key", "left", "right")
 
-def _runs(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...], rows: int = 50_000) -> Iterator[pa.Table]:
-    """Tables of about ``rows`` rows of a sorted input that end where a key ends."""
+
+def _cells(batches: Iterable[pa.RecordBatch], rows: int = 4_000, chars: int = 4_000_000) -> Iterator[pa.Table]:
+    """Tables of some thousand rows or characters of the sorted input that end where a cell ends."""
     held: list[pa.RecordBatch] = []
-    n = 0
+    n = size = 0
     for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
-        if n >= rows:
-            table = pa.Table.from_batches(held)
-            tail = np.ones(n, bool)
-            for k in keys:
-                values = table.column(k).to_numpy()
-                tail &= values == values[-1]
-            cut = n - int(tail.sum())
-            if cut:
-                yield table.slice(0, cut)
-            held, n = table.slice(cut).to_batches(), n - cut
+        if not batch.num_rows:
+            continue
+        for part in small_batches([batch], "line", chars):
+            held.append(part)
+            n += part.num_rows
+            size += part.column("line").nbytes
+            if n >= rows or size >= chars:
+                table = pa.Table.from_batches(held)
+                tail = np.ones(n, bool)
+                for k in _CELL:
+                    values = table.column(k).to_numpy()
+                    tail &= values == values[-1]
+                cut = n - int(tail.sum())
+                if cut:
+                    yield table.slice(0, cut)
+                held, n = table.slice(cut).to_batches(), n - cut
+                size = sum(x.column("line").nbytes for x in held) if n else 0
     if n:
         yield pa.Table.from_batches(held)
 
 
-def _numbered(table: pa.Table) -> np.ndarray:
-    """Number of each row's key in a table sorted by key."""
-    key = table.column("key").to_numpy()
-    return np.cumsum(np.append(True, key[1:] != key[:-1])) - 1
-
-
-def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of keys that have more than one, with their number ``n``; input sorted by key."""
-    for table in _runs(batches, ("key",)):
-        number = _numbered(table)
-        n = np.bincount(number)[number]
-        sized = table.append_column("n", pa.array(n, pa.int64()))
-        yield from sized.filter(pa.array(n > 1)).combine_chunks().to_batches()
-
-
-def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of keys whose nodes are not all known to be linked; input sorted by key."""
-    for table in _runs(batches, ("key",)):
-        number, known = _numbered(table), table.column("known").to_numpy()
-        starts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
-        apart = np.minimum.reduceat(known, starts) != np.maximum.reduceat(known, starts)
-        yield from table.filter(pa.array(apart[number])).combine_chunks().to_batches()
-
-
-def verified_links(nodes: list[int], known: list[int], lines: list[str], least: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Links that unite the lines of a cell whose exact similarity is high enough; ``known`` components are united
-    from the start. Pairs that are united already need no comparison."""
-    parent = list(range(len(nodes)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    at: dict[int, int] = {}
-    for i, c in enumerate(known):
-        parent[i] = at.setdefault(c, i)
-    apart, joined = len(at), False
-    sets: list[set[str] | None] = [None] * len(nodes)
-    for j in range(1, len(nodes)):
-        if apart == 1:
-            break
-        for i in range(j):
-            a, b = root(i), root(j)
-            if a == b:
-                continue
-            sets[i] = sets[i] or shingles(lines[i])
-            sets[j] = sets[j] or shingles(lines[j])
-            low, high = sorted((len(sets[i]), len(sets[j])))
-            if low >= least * high and similarity(sets[i], sets[j]) >= least:
-                parent[max(a, b)] = min(a, b)
-                joined = True
-                apart -= 1
-    # Each line points at the first of its component, so that least neighbours tell most of what is linked.
-    return [(nodes[i], nodes[root(i)]) for i in range(len(nodes)) if root(i) != i] if joined else []
-
-
-def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys = ("key", "left", "right")
-    for table in _runs(batches, keys, 5_000):
-        cells = np.stack([table.column(k).to_numpy() for k in keys])
-        first = np.flatnonzero(np.append(True, (cells[:, 1:] != cells[:, :-1]).any(axis=0)))
-        links: list[tuple[int, int]] = []
-        for a, b in zip(first, np.append(first[1:], table.num_rows), strict=True):
-            if b - a > 1:
-                part = table.slice(int(a), int(b - a))
-                links += verified_links(*[part.column(c).to_pylist() for c in ("node", "known", "line")])
-        arrays = [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)]
-        yield pa.RecordBatch.from_arrays(arrays, ["a", "b"])
-
-
-def _links(members: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
-    """Verified links from rows (key, node, n, known) of shared buckets with ``n`` rows or less."""
-    chunks: Column = F.ceil(F.col("n") / cell).cast("int")
-    own = F.pmod(F.xxhash64("node"), chunks).cast("int")
-    each = F.transform(
-        F.sequence(F.lit(0), chunks - 1),
-        lambda i: F.struct(F.least(i, own).alias("left"), F.greatest(i, own).alias("right")),
-    )
-    cells = members.select("key", "node", "known", F.inline(each))
+def _links(cells: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """Verified links of cells (key, left, right, node, known)."""
     return materialize(
         cells.join(texts, "node")
-        .repartition("key", "left", "right")
-        .sortWithinPartitions("key", "left", "right", "node")
-        .select("key", "left", "right", "node", "known", "line")
+        .repartition(*_CELL)
+        .sortWithinPartitions(*_CELL, "node")
+        .select(*_CELL, "node", "known", "line")
         .mapInArrow(_verify, "a bigint, b bigint"),
-        "line-links",
+        name,
     )
 
 
-def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:
-    """One row per line that isn't blank: id, line_no (from 0), class_id, class_doc_id, class_line_no, class_size, kept.
-
-    Lines of one class are connected by similarities of ``SIMILARITY`` or more. Its line with the smallest id and number
-    stays, one of them if that repeats; null ids come first. Null and empty texts have no lines.
-    """
-    ship(df.sparkSession)
-    found = materialize(
-        occurrences(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "line-occurrences"
+def _class_links(signed: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
+    """(node, component) of all lines that are linked with another."""
+    spread = signed.select("node", F.explode("bands").alias("key"))
+    # Buckets of the same lines, by count, ends and two sums over their members, are one bucket.
+    counted = spread.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("node").alias("low"),
+        F.max("node").alias("high"),
+        F.sum(F.xxhash64("node").bitwiseAND(F.lit((1 << 32) - 1))).alias("mark"),
     )
-    distinct = materialize(found.groupBy("h").agg(F.min("row").alias("node")), "line-distinct")
-    # The first row of a line has its bands.
-    signed = found.filter("bands is not null").groupBy("h").agg(F.min_by("bands", "row").alias("bands"), F.min("row").alias("node"))
-    key = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.struct(b.alias("band"), F.substring(F.col("bands"), b * 8 + 1, F.lit(8)).alias("key")),
+    members = ["n", "low", "high", "mark"]
+    buckets = materialize(
+        counted.filter("n > 1").groupBy(*members).agg(F.min("key").alias("key")), "line-buckets"
     )
-    spread = signed.select("node", F.inline(key)).select(F.xxhash64("band", "key").alias("key"), "node", "band")
-    shared = materialize(
-        spread.select("key", "node", (F.col("band") < FIRST_BANDS).alias("early"))
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_shared, "key bigint, node bigint, early boolean, n bigint"),
-        "line-buckets",
+    # A bucket of two is known by its ends; only larger ones need their members.
+    two = buckets.filter("n = 2").select("key", "n", F.explode(F.array("low", "high")).alias("node"))
+    larger = spread.join(buckets.filter("n > 2").select("key", "n"), "key").select("key", "n", "node")
+    chunks: Column = F.ceil(F.col("n") / cell).cast("int")
+    placed = materialize(
+        two.unionByName(larger).select(
+            "key", "node", chunks.alias("chunks"), F.pmod(F.xxhash64("node", "key"), chunks).cast("int").alias("chunk")
+        ),
+        "line-members",
     )
-    needed = materialize(shared.select("node").distinct().join(distinct, "node").select("node", "h"), "line-needed")
-    texts = materialize(
-        _texts(df, id_col, text_col).join(needed, "h").groupBy("node").agg(F.first("line").alias("line")), "line-texts"
+    needed = materialize(placed.select("node").distinct(), "line-needed")
+    texts = materialize(texts.join(needed, "node"), "line-texts")
+    own = placed.select("key", F.col("chunk").alias("left"), F.col("chunk").alias("right"), "node", F.col("node").alias("known"))
+    links = _links(own, texts, "line-links")
+    labels = components(links, "line-components")
+    large = placed.filter("chunks > 1")
+    if large.isEmpty():
+        return labels
+    labels = materialize(labels, "line-labels")
+    large = materialize(
+        large.join(labels, "node", "left").select(
+            "key", "node", "chunks", "chunk", F.coalesce("component", "node").alias("known")
+        ),
+        "line-large",
     )
-    early = _links(shared.filter("early").withColumn("known", F.col("node")), texts, cell)
-    # A node's least neighbour is certainly linked to it.
-    both = early.unionByName(early.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-    known = materialize(least.select("node", F.least("node", "m").alias("known")), "line-known")
-    late = (
-        shared.filter("not early")
-        .join(known, "node", "left")
-        .select("key", "node", "n", F.coalesce("known", "node").alias("known"))
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_open, "key bigint, node bigint, n bigint, known bigint")
+    mixed = materialize(
+        large.groupBy("key").agg(F.min("known").alias("low"), F.max("known").alias("high")).filter("low < high").select("key"),
+        "line-mixed",
     )
-    more = _links(materialize(late, "line-late"), texts, cell)
-    labels = materialize(components(early.unionByName(more), "line-components"), "line-labels")
+    each = F.transform(
+        F.sequence(F.lit(0), F.col("chunks") - 1),
+        lambda i: F.struct(F.least(i, F.col("chunk")).alias("left"), F.greatest(i, F.col("chunk")).alias("right")),
+    )
+    pairs = large.join(mixed, "key").select("key", "node", "known", F.inline(each)).filter("left < right")
+    more = _links(pairs, texts, "line-more-links")
+    return components(links.unionByName(more), "line-components")
+
+
+def _classes(df: DataFrame, id_col: str, text_col: str, number_col: str | None, cell: int) -> DataFrame:
+    ship(df.sparkSession)
+    found = materialize(
+        occurrences(df, id_col, text_col, number_col).withColumn("row", F.monotonically_increasing_id()), "line-occurrences"
+    )
+    # The first row of a line has its bands and its text.
+    signed = materialize(
+        found.filter("bands is not null").groupBy("h").agg(F.min_by("bands", "row").alias("bands"), F.min("row").alias("node")),
+        "line-distinct",
+    )
+    texts = found.filter("line is not null").select(F.col("row").alias("node"), "line")
+    labels = materialize(_class_links(signed, texts, cell), "line-labels")
     named = materialize(
-        distinct.join(labels, "node", "left").select("h", F.coalesce("component", "node").alias("class_id")), "line-classes"
+        signed.select("h", "node").join(labels, "node", "left").select("h", F.coalesce("component", "node").alias("class_id")),
+        "line-classes",
     )
-    classed = materialize(found.select("id", "line_no", "h", "row").join(named, "h").drop("h"), "line-classed")
+    classed = materialize(found.select("id", "number", "line_no", "h", "row").join(named, "h").drop("h"), "line-classed")
     keepers = materialize(
         classed.groupBy("class_id").agg(
             F.min(F.struct("id", "line_no", "row")).alias("keeper"), F.count(F.lit(1)).alias("class_size")
         ),
         "line-keepers",
     )
-    return classed.join(keepers, "class_id").select(
+    return classed.join(keepers, "class_id").withColumn("kept", F.col("row") == F.col("keeper.row"))
+
+
+def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:
+    """One row per line that isn't blank: id, line_no (from 0), class_id, class_doc_id, class_line_no, class_size, kept.
+
+    Lines of one class are connected by similarities of ``SIMILARITY`` or more. Its line with the smallest id and number
+    stays, one of them if that repeats; null ids come first. Rows that repeat an id are rows of their own. Null and empty
+    texts have no lines.
+    """
+    return _classes(df, id_col, text_col, None, cell).select(
         F.col("id").alias(id_col),
         "line_no",
         "class_id",
         F.col("keeper.id").alias("class_doc_id"),
         F.col("keeper.line_no").alias("class_line_no"),
         "class_size",
-        (F.col("row") == F.col("keeper.row")).alias("kept"),
+        "kept",
     )
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:
     """``df`` with the lines that do not stay taken out of its texts.
 
-    Rows that share an id also share the numbers of the lines taken out of any of them.
+    Lines are taken out of the very row they stand in, whatever ids repeat or are null: rows are written with a number of
+    their own first. Blank lines stay. Texts without a line to take out, null ones included, are left as they are.
     """
-    gone = line_classes(df, id_col, text_col).filter("not kept").groupBy(id_col).agg(F.collect_set("line_no").alias("gone"))
-    gone = materialize(gone.withColumnRenamed(id_col, "gone_id"), "lines-gone")
-    joined = df.join(gone, col(id_col).eqNullSafe(F.col("gone_id")), "left")
-    numbered = F.transform(F.split(col(text_col), "\n"), lambda line, i: F.when(F.array_contains("gone", i), F.lit(None)).otherwise(line))
-    text = F.when(F.col("gone").isNull(), col(text_col)).otherwise(F.concat_ws("\n", F.filter(numbered, lambda x: x.isNotNull())))
+    number, out = fresh(df, "__number"), "__out"
+    rows = materialize(df.withColumn(number, F.monotonically_increasing_id()), "line-rows")
+    out = fresh(rows, out)
+    losers = _classes(rows, id_col, text_col, number, cell).filter("not kept")
+    gone = materialize(
+        losers.groupBy(F.col("number").alias(number)).agg(F.collect_set("line_no").alias(out)), "lines-gone"
+    )
+    joined = rows.join(gone, number, "left")
+    lines = F.transform(
+        F.split(col(text_col), "\n"), lambda line, i: F.when(~F.array_contains(col(out), i), line)
+    )
+    text = F.when(col(out).isNull(), col(text_col)).otherwise(F.concat_ws("\n", F.filter(lines, lambda x: x.isNotNull())))
     return joined.select(*[text.alias(c) if c.lower() == text_col.lower() else col(c) for c in df.columns])
