@@ -34,7 +34,7 @@ COSINE = 0.9
 #: Wanted share of found pairs among those right at the limit; closer pairs are found more often.
 RECALL = 0.9998
 #: Collisions that a pair needs before it is verified.
-COUNT = 3
+COUNT = 2
 #: Half width of a window, in standard deviations of a projection.
 WINDOW = 1.0
 SEED = 20240611
