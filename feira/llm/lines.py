@@ -151,11 +151,13 @@ def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     return work.mapInArrow(run, shape)
 
 
+#: Bits of a shingle's hash; the others of a 64-bit number hold a line or pair, so that one plain sort orders both.
+_HASH_BITS = np.uint64(44)
 _POWERS = np.cumprod(np.full(SHINGLE, 0xD6E8FEB86659FD93, np.uint64))
 
 
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(line number, hash) of every distinct 64-bit shingle hash of each line, sorted."""
+    """(line number, hash) of every distinct 44-bit shingle hash of each line, sorted."""
     owners, hashes, done = [], [], 0
     for block in _blocks(lines):
         codes, inside, counts = _shingled(lines[block])
@@ -170,24 +172,23 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         hashes.append(total[inside])
         owners.append(np.repeat(np.arange(done, done + len(counts)), counts))
         done += len(counts)
-    owner, value = np.concatenate(owners), np.concatenate(hashes)
-    order = np.lexsort((value, owner))
-    owner, value = owner[order], value[order]
-    new = np.append(True, (owner[1:] != owner[:-1]) | (value[1:] != value[:-1]))
-    return owner[new], value[new]
+    key = np.sort((np.concatenate(owners).astype(np.uint64) << _HASH_BITS) | (np.concatenate(hashes) >> (np.uint64(64) - _HASH_BITS)))
+    key = key[np.append(True, key[1:] != key[:-1])]
+    return (key >> _HASH_BITS).astype(np.int64), key & ((np.uint64(1) << _HASH_BITS) - np.uint64(1))
 
 
 def _close(common: np.ndarray, a: np.ndarray, b: np.ndarray, least: float, same: Callable[[int], bool]) -> np.ndarray:
-    """Whether pairs with ``common`` of ``a`` and ``b`` shingles reach the similarity; near the limit ``same`` decides
-    on the shingles themselves."""
+    """Whether pairs with ``common`` of ``a`` and ``b`` shingles reach the similarity; near the limit, where one chance
+    collision of hashes would count, ``same`` decides on the shingles themselves."""
     found = common / (a + b - common) >= least
-    for i in np.flatnonzero(np.abs(common - least * (a + b) / (1 + least)) < 0.75):
+    for i in np.flatnonzero(np.abs(common - least * (a + b) / (1 + least)) <= 1):
         found[i] = same(int(i))
     return found
 
 
 _PAIRS_UP_TO = 4
-_MATRIX = 1 << 22
+#: Cells of an incidence matrix, and shingles of the pairs that are compared at once.
+_MATRIX = 1 << 20
 
 
 def _cell_links(known: np.ndarray, lines: list[str], owner: np.ndarray, value: np.ndarray, size: np.ndarray, least: float) -> tuple:
@@ -218,11 +219,9 @@ def _pair_links(
     begins = np.stack([start[first], start[second]], axis=1).ravel()
     pair = np.repeat(np.arange(len(first)), size[first] + size[second])
     within = np.arange(len(pair)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    values = value[np.repeat(begins, sizes) + within]
-    order = np.lexsort((values, pair))
-    values, pair = values[order], pair[order]
-    equal = (values[1:] == values[:-1]) & (pair[1:] == pair[:-1])
-    common = np.bincount(pair[1:][equal], minlength=len(first))
+    key = np.sort((pair.astype(np.uint64) << _HASH_BITS) | value[np.repeat(begins, sizes) + within])
+    twice = key[1:][key[1:] == key[:-1]] >> _HASH_BITS
+    common = np.bincount(twice.astype(np.int64), minlength=len(first))
     return _close(
         common,
         size[first],
@@ -327,29 +326,75 @@ def _links(cells: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _class_links(signed: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
-    """(node, component) of all lines that are linked with another."""
-    spread = signed.select("node", F.explode("bands").alias("key"))
-    # Buckets of the same lines, by count, ends and two sums over their members, are one bucket.
-    counted = spread.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("node").alias("low"),
-        F.max("node").alias("high"),
-        F.sum(F.xxhash64("node").bitwiseAND(F.lit((1 << 32) - 1))).alias("mark"),
+def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, row) of a sorted input whose key stands in a neighbouring row too, and the ends of the input, whose
+    neighbours other tasks have. No more than a batch is held."""
+    before: int | None = None
+    held: pa.RecordBatch | None = None
+    first = True
+
+    def flush(part: pa.RecordBatch, after: int | None) -> pa.RecordBatch:
+        nonlocal first
+        key = part.column("key").to_numpy()
+        same = key[1:] == key[:-1]
+        keep = np.append(False, same) | np.append(same, False)
+        keep[0] |= first or key[0] == before
+        keep[-1] |= after is None or key[-1] == after
+        first = False
+        return part.filter(pa.array(keep))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            yield flush(held, batch.column("key")[0].as_py())
+            before = held.column("key")[held.num_rows - 1].as_py()
+        held = batch
+    if held is not None:
+        yield flush(held, None)
+
+
+def _members(found: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(key, node) of the lines that share a band's key with another line.
+
+    The rows of all bands are sorted over ranges of key and row, so that a hot key is split; all but a few rows have a
+    key of their own and end there.
+    """
+    signed = found.filter("bands is not null")
+    shared = materialize(
+        signed.select(F.explode("bands").alias("key"), "row")
+        .repartitionByRange("key", "row")
+        .sortWithinPartitions("key", "row")
+        .mapInArrow(_shared, "key bigint, row bigint"),
+        "line-shared",
+    )
+    node = signed.select("row", "h").join(distinct, "h").select("row", "node")
+    return materialize(
+        shared.join(node, "row").groupBy("key", "node").agg(F.lit(1).alias("x")).select("key", "node"), "line-members"
     )
-    members = ["n", "low", "high", "mark"]
-    buckets = materialize(
-        counted.filter("n > 1").groupBy(*members).agg(F.min("key").alias("key")), "line-buckets"
+
+
+def _class_links(members: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
+    """(node, component) of all lines that are linked with another."""
+    # Buckets of the same lines, by count, ends and a sum over their members, are one bucket.
+    buckets = (
+        members.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("node").alias("low"),
+            F.max("node").alias("high"),
+            F.sum(F.xxhash64("node").bitwiseAND(F.lit((1 << 32) - 1))).alias("mark"),
+        )
+        .filter("n > 1")
+        .groupBy("n", "low", "high", "mark")
+        .agg(F.min("key").alias("key"))
     )
-    # A bucket of two is known by its ends; only larger ones need their members.
-    two = buckets.filter("n = 2").select("key", "n", F.explode(F.array("low", "high")).alias("node"))
-    larger = spread.join(buckets.filter("n > 2").select("key", "n"), "key").select("key", "n", "node")
     chunks: Column = F.ceil(F.col("n") / cell).cast("int")
     placed = materialize(
-        two.unionByName(larger).select(
+        members.join(materialize(buckets.select("key", "n"), "line-buckets"), "key").select(
             "key", "node", chunks.alias("chunks"), F.pmod(F.xxhash64("node", "key"), chunks).cast("int").alias("chunk")
         ),
-        "line-members",
+        "line-placed",
     )
     needed = materialize(placed.select("node").distinct(), "line-needed")
     texts = materialize(texts.join(needed, "node"), "line-texts")
@@ -384,16 +429,12 @@ def _classes(df: DataFrame, id_col: str, text_col: str, number_col: str | None,
     found = materialize(
         occurrences(df, id_col, text_col, number_col).withColumn("row", F.monotonically_increasing_id()), "line-occurrences"
     )
-    # The first row of a line has its bands and its text.
-    signed = materialize(
-        found.filter("bands is not null").groupBy("h").agg(F.min_by("bands", "row").alias("bands"), F.min("row").alias("node")),
-        "line-distinct",
-    )
+    distinct = materialize(found.groupBy("h").agg(F.min("row").alias("node")), "line-distinct")
+    # The first row of a line has its text.
     texts = found.filter("line is not null").select(F.col("row").alias("node"), "line")
-    labels = materialize(_class_links(signed, texts, cell), "line-labels")
+    labels = materialize(_class_links(_members(found, distinct), texts, cell), "line-labels")
     named = materialize(
-        signed.select("h", "node").join(labels, "node", "left").select("h", F.coalesce("component", "node").alias("class_id")),
-        "line-classes",
+        distinct.join(labels, "node", "left").select("h", F.coalesce("component", "node").alias("class_id")), "line-classes"
     )
     classed = materialize(found.select("id", "number", "line_no", "h", "row").join(named, "h").drop("h"), "line-classed")
     keepers = materialize(

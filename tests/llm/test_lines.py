@@ -122,7 +122,7 @@ def test_cells_of_every_size(size):
 
 
 def test_matrices_of_long_lines_are_cut(monkeypatch):
-    monkeypatch.setattr(lines, "_MATRIX", 500)
+    monkeypatch.setattr(lines, "_MATRIX", 5000)
     rng = random.Random(4)
     base = "".join(rng.choice("abcdefghijklmnop") for _ in range(3000))
     texts = [varied(rng, base, 5) for _ in range(8)] + ["".join(rng.choice("qrstuv") for _ in range(2900))]
