@@ -76,17 +76,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/feira/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared scratch area and return a scan of the written files.
 
     Unlike a cache this survives lost executors, gives later column pruning and pushdown a real scan, and tells
     the planner the true size, so that small results are broadcast by Spark's own threshold and large ones not.
+    Tables of texts take half the space with ``compression="zstd"``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     paths = getattr(_scope, "paths", None)
     (_unowned.setdefault(spark.sparkContext.applicationId, []) if paths is None else paths).append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
