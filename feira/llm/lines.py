@@ -354,23 +354,22 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush(held, None)
 
 
-def _members(found: DataFrame, distinct: DataFrame) -> DataFrame:
+def _members(found: DataFrame, nodes: DataFrame) -> DataFrame:
     """(key, node) of the lines that share a band's key with another line.
 
     The rows of all bands are sorted over ranges of key and row, so that a hot key is split; all but a few rows have a
     key of their own and end there.
     """
-    signed = found.filter("bands is not null")
     shared = materialize(
-        signed.select(F.explode("bands").alias("key"), "row")
+        found.filter("bands is not null")
+        .select(F.explode("bands").alias("key"), "row")
         .repartitionByRange("key", "row")
         .sortWithinPartitions("key", "row")
         .mapInArrow(_shared, "key bigint, row bigint"),
         "line-shared",
     )
-    node = signed.select("row", "h").join(distinct, "h").select("row", "node")
     return materialize(
-        shared.join(node, "row").groupBy("key", "node").agg(F.lit(1).alias("x")).select("key", "node"), "line-members"
+        shared.join(nodes.select("row", "node"), "row").groupBy("key", "node").agg(F.lit(1).alias("x")).select("key", "node"), "line-members"
     )
 
 
@@ -397,7 +396,7 @@ def _class_links(members: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
         "line-placed",
     )
     needed = materialize(placed.select("node").distinct(), "line-needed")
-    texts = materialize(texts.join(needed, "node"), "line-texts")
+    texts = materialize(texts.join(needed, "node"), "line-texts", "zstd")
     own = placed.select("key", F.col("chunk").alias("left"), F.col("chunk").alias("right"), "node", F.col("node").alias("known"))
     links = _links(own, texts, "line-links")
     labels = components(links, "line-components")
@@ -427,16 +426,19 @@ def _class_links(members: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
 def _classes(df: DataFrame, id_col: str, text_col: str, number_col: str | None, cell: int) -> DataFrame:
     ship(df.sparkSession)
     found = materialize(
-        occurrences(df, id_col, text_col, number_col).withColumn("row", F.monotonically_increasing_id()), "line-occurrences"
+        occurrences(df, id_col, text_col, number_col).withColumn("row", F.monotonically_increasing_id()),
+        "line-occurrences",
+        "zstd",
     )
     distinct = materialize(found.groupBy("h").agg(F.min("row").alias("node")), "line-distinct")
     # The first row of a line has its text.
     texts = found.filter("line is not null").select(F.col("row").alias("node"), "line")
-    labels = materialize(_class_links(_members(found, distinct), texts, cell), "line-labels")
-    named = materialize(
-        distinct.join(labels, "node", "left").select("h", F.coalesce("component", "node").alias("class_id")), "line-classes"
+    nodes = materialize(found.select("id", "number", "line_no", "h", "row").join(distinct, "h").drop("h"), "line-nodes")
+    labels = materialize(_class_links(_members(found, nodes), texts, cell), "line-labels")
+    classed = materialize(
+        nodes.join(labels, "node", "left").withColumn("class_id", F.coalesce("component", "node")).drop("node", "component"),
+        "line-classed",
     )
-    classed = materialize(found.select("id", "number", "line_no", "h", "row").join(named, "h").drop("h"), "line-classed")
     keepers = materialize(
         classed.groupBy("class_id").agg(
             F.min(F.struct("id", "line_no", "row")).alias("keeper"), F.count(F.lit(1)).alias("class_size")
