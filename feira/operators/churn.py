@@ -227,7 +227,7 @@ def is_held_back(seed: int = 7) -> Column:
     return F.conv(digits, 16, 10).cast("bigint") % HELD_BACK == 0
 
 
-def _with_weights(table: DataFrame) -> DataFrame:
+def with_weights(table: DataFrame) -> DataFrame:
     """The positive class is ``loyal``, the one campaigns look for; both classes get equal total weight."""
     counts = table.agg(F.count("*").alias("n"), F.sum("churned").alias("churned")).first()
     n, churned = counts["n"], counts["churned"] or 0
@@ -258,8 +258,8 @@ def _pr_auc() -> BinaryClassificationEvaluator:
 
 def _split(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Training people and held-back people, each with weights of their own."""
-    used = materialize(_with_weights(table.filter(~is_held_back())), "churn-training")
-    return used, materialize(_with_weights(table.filter(is_held_back())), "churn-test")
+    used = materialize(with_weights(table.filter(~is_held_back())), "churn-training")
+    return used, materialize(with_weights(table.filter(is_held_back())), "churn-test")
 
 
 def _measured(model: PipelineModel, features: tuple[str, ...], test: DataFrame, fold_score: float) -> ChurnModel:

@@ -32,7 +32,7 @@ def parse_payload(archive: DataFrame, payload: T.StructType) -> DataFrame:
 def parse_logistics(archive: DataFrame) -> DataFrame:
     """Typed delivery dates of the logistics topic, latest message per order."""
     messages = parse_payload(archive, schemas.LOGISTICS_PAYLOAD)
-    latest = first_per_key(messages, ["order_id"], _newest_first())
+    latest = first_per_key(messages, ["order_id"], newest_first())
     dates = ("delivered_carrier_date", "delivered_customer_date", "estimated_delivery_date")
     return latest.select(
         "order_id",
@@ -41,7 +41,7 @@ def parse_logistics(archive: DataFrame) -> DataFrame:
     )
 
 
-def _newest_first() -> list:
+def newest_first() -> list:
     return [F.col("kafka_offset").desc_nulls_last(), F.col("kafka_partition").desc_nulls_last()]
 
 
@@ -64,7 +64,7 @@ def merge_batch_and_stream(
     if archive is not None:
         rows = rows.unionByName(parse_payload(archive, payload).withColumn("__source", F.lit(1)))
     rest = [F.col(c).asc_nulls_last() for c in batch.columns if c != key]
-    order = [F.col("__source").desc(), *_newest_first(), *rest]
+    order = [F.col("__source").desc(), *newest_first(), *rest]
     return first_per_key(rows, [key], order).select(batch.columns)
 
 

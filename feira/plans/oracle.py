@@ -329,6 +329,42 @@ def _counts() -> str:
     )
 
 
+def _margin(point) -> str:
+    """Linear sum of a published point; doubles throughout."""
+    terms = [f"{point.coefficients[f]!r}::double * {f}" for f in sorted(point.coefficients)]
+    return " + ".join([f"{point.intercept!r}::double", *terms])
+
+
+def _probability(point) -> str:
+    return f"1 / (1 + exp(-({_margin(point)})))"
+
+
+def _trees(ensemble) -> str:
+    """The split table as CASE expressions, one per tree."""
+    held = {(n.tree, n.node): n for n in ensemble.nodes}
+
+    def case(tree: int, number: int) -> str:
+        n = held[tree, number]
+        if n.feature is None:
+            return f"{n.value!r}::double"
+        return f"case when {n.feature} <= {n.threshold!r} then {case(tree, n.left)} else {case(tree, n.right)} end"
+
+    return " + ".join(f"{w!r}::double * ({case(tree, 1)})" for tree, w in enumerate(ensemble.weights))
+
+
+_PUBLISHED = f"""
+    select customer_unique_id, churned, round({_probability(r.CHURN_POINTS[1])}, 4) as churn_probability from training"""
+_CURVE = f"""
+    select threshold, positives, negatives, tp, fp, tp / (tp + fp) as precision, tp / sum(positives) over () as recall from (
+        select *, (sum(positives) over falling)::bigint as tp, (sum(negatives) over falling)::bigint as fp from (
+            select churn_probability as threshold, sum(churned)::bigint as positives,
+                sum(1 - churned)::bigint as negatives from ({_PUBLISHED}) group by 1)
+        window falling as (order by threshold desc))"""
+_BEST = f"""
+    select threshold, 2 * precision * recall / (precision + recall) as f1 from ({_CURVE}) where tp > 0
+    order by f1 desc nulls last, threshold desc limit 1"""
+
+
 def statements() -> dict[str, str]:
     fact_key = """row_number() over (order by order_id nulls first, customer_key nulls first, product_key nulls first,
         seller_key nulls first, {ties} item_price nulls first, freight_value nulls first)"""
@@ -340,6 +376,10 @@ def statements() -> dict[str, str]:
         "page_orders": f"""
             select {_ORDER_COLUMNS}, (select count(*) from raw_orders) as total_rows
             from raw_orders order by order_id limit 100 offset 200""",
+        "page_orders_deep": f"""
+            select {_ORDER_COLUMNS}, n as total_rows
+            from (select *, count(*) over () as n, row_number() over (order by order_id) - 1 as place from raw_orders)
+            where place // 100 = (n + 99) // 100 - 2""",
         "lookup_order": f"select {_ORDER_COLUMNS} from raw_orders where order_id = '{r.LOOKUP_VALUE}'",
         "orders_in_range": f"""
             select {_ORDER_COLUMNS} from raw_orders
@@ -356,6 +396,7 @@ def statements() -> dict[str, str]:
             where order_purchase_timestamp::timestamp between timestamp '{r.RANGE[0]}' and timestamp '{r.RANGE[1]}'
             order by order_purchase_timestamp, order_id limit 50 offset 50""",
         "csv_roundtrip": "select * from raw_products",
+        "csv_line_breaks": "select doc_id::varchar as doc_id, text, lang, source from documents",
         "raw_ingest": f"select {_ORDER_COLUMNS}, true as has_time from raw_orders",
         "split_batch": "select rank, order_id, order_purchase_timestamp from head_orders",
         "split_stream": "select rank, order_id, order_purchase_timestamp from tail_orders",
@@ -378,6 +419,17 @@ def statements() -> dict[str, str]:
                 cast(user_id % 4 as integer) as kafka_partition, event_id as kafka_offset,
                 {_text('ts')} as kafka_timestamp from events""",
         "stream_dedup": 'select event_id as "offset", event_type as topic, props as value from events',
+        "ordered_messages": """
+            select order_id, order_status, kafka_partition, place as kafka_offset, place from (
+                select order_id, order_status, cast(cast(customer_id as bigint) % 4 as integer) as kafka_partition,
+                    row_number() over (partition by cast(customer_id as bigint) % 4 order by late, rank) - 1 as place
+                from (select order_id, customer_id, order_status, rank, 0 as late from tail_orders union all
+                    select order_id, customer_id, 'delivered', rank, 1 from tail_orders
+                    where order_status = 'shipped'))""",
+        "clean_feed_orders": f"""
+            select {_ORDER_COLUMNS} from head_orders union all
+            select {_ORDER_COLUMNS} from (select * replace (case when order_status = 'shipped' then 'delivered'
+                else order_status end as order_status) from tail_orders)""",
         "merge_orders": f"""
             select {_ORDER_COLUMNS} from head_orders union all
             select {_ORDER_COLUMNS} from (select * replace (case when order_status = 'shipped' then 'delivered'
@@ -662,9 +714,36 @@ def statements() -> dict[str, str]:
                 f"round(coalesce(({f} - avg({f}) over ()) / nullif(stddev_samp({f}) over (), 0), 0), 4) + 0.0 as {f}"
                 for f in FEATURES)}
             from training""",
-        "churn_scores": "select customer_unique_id, true as is_probability from training",
-        "churn_scores_boosted": "select customer_unique_id, true as is_probability from training",
-        "churn_alerts": "select customer_unique_id, true as follows_rule from training",
+        "churn_scores": f"""
+            select customer_unique_id, round({_probability(r.CHURN_POINTS[1])}, 9) as churn_probability
+            from training""",
+        "churn_scores_boosted": f"""
+            select customer_unique_id, round(1 / (1 + exp(-2 * ({_trees(r.CHURN_TREES)}))), 9) as churn_probability
+            from training""",
+        "churn_gradient": " union all ".join(
+            f"""
+            select '{p.name}' as point, round(sum(weight * (greatest(z, 0) - z * churned + ln(1 + exp(-abs(z)))))
+                    / sum(weight), 6) as loss, '{f}' as feature,
+                round(sum(weight * (1 / (1 + exp(-z)) - churned) * {f or 1}) / sum(weight), 4) + 0.0 as slope
+            from (select *, {_margin(p)} as z,
+                count(*) over () / (2.0::double * count(*) over (partition by churned)) as weight from training)"""
+            for p in r.CHURN_POINTS
+            for f in ("", *p.coefficients)
+        ),
+        "churn_pr_curve": f"select * replace (round(precision, 9) as precision, round(recall, 9) as recall) from ({_CURVE})",
+        "churn_pr_area": f"""
+            select round(area, 9) as area, threshold, round(f1, 9) as f1 from (
+                select sum((recall - coalesce(r0, 0)) * (precision + coalesce(p0, precision)) / 2) as area from (
+                    select *, lag(recall) over (order by threshold desc) as r0,
+                        lag(precision) over (order by threshold desc) as p0 from ({_CURVE}))),
+                ({_BEST})""",
+        "churn_alerts": f"""
+            select customer_unique_id, churn_probability from ({_PUBLISHED})
+            where churn_probability >= (select threshold from ({_BEST}))""",
+        "churn_alert_list": f"""
+            select customer_unique_id, churn_probability from ({_PUBLISHED})
+            qualify row_number() over (order by churn_probability desc, customer_unique_id)
+                <= count(*) over () // {r.ALERT_SHARE}""",
         "churn_models": """
             select model, cast(features as integer) as features, count(*) filter (not held) as training_people,
                 count(*) filter (held) as test_people, count(*) filter (held and churned = 0) as loyal_test_people

@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira import schemas
 from feira.functions.casts import apply_table_casts, iso_timestamp
 from feira.functions.text import clean_text
-from feira.operators import churn, clean, logistics, quality, reviews, sales, scd, star
+from feira.operators import churn, clean, logistics, quality, reviews, sales, scd, scoring, star
 from feira.operators.gaps import event_gaps
 from feira.operators.keys import Split
 from feira.plans import adapters, medallion
 from feira.session import materialize, scratch_path
 from feira.sources import readers, sinks
+from feira.sources.pages import PageIndex
 from feira.sources.snapshots import SnapshotTable
-from feira.streaming import archive
+from feira.streaming import archive, clean_feed, ordered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +35,43 @@ LOOKUP_VALUE = "0000000077"
 ANALYSIS_DATE = "2002-01-01"
 CHURN_CUTOFF = "2001-01-01"
 CHANNEL_QUARTER = (1998, 3)
+#: Published models, as data: their results can be checked without fitting anything.
+CHURN_POINTS = (
+    scoring.LogisticPoint("constant", 0.0, dict.fromkeys(churn.FEATURES, 0.0)),
+    scoring.LogisticPoint(
+        "published",
+        -1.5,
+        {
+            "recency_days": 0.004,
+            "frequency": -0.12,
+            "monetary": -2e-6,
+            "delivery_delay_days": 0.03,
+            "freight_ratio": 0.5,
+            "avg_review_score": -0.2,
+            "max_installments": 0.05,
+        },
+    ),
+    scoring.LogisticPoint("recency", 0.5, {"recency_days": 0.001, "frequency": -0.05}),
+)
+CHURN_TREES = scoring.Ensemble(
+    (
+        scoring.Node(0, 1, "recency_days", 120.5, 2, 3, None),
+        scoring.Node(0, 2, "frequency", 6.5, 4, 5, None),
+        scoring.Node(0, 3, None, None, None, None, 0.8),
+        scoring.Node(0, 4, None, None, None, None, 0.1),
+        scoring.Node(0, 5, None, None, None, None, -0.7),
+        scoring.Node(1, 1, "avg_review_score", 3.25, 2, 3, None),
+        scoring.Node(1, 2, "monetary", 250000.0, 4, 5, None),
+        scoring.Node(1, 3, None, None, None, None, -0.25),
+        scoring.Node(1, 4, None, None, None, None, 0.4),
+        scoring.Node(1, 5, "delivery_delay_days", 1.5, 6, 7, None),
+        scoring.Node(1, 6, None, None, None, None, -0.1),
+        scoring.Node(1, 7, None, None, None, None, 0.3),
+    ),
+    (1.0, 0.1),
+)
+#: The campaign calls this share of all people.
+ALERT_SHARE = 10
 PHRASES = ("atraso", "nunca chegou", "the", "le la")
 
 _built: dict[tuple, object] = {}
@@ -155,6 +194,12 @@ def page_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.page(adapters.raw_orders(spark, sf_dir), "order_id", page=3, size=100)
 
 
+def page_orders_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last page but one, from the page index."""
+    index = PageIndex(adapters.raw_orders(spark, sf_dir), ["order_id"])
+    return index.page(index.pages(100) - 1, 100)
+
+
 def lookup_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.lookup({"orders": adapters.raw_orders(spark, sf_dir)}, "orders", LOOKUP_VALUE)
 
@@ -184,6 +229,15 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, path, schemas.RAW_SCHEMAS["products"])
 
 
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as CSV and read back: line breaks, commas and quotes inside values, many tasks a file."""
+    path = scratch_path(spark, "csv")
+    documents = adapters.load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    sinks.export_csv(documents, path)
+    shape = T.StructType([T.StructField(c, T.StringType()) for c in documents.columns])
+    return readers.read_csv(spark, path, shape, line_breaks=True)
+
+
 def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = medallion.Lakehouse(spark, scratch_path(spark, "raw"))
     medallion.ingest_raw(lake, {"orders": adapters.raw_orders(spark, sf_dir)})
@@ -254,15 +308,71 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _order_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream's orders, every shipped one followed by a message that delivers it."""
+    split = order_split(spark, sf_dir)
+    shipped = split.tail.filter(F.col("order_status") == "shipped")
+    later = shipped.withColumns({"order_status": F.lit("delivered"), "rank": F.col("rank") + split.rows})
+    return sinks.order_messages(split.tail.unionByName(later), _CARRIED)
+
+
+def _numbered_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a topic with offsets 0, 1, ... per partition, as a broker gives them, written as it is to land."""
+    topic = _topic(_order_news(spark, sf_dir))
+    offset = F.row_number().over(W.partitionBy("partition").orderBy("offset")) - 1
+    return materialize(topic.withColumn("offset", offset.cast("bigint")), "numbered-topic")
+
+
+def _land_backwards(topic: DataFrame, landed: str) -> Iterator[None]:
+    """Three landings, the latest offsets first."""
+    third = F.floor(F.col("offset") * 3 / (F.max("offset").over(W.partitionBy("partition")) + 1))
+    parts = materialize(topic.withColumn("third", third), "landing")
+    for number in (2, 1, 0):
+        parts.filter(F.col("third") == number).drop("third").write.mode("append").parquet(landed)
+        yield
+
+
+def ordered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages landed backwards, released per partition in the order of their offsets."""
+    topic = _numbered_topic(spark, sf_dir)
+    landed, path, checkpoint = (scratch_path(spark, n) for n in ("news", "ordered", "ordered-checkpoint"))
+    for _ in _land_backwards(topic, landed):
+        stream = archive.envelope(archive.file_stream(spark, landed)).drop(schemas.INGESTED_AT)
+        released = ordered.in_order(stream, ["kafka_partition"], "kafka_offset")
+        archive.start_append(released, path, checkpoint, catch_up=True).awaitTermination()
+    order_id = F.get_json_object("kafka_value", "$.order_id").alias("order_id")
+    status = F.get_json_object("kafka_value", "$.order_status").alias("order_status")
+    return spark.read.parquet(path).select(order_id, status, "kafka_partition", "kafka_offset", ordered.PLACE)
+
+
+def clean_feed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean orders kept by a stream whose messages land backwards and are all replayed in the end, with a fold on the
+    way and one batch written once more."""
+    topic, payload = _numbered_topic(spark, sf_dir), schemas.RAW_SCHEMAS["orders"]
+    landed, path, checkpoint = (scratch_path(spark, n) for n in ("news", "feed", "feed-checkpoint"))
+
+    def run() -> None:
+        stream = archive.envelope(archive.file_stream(spark, landed))
+        clean_feed.start_clean_feed(stream, path, checkpoint, payload, "orders", "order_id", True).awaitTermination()
+
+    for _ in _land_backwards(topic, landed):
+        run()
+    clean_feed.fold(spark, path, "order_id")
+    topic.write.mode("append").parquet(landed)
+    run()
+    again = archive.envelope(topic.filter("offset % 2 = 0"))
+    clean_feed.write_batch(again, 1, path, payload, "orders", "order_id")
+    head = apply_table_casts(order_split(spark, sf_dir).head.drop("rank"), "orders")
+    return plain(clean_feed.read_clean_feed(spark, path, "order_id", head))
+
+
 # Clean layer --------------------------------------------------------------------------------------------------------
 
 
 def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch plus the archived stream, in which every shipped order is followed by a message that delivers it."""
     split = order_split(spark, sf_dir)
-    shipped = split.tail.filter(F.col("order_status") == "shipped")
-    later = shipped.withColumns({"order_status": F.lit("delivered"), "rank": F.col("rank") + split.rows})
-    stored = _archived(_topic(sinks.order_messages(split.tail.unionByName(later), _CARRIED)))
+    stored = _archived(_topic(_order_news(spark, sf_dir)))
     return clean.merge_batch_and_stream(
         split.head.drop("rank"), stored, schemas.RAW_SCHEMAS["orders"], "order_id"
     )
@@ -531,18 +641,49 @@ def churn_features_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled.select("customer_unique_id", *[(F.round(f, 4) + 0.0).alias(f) for f in churn.FEATURES])
 
 
-def _checked_scores(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Every person once, and whether the score is a probability."""
-    p = F.col("churn_probability")
-    return _churn_scores(spark, sf_dir, kind).select("customer_unique_id", p.between(0.0, 1.0).alias("is_probability"))
+def _published_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the published point, written; rounded, so that many people tie."""
+    score = F.round(CHURN_POINTS[1].probability(), 4).alias("churn_probability")
+    return _once(
+        spark,
+        sf_dir,
+        "published",
+        lambda: materialize(_training(spark, sf_dir).select("customer_unique_id", "churned", score), "churn-published"),
+    )
 
 
 def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked_scores(spark, sf_dir, "logistic")
+    score = F.round(CHURN_POINTS[1].probability(), 9).alias("churn_probability")
+    return _training(spark, sf_dir).select("customer_unique_id", score)
 
 
 def churn_scores_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked_scores(spark, sf_dir, "boosted")
+    score = F.round(scoring.boosted_probability(CHURN_TREES), 9).alias("churn_probability")
+    return _training(spark, sf_dir).select("customer_unique_id", score)
+
+
+def churn_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-weighted log-loss of the published points and its derivative by every coefficient."""
+    weighted = churn.with_weights(_training(spark, sf_dir))
+    found = scoring.logistic_loss(weighted, CHURN_POINTS, "churned", F.col("weight"))
+    return found.select("point", F.round("loss", 6).alias("loss"), F.explode("gradient").alias("feature", "slope")).select(
+        "point", "loss", "feature", (F.round("slope", 4) + 0.0).alias("slope")
+    )
+
+
+def _curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.pr_curve(_published_scores(spark, sf_dir), "churn_probability", "churned")
+
+
+def churn_pr_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rounded = {c: F.round(c, 9) for c in ("precision", "recall")}
+    return _curve(spark, sf_dir).withColumns(rounded)
+
+
+def churn_pr_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curve = materialize(_curve(spark, sf_dir), "pr-curve")
+    best = scoring.best_threshold(curve).select("threshold", F.round("f1", 9).alias("f1"))
+    return scoring.pr_area(curve).select(F.round("area", 9).alias("area")).join(best, F.lit(True))
 
 
 def churn_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -581,17 +722,16 @@ def churn_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every person, and whether the alert list has exactly those above the threshold."""
-    scores = materialize(_churn_scores(spark, sf_dir), "churn-scores")
-    listed = churn.alerts(scores).select("customer_unique_id", F.lit(True).alias("listed"))
-    above = F.col("churn_probability") > 0.5
-    return scores.join(listed, "customer_unique_id", "left").select(
-        "customer_unique_id", (F.coalesce("listed", F.lit(False)) == above).alias("follows_rule")
-    )
+    """People from the threshold on at which precision and recall are best together."""
+    threshold = scoring.best_threshold(_curve(spark, sf_dir)).first().threshold
+    scores = _published_scores(spark, sf_dir).drop("churned")
+    return scores.filter(F.col("churn_probability") >= F.lit(threshold))
 
 
 def churn_alert_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return churn.alerts(_churn_scores(spark, sf_dir))
+    """The tenth of all people that is most likely to leave, ties by id."""
+    scores = _published_scores(spark, sf_dir).drop("churned")
+    return scoring.top_rows(scores, "churn_probability", ["customer_unique_id"], scores.count() // ALERT_SHARE)
 
 
 def on_time_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -606,11 +746,13 @@ FACT = "fct_order_items"
 QUERIES: dict[str, Query] = {
     "catalog_counts": catalog_counts,
     "page_orders": page_orders,
+    "page_orders_deep": page_orders_deep,
     "lookup_order": lookup_order,
     "orders_in_range": orders_in_range,
     "orders_in_range_page": orders_in_range_page,
     "table_schemas": table_schemas,
     "csv_roundtrip": csv_roundtrip,
+    "csv_line_breaks": csv_line_breaks,
     "raw_ingest": raw_ingest,
     "split_batch": split_batch,
     "split_stream": split_stream,
@@ -618,6 +760,8 @@ QUERIES: dict[str, Query] = {
     "logistics_messages": logistics_messages,
     "archive_stream": archive_stream,
     "stream_dedup": stream_dedup,
+    "ordered_messages": ordered_messages,
+    "clean_feed_orders": clean_feed_orders,
     "merge_orders": merge_orders,
     "parse_logistics": parse_logistics,
     "typed_items": _typed("order_items", adapters.raw_order_items),
@@ -697,6 +841,9 @@ QUERIES: dict[str, Query] = {
     "churn_scores_boosted": churn_scores_boosted,
     "churn_probabilities": churn_probabilities,
     "churn_probabilities_boosted": churn_probabilities_boosted,
+    "churn_gradient": churn_gradient,
+    "churn_pr_curve": churn_pr_curve,
+    "churn_pr_area": churn_pr_area,
     "churn_alerts": churn_alerts,
     "churn_alert_list": churn_alert_list,
     "churn_models": churn_models,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira import schemas
+from feira.sources.quoted import read_quoted_csv
 
 MAX_PAGE_ROWS = 10_000
 
@@ -19,14 +20,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks:
     """Header CSV as text columns: no inference, so zip codes keep their zeros. Byte-order mark, quoted commas and
     doubled quotes are understood. Columns are matched by position.
 
-    A file holds one row per line and is split over tasks. ``line_breaks=True`` is for files with line breaks inside
-    quotes: such a break hides where rows start, so each file is then read by one task.
+    Files are split over tasks. ``line_breaks=True`` is for files with line breaks inside quotes: it costs one more
+    scan, which finds out where records start.
     """
+    if line_breaks:
+        return read_quoted_csv(spark, path, schema)
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("encoding", "UTF-8")
-        .option("multiLine", line_breaks)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)
@@ -70,7 +72,7 @@ def read_jdbc(
     )
 
 
-def _check_page(page: int, size: int) -> None:
+def check_page(page: int, size: int) -> None:
     if page < 1 or not 1 <= size <= MAX_PAGE_ROWS:
         raise ValueError(f"page must be >= 1 and size in 1..{MAX_PAGE_ROWS}, got page={page} size={size}")
 
@@ -82,7 +84,7 @@ def _slice(df: DataFrame, order_by: list[str | Column], page: int, size: int) ->
 
 def page(df: DataFrame, key: str, page: int = 1, size: int = 100) -> DataFrame:
     """One page in key order (ties by the other columns) with the table's total row count beside every row."""
-    _check_page(page, size)
+    check_page(page, size)
     others = [c for c in df.columns if c != key]
     total = df.agg(F.count("*").alias("n")).scalar()
     return _slice(df, [key, *others], page, size).withColumn("total_rows", total)
@@ -90,7 +92,7 @@ def page(df: DataFrame, key: str, page: int = 1, size: int = 100) -> DataFrame:
 
 def page_after(df: DataFrame, key: str, last_key: str | None, size: int = 100) -> DataFrame:
     """Next page after a unique key: a filter that reaches the scan instead of skipping rows."""
-    _check_page(1, size)
+    check_page(1, size)
     rest = df if last_key is None else df.filter(F.col(key) > F.lit(last_key))
     return rest.orderBy(key).limit(size)
 
@@ -124,7 +126,7 @@ def time_range(
     end_inclusive_day: bool = False,
 ) -> DataFrame:
     """One page of ``in_range`` in time order, with the number of rows in the range."""
-    _check_page(page, size)
+    check_page(page, size)
     chosen = in_range(df, time_col, start, end, end_inclusive_day)
     total = chosen.agg(F.count("*").alias("n")).scalar()
     others = [c for c in df.columns if c != time_col]

@@ -60,7 +60,9 @@ def load_relational(
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Header CSV; blanks at the ends of a value stay."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def export_star(tables: Mapping[str, DataFrame], base: str) -> None:

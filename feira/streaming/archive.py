@@ -111,11 +111,14 @@ def archive_topics(
     }
 
 
-def wait_all(queries: Mapping[str, StreamingQuery]) -> None:
-    """Wait for every query; the first failure is raised after the others have been stopped."""
+def wait_all(queries: Mapping[str, StreamingQuery], poll_seconds: float = 1.0) -> None:
+    """Wait until every query has ended; the failure of any is raised as soon as it shows, after the others have been
+    stopped. Queries that run for ever do not hide it: all of them are looked at in turn."""
+    running = list(queries.values())
     try:
-        for query in queries.values():
-            query.awaitTermination()
+        while running:
+            # Ends at once for a query that is over, and raises what it failed with.
+            running = [q for q in running if not q.awaitTermination(poll_seconds / len(running))]
     except Exception:
         for query in queries.values():
             query.stop()

@@ -130,9 +130,10 @@ def test_failure_of_one_query_stops_the_others():
         def __init__(self, error=None):
             self.error, self.stopped = error, False
 
-        def awaitTermination(self):
+        def awaitTermination(self, timeout=None):
             if self.error:
                 raise self.error
+            return True
 
         def stop(self):
             self.stopped = True
