@@ -3,9 +3,10 @@
 A text is lower-cased and reduced to letters and single blanks. Its subwords are the runs of two to four characters
 that have no blank inside, hashed into ``BUCKETS``. A text's vector is the mean of its subwords' embeddings; a linear
 layer and a softmax give the languages. Embeddings and layer are trained together by mini-batch gradient descent in
-numpy on the driver, on about ``SAMPLE`` labelled rows (the bound, chosen by a hash of the id, equally many of each
-language; whole texts and one short passage each). A fifth of the sample is kept out of training to fit the softmax
-temperature and the rejection threshold. Prediction covers every row and whole texts, in the tasks.
+numpy on the driver, on at most ``SAMPLE`` labelled rows (the bound, chosen by a hash, equally many of each language;
+whole texts and one short passage each). A fifth of the sample is kept out of training to fit the softmax temperature
+and the rejection threshold, the latter against languages left out in turn and shuffled letters. Prediction covers every
+row and whole texts, in the tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,10 +26,14 @@ from feira.llm.common import col, ship, small_batches
 BUCKETS = 4096
 DIMENSIONS = 16
 SAMPLE = 3200
+LANGUAGES = 200
 EPOCHS = 30
+#: One sampled row in so many also gives a text of shuffled letters.
+JUNK = 8
 UNKNOWN = "und"
-#: Share of rightly classified calibration texts that rejection may cost, and the score from which none is rejected.
-REJECT_SHARE, SURE = 0.002, 0.4
+#: Share of rightly classified calibration texts that rejection may cost at most, and share of texts in none of the
+#: learned languages that it is meant to reject.
+REJECT_SHARE, CATCH_SHARE = 0.002, 0.99
 
 _letters: list[np.ndarray] = []
 
@@ -72,13 +78,22 @@ class Model(NamedTuple):
     temperature: float
     threshold: float
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, its probability, and whether the text is rejected: its best logit is under the threshold.
+
+        Subwords of no learned language have embeddings that training hardly moved, so the logits of a strange text
+        are small, while the softmax, which sees only differences, may still be sure.
+        """
         codes = _codes(text or "")
         if not len(codes) or not self.languages:
-            return UNKNOWN, 0.0
-        p = _softmax((features(codes) @ self.weights + self.bias)[None, :] / self.temperature)[0]
-        best = int(p.argmax())
-        return self.languages[best], float(min(1.0, p[best]))
+            return UNKNOWN, 0.0, True
+        logits = features(codes) @ self.weights + self.bias
+        best = int(logits.argmax())
+        p = float(_softmax(logits[None, :] / self.temperature)[0, best])
+        return self.languages[best], min(1.0, p), bool(logits[best] < self.threshold)
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -86,15 +101,12 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOCHS, seed: int = 7) -> Model:
-    """Fit on rows x (shares of buckets) with language numbers y; every fifth row calibrates."""
-    rng = np.random.default_rng(seed)
-    classes = len(languages)
-    order = rng.permutation(len(x))
-    held, used = (order[::5], np.setdiff1d(order, order[::5])) if len(x) >= 10 * classes else (order, order)
+def _descend(x: np.ndarray, y: np.ndarray, classes: int, epochs: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (embeddings times linear layer) and bias after stochastic gradient descent over rows x, classes y."""
     embed = rng.normal(0, 0.5, (x.shape[1], DIMENSIONS)).astype(np.float32)
     layer = np.zeros((DIMENSIONS, classes), np.float32)
     bias = np.zeros(classes, np.float32)
+    used = np.arange(len(x))
     size, step = 32, 0
     steps = epochs * -(-len(used) // size)
     for _ in range(epochs):
@@ -113,16 +125,57 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOC
             bias -= rate * 0.1 * error.sum(axis=0)
             # Shares are small, so the embeddings need the longer step.
             embed -= rate * 200 * (xb.T @ back)
-    weights = embed @ layer
-    logits = x[held].astype(np.float32) @ weights + bias
+    return (embed @ layer).astype(np.float32), bias
+
+
+def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
     grid = np.geomspace(0.1, 20, 60)
-    truth = (np.arange(len(held)), y[held])
+    truth = (np.arange(len(y)), y)
     losses = [-np.log(np.maximum(_softmax(logits / t)[truth], 1e-12)).mean() for t in grid]
-    temperature = float(grid[int(np.argmin(losses))])
-    scores = _softmax(logits / temperature)
-    right = np.sort(scores.max(axis=1)[scores.argmax(axis=1) == y[held]])
-    threshold = float(right[int(REJECT_SHARE * len(right))]) if len(right) else 0.0
-    return Model(languages, weights.astype(np.float32), bias, temperature, min(threshold, SURE))
+    return float(grid[int(np.argmin(losses))])
+
+
+def _strange_logits(x: np.ndarray, y: np.ndarray, held: np.ndarray, used: np.ndarray, classes: int, epochs: int, seed: int) -> np.ndarray:
+    """Best logits of calibration texts under models that never saw their language, one language left out in turn."""
+    scores = []
+    for out in range(classes):
+        known = used[y[used] != out]
+        if not (y[held] == out).any():
+            continue
+        names = np.unique(y[known])
+        place = np.searchsorted(names, y)
+        weights, bias = _descend(x[known], place[known], len(names), epochs, np.random.default_rng(seed + 1 + out))
+        scores.append((x[held[y[held] == out]].astype(np.float32) @ weights + bias).max(axis=1))
+    return np.concatenate(scores) if scores else np.zeros(0)
+
+
+def train(
+    x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOCHS, seed: int = 7, junk: np.ndarray | None = None
+) -> Model:
+    """Fit on rows x (shares of buckets) with language numbers y; every fifth row calibrates.
+
+    A best logit is rejected under a threshold half way between two quantiles: the logit under which ``CATCH_SHARE`` of
+    the texts in none of the learned languages lie, that is calibration texts of a language under models that were fitted
+    without it, and ``junk``, texts of shuffled letters; and the logit under which ``REJECT_SHARE`` of the rightly
+    classified calibration texts lie. Where the two groups overlap, the latter decides, so rejection never costs more
+    than that share. With fewer than three languages there is none to leave out and junk decides alone.
+    """
+    rng = np.random.default_rng(seed)
+    classes = len(languages)
+    order = rng.permutation(len(x))
+    held, used = (order[::5], np.setdiff1d(order, order[::5])) if len(x) >= 10 * classes else (order, order)
+    weights, bias = _descend(x[used], y[used], classes, epochs, rng)
+    logits = x[held].astype(np.float32) @ weights + bias
+    temperature = _temperature(logits, y[held])
+    right = np.sort(logits.max(axis=1)[logits.argmax(axis=1) == y[held]])
+    strange = [_strange_logits(x, y, held, used, classes, epochs, seed)] if classes > 2 else []
+    if junk is not None and len(junk):
+        strange.append((junk.astype(np.float32) @ weights + bias).max(axis=1))
+    strange = np.sort(np.concatenate(strange)) if strange else np.zeros(0)
+    bound = float(right[int(REJECT_SHARE * len(right))]) if len(right) else -np.inf
+    caught = float(np.nextafter(strange[int(CATCH_SHARE * (len(strange) - 1))], np.float32(np.inf))) if len(strange) else -np.inf
+    threshold = bound if caught >= bound or np.isinf(caught) else (caught + bound) / 2
+    return Model(languages, weights, bias, temperature, threshold)
 
 
 def _packed(shares: np.ndarray) -> bytes:
@@ -151,9 +204,13 @@ def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 size = 20 + p % 160
                 begin = (p >> 8) % max(1, len(codes) - size)
-                for piece in (codes, codes[begin : begin + size]):
+                pieces = [(name, codes), (name, codes[begin : begin + size])]
+                if p % JUNK == 0:
+                    # Its own letters in no order, as a text of no language.
+                    pieces.append((None, np.random.default_rng(p).permutation(codes)))
+                for whose, piece in pieces:
                     place.append(p)
-                    lang.append(name)
+                    lang.append(whose)
                     data.append(_packed(features(piece)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(place, pa.int64()), pa.array(lang, pa.string()), pa.array(data, pa.binary())],
@@ -164,27 +221,37 @@ def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """Train on a bounded sample of the rows of ``df`` that have a text and a language.
 
-    Rows are drawn by a hash of their id. The number of rows of each language is counted over all of ``df``.
+    Of every language the ``sample`` / languages rows with the smallest hashes of id, text and arrival are taken, so rows
+    that share an id or a text do not come or stay away together. Only the ``LANGUAGES`` most frequent values of the
+    language column are learned. An empty sample gives a model that answers ``und``.
     """
     ship(df.sparkSession)
+    arrival = F.monotonically_increasing_id()
     labelled = df.select(
-        F.pmod(F.xxhash64(col(id_col), F.lit("langid")), F.lit(1 << 40)).alias("place"),
+        F.pmod(F.xxhash64(col(id_col), col(text_col), arrival, F.lit("langid")), F.lit(1 << 40)).alias("place"),
         col(lang_col).cast("string").alias("lang"),
         col(text_col).cast("string").alias("text"),
     ).filter("lang is not null and text is not null")
-    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
+    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    none = Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
+    if not counted:
+        return none
+    counts = {r[0]: r[1] for r in counted}
     each = max(1, sample // len(counts))
-    bound = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, int((1 << 40) * min(1.0, each / n)))])
+    # A little more than is needed reaches the ranking, so that it never sees a whole language.
+    bound = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, int((1 << 40) * min(1.0, 2 * each / n)))])
     chosen = labelled.filter(F.col("place") < bound[F.col("lang")])
-    rows = sorted(chosen.mapInArrow(_sampled, "place bigint, lang string, x binary").collect(), key=lambda r: (r[0], r[1], bytes(r[2])))
+    first = F.row_number().over(W.partitionBy("lang").orderBy("place", F.xxhash64("text")))
+    chosen = chosen.withColumn("rank", first).filter(F.col("rank") <= each).drop("rank")
+    found = chosen.mapInArrow(_sampled, "place bigint, lang string, x binary").collect()
+    rows = sorted((r for r in found if r[1] is not None), key=lambda r: (r[0], r[1], bytes(r[2])))
     if not rows:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
+        return none
     languages = sorted({r["lang"] for r in rows})
     number = {name: i for i, name in enumerate(languages)}
     y = np.array([number[r["lang"]] for r in rows])
-    return train(_unpacked([r["x"] for r in rows]), y, languages)
+    junk = _unpacked([r["x"] for r in sorted(found, key=lambda r: (r[0], bytes(r[2]))) if r["lang"] is None])
+    return train(_unpacked([r["x"] for r in rows]), y, languages, junk=junk)
 
 
 def _scored(df: DataFrame, model: Model, text_col: str) -> DataFrame:
@@ -195,11 +262,11 @@ def _scored(df: DataFrame, model: Model, text_col: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column(text)]
+            found = [model.judge(t.as_py()) for t in batch.column(text)]
             new = [
                 pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()),
-                pa.array([f[0] == UNKNOWN or f[1] < model.threshold for f in found], pa.bool_()),
+                pa.array([f[2] for f in found], pa.bool_()),
             ]
             arrays = [*[batch.column(n) for n in names], *new]
             yield pa.RecordBatch.from_arrays(arrays, [*names, "lang", "score", "rejected"])
@@ -212,8 +279,8 @@ def _scored(df: DataFrame, model: Model, text_col: str) -> DataFrame:
 def predict(df: DataFrame, model: Model, text_col: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``df`` with the predicted language, its probability, and whether the prediction is rejected.
 
-    ``und`` with score 0, and rejected: null, empty and letterless texts. Rejected as well: scores under the model's
-    threshold. Columns of ``df`` with the names of the new ones are left out.
+    ``und`` with score 0, and rejected: null, empty and letterless texts. Rejected as well: texts whose best logit is under
+    the model's threshold. Columns of ``df`` with the names of the new ones are left out.
     """
     out = _scored(df, model, text_col)
     shown = [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c.lower() not in (lang, score, "rejected")]

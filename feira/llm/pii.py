@@ -172,7 +172,8 @@ KINDS: tuple[tuple[str, str, Callable], ...] = (
     ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)", phone),
     ("phone", r"(?<![\w-])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\w-])", phone),
 )
-_EMAIL = re.compile(r"(?<![\w.+-])[\w.+%-]*\w@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
+_MAILBOX = re.compile(r"[\w.+%-]{0,63}\w\Z")
+_DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
 _SECRET = re.compile(
     r"(?i:\b(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|key)\b\s*[:=]\s*[\"']?)([0-9a-fA-F]{16,})(?![0-9A-Za-z])"
 )
@@ -196,7 +197,15 @@ _IBAN_FOURS = re.compile(r"[A-Z0-9]{4}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?
 _DIGIT_RUN = re.compile(r"(?<!\d)[0-9](?:[ -]?[0-9]){12,}(?!\d)")
 _DIGIT_GROUP = re.compile(r"[0-9]+")
 _CARD_LAYOUTS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4)}
+#: First digits that card issuers use.
 _CARD_ISSUERS = re.compile(r"[3-6]|2(?:2[2-9]|[3-6]|7[0-2])")
+#: Numbers shorter than 16 digits are common outside cards, so their issuers are told more closely.
+_SHORT_ISSUERS = {13: re.compile("4"), 14: re.compile("3(?:0[0-5]|[689])"), 15: re.compile("3[47]")}
+#: A word for a card in a few languages, near in front of a number.
+_CARD_WORD = re.compile(
+    r"(?i)\b(?:(?:credit|debit|bank|kredit)?[ -]?(?:card|karte|carte|tarjeta|cart[aã]o|carta)|visa|mastercard|amex|"
+    r"american express|discover|maestro|pan|kartennummer)\b\W*(?:\w+\W+){0,2}\Z"
+)
 
 
 def find_ibans(text: str) -> list[tuple[int, int]]:
@@ -220,11 +229,26 @@ def find_ibans(text: str) -> list[tuple[int, int]]:
     return [f[2:] for f in sorted(found)]
 
 
+def find_emails(text: str) -> list[tuple[int, int]]:
+    """(start, end) of addresses, read outwards from each ``@``: a mailbox of at most 64 characters and a domain."""
+    found = []
+    at = text.find("@")
+    while at >= 0:
+        begin = max(0, at - 64)
+        left, right = _MAILBOX.search(text[begin:at]), _DOMAIN.match(text, at + 1, at + 254)
+        # A mailbox that goes on to the left is longer than any.
+        if left and right and not (left.start() == 0 and begin and re.match(r"[\w.+-]", text[begin - 1])):
+            found.append((begin + left.start(), right.end()))
+        at = text.find("@", at + 1)
+    return found
+
+
 def find_cards(text: str) -> list[tuple[bool, int, int]]:
     """(usual layout, start, end) of the valid card numbers between any two group boundaries, best first; they may overlap.
 
-    A number in one piece or in a layout printed on cards comes before other cuts of the same digits, as their neighbours
-    could complete a check sum by chance; then come first digits that are issued, then longer ones.
+    A number has to begin as an issuer's numbers do. It stands in one piece or in a layout printed on cards; any other
+    cut across blanks counts only right behind a word for a card, as neighbouring numbers often complete a check sum by
+    chance. Longer ones come first.
     """
     found = []
     for run in _DIGIT_RUN.finditer(text):
@@ -232,20 +256,25 @@ def find_cards(text: str) -> list[tuple[bool, int, int]]:
         for i, (start, _) in enumerate(groups):
             if i == 0 and start and text[start - 1] in ".+-":
                 continue
-            digits, sizes = "", ()
+            digits, sizes, named = "", (), None
             for a, end in groups[i : i + 19]:
                 digits += text[a:end]
                 sizes += (end - a,)
                 if len(digits) > 19:
                     break
-                if len(digits) < 13 or luhn_digit(digits[:-1]) != digits[-1] or not digits.strip("0"):
+                if len(digits) < 13 or not _SHORT_ISSUERS.get(len(digits), _CARD_ISSUERS).match(digits):
+                    continue
+                if luhn_digit(digits[:-1]) != digits[-1]:
                     continue
                 if end == run.end() and re.match(r"-|\.\d", text[end : end + 2]):
                     continue
                 marks = {c for c in text[start:end] if not c.isdigit()}
                 usual = not marks or (len(marks) == 1 and sizes in _CARD_LAYOUTS)
-                found.append((not usual, not _CARD_ISSUERS.match(digits), -len(digits), start, end))
-    return [(not f[0], *f[3:]) for f in sorted(found)]
+                if not usual and named is None:
+                    named = bool(_CARD_WORD.search(text[max(0, start - 40) : start]))
+                if usual or named:
+                    found.append((not usual, -len(digits), start, end))
+    return [(not f[0], *f[2:]) for f in sorted(found)]
 
 
 def find(text: str) -> list[tuple[int, int, str, Callable]]:
@@ -256,7 +285,7 @@ def find(text: str) -> list[tuple[int, int, str, Callable]]:
     """
     out: list[tuple[int, int, str, Callable]] = []
     if "@" in text:
-        out += [(m.start(), m.end(), "email", email) for m in _EMAIL.finditer(text)]
+        out += [(start, end, "email", email) for start, end in find_emails(text)]
     if _DIGIT.search(text):
         out += [(m.start(1), m.end(1), "secret", secret) for m in _SECRET.finditer(text)]
         out += [(start, end, "iban", iban) for start, end in find_ibans(text)]
