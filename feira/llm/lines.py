@@ -32,6 +32,8 @@ SHINGLE = 10
 BANDS, ROWS = 12, 4
 SIMILARITY = 0.8
 CELL = 256
+#: Lines that a task remembers, so that it signs each of them once.
+_SEEN = 200_000
 
 _seeds = np.random.default_rng(97).integers(1, 2**32, (2, BANDS * ROWS), dtype=np.uint32)
 _FACTORS, _ADDENDS = _seeds[0] | np.uint32(1), _seeds[1]
@@ -113,25 +115,33 @@ def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     work = df.select(col(id_col).alias("id"), number.alias("number"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            for part in small_batches([batch], "text", 500_000):
-                new: dict[str, int] = {}
+            for part in small_batches([batch], "text"):
+                met: dict[str, int] = {}
                 owner, place_in_text, which, first = [], [], [], []
                 for i, text in enumerate(part.column("text").to_pylist()):
                     for at, raw in enumerate(text.split("\n")):
                         line = normal(raw)
                         if line:
-                            known = len(new)
-                            place = new.setdefault(line, known)
+                            known = len(met)
+                            place = met.setdefault(line, known)
                             owner.append(i)
                             place_in_text.append(at)
                             which.append(place)
                             first.append(place == known)
                 if not owner:
                     continue
-                lines = list(new)
-                at = pa.array(which, pa.int32())
-                seen = pa.array([i if f else None for i, f in zip(which, first, strict=True)], pa.int32())
+                digests = [_digest(line) for line in met]
+                if len(seen) > _SEEN:
+                    seen.clear()
+                new = [d not in seen for d in digests]
+                seen.update(digests)
+                lines = [line for line, n in zip(met, new, strict=True) if n]
+                at_new = np.where(new, np.cumsum(new) - 1, -1).tolist()
+                signed = pa.array(
+                    [at_new[i] if f and new[i] else None for i, f in zip(which, first, strict=True)], pa.int32()
+                )
                 keys = band_keys(lines).view(np.int64)
                 ends = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -139,9 +149,9 @@ def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
                         part.column("id").take(pa.array(owner, pa.int32())),
                         part.column("number").take(pa.array(owner, pa.int32())),
                         pa.array(place_in_text, pa.int32()),
-                        pa.array(map(_digest, lines), pa.binary()).take(at),
-                        pa.ListArray.from_arrays(ends, pa.array(keys.ravel())).take(seen),
-                        pa.array(lines, pa.string()).take(seen),
+                        pa.array(digests, pa.binary()).take(pa.array(which, pa.int32())),
+                        pa.ListArray.from_arrays(ends, pa.array(keys.ravel())).take(signed),
+                        pa.array(lines, pa.string()).take(signed),
                     ],
                     ["id", "number", "line_no", "h", "bands", "line"],
                 )
@@ -369,7 +379,7 @@ def _members(found: DataFrame, nodes: DataFrame) -> DataFrame:
         "line-shared",
     )
     return materialize(
-        shared.join(nodes.select("row", "node"), "row").groupBy("key", "node").agg(F.lit(1).alias("x")).select("key", "node"), "line-members"
+        shared.join(nodes.select("row", "node").hint("merge"), "row").groupBy("key", "node").agg(F.lit(1).alias("x")).select("key", "node"), "line-members"
     )
 
 
@@ -431,9 +441,10 @@ def _classes(df: DataFrame, id_col: str, text_col: str, number_col: str | None,
         "zstd",
     )
     distinct = materialize(found.groupBy("h").agg(F.min("row").alias("node")), "line-distinct")
-    # The first row of a line has its text.
+    # The first row of a line has its text. Tables that grow with the lines are merged at every size, so that what is
+    # shuffled grows with them and not by leaps.
     texts = found.filter("line is not null").select(F.col("row").alias("node"), "line")
-    nodes = materialize(found.select("id", "number", "line_no", "h", "row").join(distinct, "h").drop("h"), "line-nodes")
+    nodes = materialize(found.select("id", "number", "line_no", "h", "row").join(distinct.hint("merge"), "h").drop("h"), "line-nodes")
     labels = materialize(_class_links(_members(found, nodes), texts, cell), "line-labels")
     classed = materialize(
         nodes.join(labels, "node", "left").withColumn("class_id", F.coalesce("component", "node")).drop("node", "component"),
@@ -445,7 +456,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str, number_col: str | None,
         ),
         "line-keepers",
     )
-    return classed.join(keepers, "class_id").withColumn("kept", F.col("row") == F.col("keeper.row"))
+    return classed.join(keepers.hint("merge"), "class_id").withColumn("kept", F.col("row") == F.col("keeper.row"))
 
 
 def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:
