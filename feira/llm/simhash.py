@@ -216,9 +216,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     groups = near_groups(df, id_col, text_col).filter(col(id_col) != F.col("component_id"))
     # What goes is usually the smaller part; it is written, so Spark knows its size.
-    gone = materialize(groups.select(col(id_col).alias("gone")).distinct(), "simhash-gone")
-    place = fresh(df, "__place")
-    rows = df.filter(col(id_col).isNotNull()).join(gone, col(id_col) == F.col("gone"), "left_anti")
+    place, goes = fresh(df, "__place"), fresh(df, "__goes")
+    gone = materialize(groups.select(col(id_col).alias(goes)).distinct(), "simhash-gone")
+    rows = df.filter(col(id_col).isNotNull()).join(gone, col(id_col) == F.col(goes), "left_anti")
     first = F.row_number().over(W.partitionBy(col(id_col)).orderBy(F.xxhash64(col(text_col))))
     one = rows.withColumn(place, first).filter(F.col(place) == 1)
     return one.select(*[col(c) for c in df.columns]).unionByName(df.filter(col(id_col).isNull()))

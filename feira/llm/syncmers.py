@@ -5,12 +5,14 @@ depends on the k-mer alone, so the same passage yields the same anchors wherever
 anchors it touches. ``anchors`` returns them with their positions. Texts at hand are compared by all of them, up to
 collisions of 32-bit hashes: ``jaccard`` is the share of common anchors, ``shared_passages`` the places where they stand.
 
-``sketch`` keeps the ``SKETCH`` smallest distinct anchor hashes for texts that are not at hand together: the whole set
-for short texts, and for long ones an unbiased sample, from which ``likeness`` estimates the share of common anchors.
+A fingerprint is the whole set of distinct anchor hashes, sorted, in base64 (about as long as an ASCII text): it grows with
+the text, so one changed word of a long text shows, fingerprints of parts can be united, and ``likeness`` of two
+fingerprints is the exact share of their common anchors.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import zlib
@@ -20,11 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from feira.llm.common import col, ship, small_batches, text_or_empty
 
 K, S = 20, 11
-SKETCH = 128
+#: Ids drawn for each cut between blocks of ids that have no quantiles, such as strings.
+DRAWN = 64
 _A = np.uint32(0x01000193)
 
 
@@ -88,26 +92,6 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     return at, (both >> np.uint64(32)).astype(np.uint32)
 
 
-def sketch(text: str, size: int = SKETCH) -> np.ndarray:
-    """The smallest distinct anchor hashes, sorted."""
-    hashes = anchors(text)[1]
-    keep = 4 * size
-    while len(hashes) > keep:
-        least = np.unique(np.partition(hashes, keep)[:keep])
-        if len(least) >= size:
-            return least[:size]
-        keep *= 4
-    return np.unique(hashes)[:size]
-
-
-def likeness(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
-    """Estimated Jaccard similarity of two sketches: the share that is common among the smallest of both. Empty = empty."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    union = np.union1d(a, b)[:size]
-    return len(np.intersect1d(np.intersect1d(a, b, True), union, True)) / len(union)
-
-
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Share of common values of two whole sets of distinct anchor hashes. Empty = empty."""
     if not len(a) or not len(b):
@@ -141,11 +125,16 @@ def shared_passages(
 
 
 def as_text(values: np.ndarray) -> str:
-    return values.astype(">u4").tobytes().hex()
+    return base64.b64encode(values.astype(">u4").tobytes()).decode()
+
+
+def from_text(fingerprint: str) -> np.ndarray:
+    return np.frombuffer(base64.b64decode(fingerprint), ">u4").astype(np.uint32)
 
 
-def from_text(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), ">u4").astype(np.uint32)
+def likeness(fingerprint: str, other: str) -> float:
+    """Share of common anchors of two fingerprints."""
+    return jaccard(from_text(fingerprint), from_text(other))
 
 
 def anchor_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,7 +152,7 @@ def anchor_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                         part.column("id"),
                         pa.array([f[0].tolist() for f in found], pa.list_(pa.int64())),
                         pa.array([f[1].tolist() for f in found], pa.list_(pa.int64())),
-                        pa.array([as_text(sketch(t)) for t in texts], pa.string()),
+                        pa.array([as_text(np.unique(f[1])) for f in found], pa.string()),
                     ],
                     ["id", "positions", "hashes", "fingerprint"],
                 )
@@ -189,14 +178,20 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Rows (id, text, block, carried) dealt to tasks by blocks of ids and sorted, the first row of each block also at
     the end of the block before it (and the very first one at the end of the last).
 
-    Blocks are cut at approximate quantiles of the numeric id, as many as shuffle partitions; only the cuts and each
-    block's first row (id and a hash) reach the driver. Whole texts are shuffled once.
+    Blocks are cut at approximate quantiles of the id, as many as shuffle partitions (for ids that aren't numbers, at
+    quantiles of ``DRAWN`` random ones per block); only the cuts and each block's first row (id and a hash) reach the
+    driver. Whole texts are shuffled once.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = df.select(col(id_col).alias("id"))
     shares = [i / parts for i in range(1, parts)]
-    cuts = ids.select(F.percentile_approx("id", shares, 10 * parts)).first()[0] if shares else []
+    if isinstance(ids.schema["id"].dataType, NumericType):
+        cuts = ids.select(F.percentile_approx("id", shares, 10 * parts)).first()[0] if shares else []
+    else:
+        drawn = ids.filter("id is not null").orderBy(F.rand(11)).limit(DRAWN * parts).collect()
+        known = sorted(r.id for r in drawn)
+        cuts = [known[int(share * len(known))] for share in shares] if known else []
     bounds = sorted(set(cuts or []))
     work = df.select(
         col(id_col).alias("id"), text_or_empty(text_col).alias("text"), _block(col(id_col), bounds).alias("block")
@@ -229,7 +224,7 @@ def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Each document's fingerprint and that of an edited copy, and all its anchors against those of the edited copy and
     those of the next document in order of id.
 
-    ``near_edited`` and ``near_next`` are shares of common anchors over the whole texts. ``shared_next`` is the number of
+    ``near_edited`` and ``near_next`` are the ``likeness`` of the fingerprints. ``shared_next`` is the number of
     the document's code points in passages that the next document has too, ``longest_next`` the longest such passage.
 
     In the edited copy the last floor(n/2) code points are replaced by the first as many (or all) of the next document.
@@ -258,7 +253,7 @@ def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 class _Anchored:
-    """A text, its anchors and their distinct hashes in order, of which the first are its sketch."""
+    """A text, its anchors and their distinct hashes in order, which are its fingerprint."""
 
     def __init__(self, text: str):
         self.text, self.found = text, anchors(text)
@@ -274,7 +269,7 @@ def _compared(name, own: _Anchored, following: _Anchored) -> tuple:
     near = jaccard(own.distinct, other), jaccard(own.distinct, following.distinct)
     lengths = shared_passages(text, own.found, following.found)[1]
     shared = int(lengths.sum()), int(lengths.max(initial=0))
-    return name, len(text), digest, as_text(own.distinct[:SKETCH]), as_text(other[:SKETCH]), *near, *shared
+    return name, len(text), digest, as_text(own.distinct), as_text(other), *near, *shared
 
 
 def _batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:

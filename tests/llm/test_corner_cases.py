@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from feira.llm import chat, exact, html, langid, lines, mixing, packing, pii, queries, simhash, syncmers
 from feira.llm.components import components, roots
@@ -11,7 +12,8 @@ from feira.llm.tokens import WordTokenizer
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, digest string, size int, fp string, "
-    "component string, `h` int, score string, `a.b` int, copies string, found int, html string, kept string"
+    "component string, `h` int, score string, `a.b` int, copies string, found int, html string, kept string, "
+    "gone int, keep int, number int, line string, node int, place int"
 )
 LONG = "the long text of the house and the garden " * 20_000
 ROWS = [
@@ -31,7 +33,7 @@ ROWS = [
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    rest = [0, "dig", 7, "fp", "c", 1, "s", 2, "copies", 3, "<p>the page of the man and the woman in the house</p>", "k"]
+    rest = [0, "dig", 7, "fp", "c", 1, "s", 2, "copies", 3, "<p>the page of the man and the woman in the house</p>", "k", 4, 5, 6, "l", 8, 9]
     return spark.createDataFrame([(*r, *rest) for r in ROWS], SCHEMA)
 
 
@@ -190,7 +192,12 @@ def test_syncmers(odd, none, spark):
     assert syncmers.edited_likeness(none).count() == 0
     one = syncmers.edited_likeness(odd.filter("doc_id = 6")).first()
     assert one.near_next == 1.0 and one.n_chars == len(LONG)
-    assert syncmers.anchor_rows(odd).count() == len(ROWS)
+    stored = {r.doc_id: r.fingerprint for r in syncmers.anchor_rows(odd).collect() if r.doc_id is not None}
+    assert stored == {r.doc_id: r.fingerprint for r in rows if r.doc_id is not None}
+    named = odd.withColumn("doc_id", F.format_string("doc %03d", "doc_id")).filter("doc_id not like '%null%'")
+    told = {r.doc_id: (r.edited_sha256, r.near_next) for r in syncmers.edited_likeness(named).collect()}
+    plain = syncmers.edited_likeness(odd.filter("doc_id is not null")).collect()
+    assert told == {f"doc {r.doc_id:03d}": (r.edited_sha256, r.near_next) for r in plain}
     base = "it was the best of times, it was the worst of times, it was the age of wisdom"
     at, hashes = syncmers.anchors(base)
     moved, moved_hashes = syncmers.anchors("prefix " + base)

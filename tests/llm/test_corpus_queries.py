@@ -85,9 +85,10 @@ def test_syncmers(spark, documents):
         assert row.n_chars == len(text)
         assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         sets = [set(syncmers.anchors(t)[1].tolist()) for t in (text, edited, following)]
-        for found, other in ((row.near_edited, sets[1]), (row.near_next, sets[2])):
+        after = rows[documents[(i + 1) % len(documents)]["doc_id"]].fingerprint
+        for found, other, told in ((row.near_edited, sets[1], row.edited_fingerprint), (row.near_next, sets[2], after)):
             exact = len(sets[0] & other) / len(sets[0] | other)
-            assert abs(found - exact) < (1e-9 if len(sets[0] | other) <= syncmers.SKETCH else 0.2)
+            assert abs(found - exact) < 1e-12 and found == syncmers.likeness(row.fingerprint, told)
     same = defaultdict(set)
     for d in documents:
         same[d["text"]].add(rows[d["doc_id"]].fingerprint)
@@ -97,19 +98,16 @@ def test_syncmers(spark, documents):
 def test_syncmers_of_long_texts(spark, documents):
     """All anchors of a text are compared, however long it is."""
     rows = {r.doc_id: r for r in queries.op1_syncmers(spark, SF).collect()}
-    above = 0
     for i, d in enumerate(documents):
         text, following = d["text"], documents[(i + 1) % len(documents)]["text"]
         edited = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
         own, copy, after = (set(syncmers.anchors(t)[1].tolist()) for t in (text, edited, following))
-        above += len(own) > syncmers.SKETCH
         assert abs(rows[d["doc_id"]].near_edited - len(own & copy) / len(own | copy)) < 1e-12
         assert abs(rows[d["doc_id"]].near_next - len(own & after) / len(own | after)) < 1e-12
         at, hashes = syncmers.anchors(text)
         width = syncmers.K if len(text) >= syncmers.K else len(text)
         covered = {j for p, h in zip(at.tolist(), hashes.tolist(), strict=True) if h in after for j in range(p, p + width)}
         assert rows[d["doc_id"]].shared_next == len(covered)
-    assert above > 20
     draw = random.Random(1)
     long = ["".join(draw.choices("abcdefghijklmnop ", k=128_000)) for _ in range(2)]
     passage = "".join(draw.choices("qrstuvwxyz ", k=300))
@@ -118,6 +116,7 @@ def test_syncmers_of_long_texts(spark, documents):
     df = spark.createDataFrame([(1, one), (2, two), (3, one), (4, changed)], "doc_id bigint, text string")
     found = {r.doc_id: r for r in syncmers.edited_likeness(df).collect()}
     assert 0 < found[1].near_next < 0.01 and 280 <= found[1].longest_next <= 302 and found[1].shared_next < 400
+    assert found[3].fingerprint == found[1].fingerprint != found[4].fingerprint
     assert 0.999 < found[3].near_next < 1 and len(one) - 60 < found[3].shared_next < len(one)
     starts, lengths, there = syncmers.shared_passages(one, syncmers.anchors(one), syncmers.anchors(two))
     start, length, place = max(zip(starts.tolist(), lengths.tolist(), there.tolist(), strict=True), key=lambda p: p[1])
