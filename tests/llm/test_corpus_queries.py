@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -345,6 +346,40 @@ def test_html_wrappers_with_telling_names():
     assert html.main_text(f"<aside class='x'><article><p>{article}</p></article></aside>") == ""
 
 
+def test_html_parts_of_the_article_with_telling_names():
+    article = "This is the article, and it is about the things that are in it for the reader of the page."
+    part = "It has to be said that the work of the others is not to be left out of this in any way."
+    kept = ["section id='discussion'", "section id='related-work'", "section class='social-history'", "p id='copyright'"]
+    kept += ["div id='search-for-meaning'", "div class='menu-prices'", "section id='notice'", "div class='has-comments'"]
+    for opening in kept:
+        page = f"<article><p>{article}</p><{opening}>{part}</{opening.split()[0]}></article>"
+        assert html.main_text(page) == f"{article} {part}", opening
+    gone = ["div class='ad'", "div class='google-ads'", "section id='comments'", "div class='related-posts'", "p class='notice'"]
+    gone += ["div class='social share-buttons'", "div class='post-comments-list'", "div class='ad-300x250'", "form", "aside"]
+    for opening in gone:
+        page = f"<article><p>{article}</p><{opening}>{part}</{opening.split()[0]}></article>"
+        assert html.main_text(page) == article, opening
+    linked = "<p><a href='1'>The whole of this paragraph is a link to the work of the others</a></p>"
+    sources = "<ol><li><a href='2'>Smith, A history of lakes</a></li><li><a href='3'>Jones, Ice</a></li></ol>"
+    row = "<div><a href='4'>Facebook</a> <a href='5'>Mastodon</a> <a href='6'>Print</a></div>"
+    assert html.main_text(f"<article><p>{article}</p>{linked}{sources}{row}</article>") == (
+        f"{article} The whole of this paragraph is a link to the work of the others Smith, A history of lakes Jones, Ice"
+    )
+
+
+def test_html_of_any_shape_takes_linear_time():
+    shapes = ["<p>it's <a b'>x ", "<div>a", "<a<b", "<a x='y>z' ", "<a x=\"y>z' ", "<!-- ", "<li></li><div>", "<td><div>", "&#1", "< "]
+    shapes += ["<ul><li>", "</p>", "<a href=>", "<p class='a b' ", "=\"", "<script>", "<pre><p>x", "<a>b<dd>", "a= ", "&amp"]
+    for shape in shapes:
+        page = shape * (400_000 // len(shape))
+        begin = time.process_time()
+        html.main_text(page)
+        assert time.process_time() - begin < 10, shape
+    assert html.main_text("<article><p>a &#" + "1" * 5000 + "; b</p></article>") == "a \ufffd b"
+    script = "<script>if (a<b) { x = \"<a t='\" + '<!--'; }</script>"
+    assert html.main_text(f"<article>{script}<p title='a > b' lang=en>one</p> 1 < 2 <br/>two <b") == "one 1 < 2 two"
+
+
 def test_template_language():
     render = chat.compile_template(
         "{% set a = 'x' ~ 1 %}{% for m in messages %}{% if m.role == 'u' and not false %}<{{ m.text | trim | upper }}>"
