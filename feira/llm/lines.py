@@ -327,7 +327,7 @@ def _cells(batches: Iterable[pa.RecordBatch], rows: int = 4_000, chars: int = 4_
 def _links(cells: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """Verified links of cells (key, left, right, node, known)."""
     return materialize(
-        cells.join(texts, "node")
+        cells.hint("merge").join(texts, "node")
         .repartition(*_CELL)
         .sortWithinPartitions(*_CELL, "node")
         .select(*_CELL, "node", "known", "line")
@@ -367,14 +367,14 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _members(found: DataFrame, nodes: DataFrame) -> DataFrame:
     """(key, node) of the lines that share a band's key with another line.
 
-    The rows of all bands are sorted over ranges of key and row, so that a hot key is split; all but a few rows have a
-    key of their own and end there.
+    The rows of all bands are dealt by ranges of key and row, so that a hot key is split, and sorted by the key alone, a
+    number that Spark sorts by its digits; all but a few rows have a key of their own and end there.
     """
     shared = materialize(
         found.filter("bands is not null")
         .select(F.explode("bands").alias("key"), "row")
         .repartitionByRange("key", "row")
-        .sortWithinPartitions("key", "row")
+        .sortWithinPartitions("key")
         .mapInArrow(_shared, "key bigint, row bigint"),
         "line-shared",
     )
@@ -400,13 +400,13 @@ def _class_links(members: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
     )
     chunks: Column = F.ceil(F.col("n") / cell).cast("int")
     placed = materialize(
-        members.join(materialize(buckets.select("key", "n"), "line-buckets"), "key").select(
+        members.join(materialize(buckets.select("key", "n"), "line-buckets").hint("merge"), "key").select(
             "key", "node", chunks.alias("chunks"), F.pmod(F.xxhash64("node", "key"), chunks).cast("int").alias("chunk")
         ),
         "line-placed",
     )
     needed = materialize(placed.select("node").distinct(), "line-needed")
-    texts = materialize(texts.join(needed, "node"), "line-texts", "zstd")
+    texts = materialize(texts.join(needed.hint("merge"), "node"), "line-texts", "zstd")
     own = placed.select("key", F.col("chunk").alias("left"), F.col("chunk").alias("right"), "node", F.col("node").alias("known"))
     links = _links(own, texts, "line-links")
     labels = components(links, "line-components")
@@ -447,7 +447,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str, number_col: str | None,
     nodes = materialize(found.select("id", "number", "line_no", "h", "row").join(distinct.hint("merge"), "h").drop("h"), "line-nodes")
     labels = materialize(_class_links(_members(found, nodes), texts, cell), "line-labels")
     classed = materialize(
-        nodes.join(labels, "node", "left").withColumn("class_id", F.coalesce("component", "node")).drop("node", "component"),
+        nodes.join(labels.hint("merge"), "node", "left").withColumn("class_id", F.coalesce("component", "node")).drop("node", "component"),
         "line-classed",
     )
     keepers = materialize(
