@@ -74,13 +74,13 @@ def monthly_trend(fact: DataFrame) -> DataFrame:
     """Revenue per month with year-to-date total and change against the calendar month before.
 
     The month before is found by an equi-join on a running month number, so months without sales leave a gap
-    instead of shifting the comparison, and no window spans the whole table.
+    instead of shifting the comparison, and no window spans the whole table. Revenue without a date is a row without a
+    month, of no year and with no month before.
     """
     month = F.col("month")
     monthly = (
         fact.groupBy(month_of_key("order_date_key").alias("month"))
         .agg(F.sum("item_price").alias("revenue"))
-        .filter(month.isNotNull())
         .withColumn("year", F.floor(month / 100).cast("int"))
         .withColumn("month_number", F.col("year") * 12 + month % 100)
     )

@@ -67,6 +67,9 @@ def test_order_value(fact, dims):
 def test_trend_uses_the_calendar_month_before(fact):
     trend = keyed(sales.monthly_trend(fact), "month")
     assert trend[201803]["previous_revenue"] is None and trend[201803]["revenue_ytd"] == 100
+    undated = fact.withColumn("order_date_key", F.lit(None).cast("int"))
+    whole = keyed(sales.monthly_trend(fact.unionByName(undated)), "month")
+    assert whole.pop(None)["revenue"] == sum(r["revenue"] for r in trend.values()) and whole == trend
 
 
 def test_payment_mix(spark):
