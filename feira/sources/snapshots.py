@@ -1,45 +1,39 @@
-"""Versioned tables: immutable Parquet data directories plus one history row per commit.
+"""Versioned tables as plain Parquet folders ``data/version=N`` and one small table of versions.
 
-A commit writes its data first and its history row last, so readers only ever see finished versions. A history row
-says which data directories make up the version, which makes appends and restores free of copying: as a full list, or
-as a base version with a full list and what was added since. A version is found by the name of its row's folder, so
-whatever the number of commits, reading a table reads one or two history rows. One writer per table is assumed; a
-second one that races for the same version number fails instead of overwriting.
+A write puts its rows into a folder of its own and then adds a row to the table of versions, which says from which
+folder on the folders make up the version: ``since = N`` after an overwrite, the older start after an append. What a
+version holds is a range of folders, what came after a version the later part of that range, and every other question
+(history, latest, as of a time) is a query on the table of versions. A folder without a row belongs to a write that
+never finished; the next write replaces it. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
+from feira.sources.readers import read_optional
 from feira.sources.sinks import written_rows
 
-HISTORY_SCHEMA = (
-    "version bigint, timestamp timestamp, operation string, parameters map<string,string>, rows bigint, "
-    "table_schema string, data_versions array<bigint>, base bigint, added array<bigint>"
+VERSIONS = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("operation", T.StringType()),
+        T.StructField("parameters", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("rows", T.LongType()),
+        T.StructField("since", T.LongType()),
+        T.StructField("table_schema", T.StringType()),
+        T.StructField("version", T.LongType()),
+    ]
 )
-#: Appends that a history row may list on top of its base before a row gets a full list again.
-LONGEST_CHANGE = 64
 
 
-_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
-
-
-class Commit(NamedTuple):
-    version: int
-    timestamp: dt.datetime
-    operation: str
-    parameters: dict[str, str]
-    rows: int
-    table_schema: str
-    data_versions: list[int]
-    base: int | None  # None: the row has the full list
-    added: list[int]
+def _schema(version: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(version["table_schema"]))
 
 
 class SnapshotTable:
@@ -47,15 +41,20 @@ class SnapshotTable:
         self.spark = spark
         self.path = path.rstrip("/")
 
+    def versions(self) -> DataFrame:
+        """The table of versions; empty before the first write."""
+        return read_optional(self.spark, f"{self.path}/versions", VERSIONS)
+
     def history(self) -> DataFrame:
-        """Commits, newest first."""
-        return self._log().select("version", "timestamp", "operation", "parameters", "rows").orderBy(F.desc("version"))
+        """Versions, newest first."""
+        columns = ["version", "timestamp", "operation", "parameters", "rows"]
+        return self.versions().select(columns).orderBy(F.desc("version"))
 
     def exists(self) -> bool:
-        return bool(self._versions())
+        return not self.versions().isEmpty()
 
     def latest_version(self) -> int:
-        return self._latest().version
+        return self._latest()["version"]
 
     def overwrite(
         self, df: DataFrame, operation: str = "WRITE", cluster_by: tuple[str, ...] = (), **parameters: str
@@ -68,60 +67,51 @@ class SnapshotTable:
         if cluster_by:
             df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
             parameters = {"clusterBy": ", ".join(cluster_by), **parameters}
-        return self._write(df, operation, {"mode": "Overwrite", **parameters}, keep=None)
+        return self._write(df, operation, {"mode": "Overwrite", **parameters}, self._newest(), extend=False)
 
     def append(self, df: DataFrame, operation: str = "WRITE", **parameters: str) -> int:
         """Add rows; only the new rows are written."""
-        last = self._last()
+        last = self._newest()
         if last:
-            known = self._schema_of(last)
-            if [(f.name, f.dataType) for f in known] != [(f.name, f.dataType) for f in df.schema]:
+            if [(f.name, f.dataType) for f in _schema(last)] != [(f.name, f.dataType) for f in df.schema]:
                 raise ValueError("appended rows must have the table's schema")
-        return self._write(df, operation, {"mode": "Append", **parameters}, keep=last)
+        return self._write(df, operation, {"mode": "Append", **parameters}, last, extend=last is not None)
 
     def restore(self, version: int) -> int:
-        """Make an older version current again as a new commit; no data moves."""
-        old = self._commit(version)
-        new = self.latest_version() + 1
-        self._publish(new, "RESTORE", {"version": str(version)}, old.rows, old.table_schema, old.data_versions)
-        return new
+        """Make an older version current again: its rows are written once more, as a new version."""
+        return self._write(self.read(version=version), "RESTORE", {"version": str(version)}, self._latest(), extend=False)
 
     def read(self, version: int | None = None, as_of: dt.datetime | str | None = None) -> DataFrame:
         """The latest version, version ``version``, or the newest one committed at or before ``as_of``."""
         if version is not None and as_of is not None:
             raise ValueError("give either a version or a timestamp")
-        if version is not None:
-            return self._scan(self._commit(version))
         if as_of is not None:
-            return self._scan(self._commit(self.version_as_of(as_of)))
-        return self._scan(self._latest())
+            version = self.version_as_of(as_of)
+        return self._scan(self._latest() if version is None else self._version(version))
 
     def read_if_exists(self) -> DataFrame | None:
-        last = self._last()
+        last = self._newest()
         return self._scan(last) if last else None
 
     def version_as_of(self, as_of: dt.datetime | str) -> int:
         moment = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
         if moment.tzinfo is None:
             moment = moment.replace(tzinfo=dt.timezone.utc)
-        micros = round((moment - _EPOCH) / dt.timedelta(microseconds=1))
-        known = None
-        if self.exists():
-            known = self._log().filter(F.unix_micros("timestamp") <= micros).agg(F.max("version")).first()[0]
-        if known is None:
+        known = self.versions().filter(F.col("timestamp") <= F.lit(moment.isoformat()).cast("timestamp"))
+        newest = known.agg(F.max("version")).first()[0]
+        if newest is None:
             raise ValueError(f"no version of {self.path} at or before {as_of}")
-        return known
+        return newest
 
     def added_since(self, version: int) -> DataFrame:
-        """Rows committed after ``version``: the appended data alone, or a multiset difference after a rewrite."""
-        old, new = self._commit(version), self._latest()
-        shared = len(old.data_versions)
-        if new.data_versions[:shared] == old.data_versions:
-            return self._scan(new, new.data_versions[shared:])
+        """Rows committed after ``version``: the later folders alone, or a multiset difference after a rewrite."""
+        old, new = self._version(version), self._latest()
+        if old["since"] == new["since"]:
+            return self._scan(new, version + 1)
         return self._scan(new).exceptAll(self._scan(old))
 
     def row_counts(self) -> DataFrame:
-        """Rows of the previous and the latest version; empty when there is only one."""
+        """Rows of the previous and the latest version, counted; empty when there is only one."""
         latest = self.latest_version()
         if latest == 0:
             return self.spark.createDataFrame([], "version bigint, row_count bigint")
@@ -146,99 +136,41 @@ class SnapshotTable:
         )
         return left.join(right, key, "full_outer").select(key, change.alias("change")).filter("change is not null")
 
-    def _write(self, df: DataFrame, operation: str, parameters: dict[str, str], keep: Commit | None) -> int:
-        versions = self._versions()
-        version = versions[-1] + 1 if versions else 0
-        # A directory without a history row is left over from a commit that never finished.
-        df.write.mode("overwrite").parquet(self._data_path(version))
-        rows = written_rows(self.spark, self._data_path(version), df.schema) + (keep.rows if keep else 0)
-        schema = df.schema.json()
-        if keep is None or len(keep.added) >= LONGEST_CHANGE:
-            self._publish(version, operation, parameters, rows, schema, [*(keep.data_versions if keep else []), version])
-        else:
-            base = keep.version if keep.base is None else keep.base
-            self._publish(version, operation, parameters, rows, schema, None, base, [*keep.added, version])
-        return version
-
-    def _publish(
-        self,
-        version: int,
-        operation: str,
-        parameters: dict[str, str],
-        rows: int,
-        schema: str,
-        data: list[int] | None,
-        base: int | None = None,
-        added: list[int] | None = None,
-    ) -> None:
+    def _write(
+        self, df: DataFrame, operation: str, parameters: dict[str, str], last: Row | None, extend: bool
+    ) -> int:
+        """Write ``df`` as the version after ``last``, on top of its folders if ``extend``."""
+        version = last["version"] + 1 if last else 0
+        df.write.mode("overwrite").parquet(self._folder(version))
+        rows = written_rows(self.spark, self._folder(version), df.schema) + (last["rows"] if extend else 0)
         now = dt.datetime.now(dt.timezone.utc)
-        settings = [F.lit(x) for pair in parameters.items() for x in pair]
-
-        def numbers(values: list[int] | None):
-            found = F.lit(None) if values is None else F.array(*[F.lit(v) for v in values])
-            return found.cast("array<bigint>")
-
-        row = self.spark.range(0, 1, 1, 1).select(
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit(now.isoformat()).cast("timestamp").alias("timestamp"),
-            F.lit(operation).alias("operation"),
-            F.create_map(*settings).alias("parameters"),
-            F.lit(rows).cast("bigint").alias("rows"),
-            F.lit(schema).alias("table_schema"),
-            numbers(data).alias("data_versions"),
-            F.lit(base).cast("bigint").alias("base"),
-            numbers(added).alias("added"),
-        )
-        row.write.mode("errorifexists").json(self._row_path(version))
-
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(HISTORY_SCHEMA).json(f"{self.path}/history/*")
-
-    def _row_path(self, version: int) -> str:
-        return f"{self.path}/history/{version:020d}"
-
-    def _versions(self) -> list[int]:
-        """Numbers of the finished commits, oldest first, from the names of their folders."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        pattern = hadoop.Path(f"{self.path}/history/*/_SUCCESS")
-        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
-        return sorted(int(f.getPath().getParent().getName()) for f in found or ())
+        since = last["since"] if extend else version
+        row = self.spark.createDataFrame([(now, operation, parameters, rows, since, df.schema.json(), version)], VERSIONS)
+        row.drop("version").coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/versions/version={version}")
+        return version
 
-    def _last(self) -> Commit | None:
-        versions = self._versions()
-        return self._commit(versions[-1]) if versions else None
+    def _newest(self) -> Row | None:
+        return self.versions().orderBy(F.desc("version")).first()
 
-    def _latest(self) -> Commit:
-        last = self._last()
+    def _latest(self) -> Row:
+        last = self._newest()
         if last is None:
             raise ValueError(f"no version of {self.path}")
         return last
 
-    def _row(self, version: int):
-        """One history row; the only place that reads them one by one."""
-        log = self.spark.read.schema(HISTORY_SCHEMA).json(self._row_path(version))
-        return log.withColumn("timestamp", F.unix_micros("timestamp")).first()
-
-    def _commit(self, version: int) -> Commit:
-        if version not in self._versions():
+    def _version(self, version: int) -> Row:
+        found = self.versions().filter(F.col("version") == version).first()
+        if found is None:
             raise ValueError(f"no version {version} of {self.path}")
-        row = self._row(version)
-        added = row["added"] or []
-        data = row["data_versions"] if row["base"] is None else [*self._row(row["base"])["data_versions"], *added]
-        moment = _EPOCH + dt.timedelta(microseconds=row["timestamp"])
-        return Commit(
-            version, moment, row["operation"], row["parameters"], row["rows"], row["table_schema"], data, row["base"], added
-        )
-
-    def _schema_of(self, commit: Commit) -> StructType:
-        return StructType.fromJson(json.loads(commit.table_schema))
+        return found
 
-    def _data_path(self, version: int) -> str:
-        return f"{self.path}/data/v{version}"
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/data/version={version}"
 
-    def _scan(self, commit: Commit, versions: list[int] | None = None) -> DataFrame:
-        schema = self._schema_of(commit)
-        chosen = commit.data_versions if versions is None else versions
-        if not chosen:
+    def _scan(self, version: Row, start: int = 0) -> DataFrame:
+        """The folders of a version, from folder ``start`` on."""
+        schema = _schema(version)
+        folders = [self._folder(v) for v in range(max(version["since"], start), version["version"] + 1)]
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[self._data_path(v) for v in chosen])
+        return self.spark.read.schema(schema).parquet(*folders)

@@ -1,6 +1,5 @@
 import datetime as dt
 import json
-import shutil
 
 import pytest
 from conftest import plan_of
@@ -57,27 +56,36 @@ def test_pages(spark, numbers):
             readers.page(numbers, "id", page, size)
 
 
-def test_reading_takes_one_or_two_history_rows_of_two_hundred(spark, tmp_path, monkeypatch):
-    """Appends 0 to 199 as the table writes them, laid out by hand to save 200 jobs."""
+def test_a_version_is_a_range_of_folders(spark, tmp_path):
+    """Appends, an overwrite, appends on top of it, a restore and an append on top of that."""
     table = SnapshotTable(spark, str(tmp_path / "t"))
-    one = spark.range(1).coalesce(1)
-    assert table.append(one) == 0 and table.append(one) == 1
-    kept = {"timestamp": "2018-01-01T00:00:00.000Z", "operation": "WRITE", "parameters": {"mode": "Append"}}
-    for v in range(2, 200):
-        base = v // 65 * 65
-        lists = {"data_versions": list(range(v + 1))} if v == base else {"base": base, "added": list(range(base + 1, v + 1))}
-        folder = tmp_path / "t" / "history" / f"{v:020d}"
-        folder.mkdir()
-        (folder / "part-0.json").write_text(json.dumps({"version": v, **kept, "rows": v + 1, "table_schema": one.schema.json(), **lists}))
-        (folder / "_SUCCESS").touch()
-        shutil.copytree(tmp_path / "t" / "data" / "v1", tmp_path / "t" / "data" / f"v{v}")
-    read, row = [], SnapshotTable._row
-    monkeypatch.setattr(SnapshotTable, "_row", lambda self, v: read.append(v) or row(self, v))
-    assert table.read().count() == 200 and len(read) <= 2
-    assert table.append(one) == 200 and table.read().count() == 201
-    assert table.history().count() == 201 and table.read(version=70).count() == 71
-    assert table.added_since(150).count() == 50
-    assert table.restore(100) == 201 and table.read().count() == 101
+
+    def one(v):
+        return spark.range(v, v + 1).select("id", F.lit("x").alias("version"))
+
+    for v in range(4):
+        assert table.append(one(v)) == v
+    assert table.overwrite(one(4)) == 4
+    assert table.append(one(5)) == 5
+    assert table.restore(2) == 6
+    assert table.append(one(7)) == 7
+    held = [[0], [0, 1], [0, 1, 2], [0, 1, 2, 3], [4], [4, 5], [0, 1, 2], [0, 1, 2, 7]]
+    for v, ids in enumerate(held):
+        read = table.read(version=v)
+        assert read.columns == ["id", "version"] and sorted(r["id"] for r in read.collect()) == ids
+        assert {r["version"] for r in read.collect()} == {"x"}
+    assert [r["rows"] for r in table.history().collect()] == [len(ids) for ids in reversed(held)]
+    assert [r["since"] for r in table.versions().orderBy("version").collect()] == [0, 0, 0, 0, 4, 4, 6, 6]
+    assert [r["id"] for r in table.added_since(6).collect()] == [7] and table.added_since(7).count() == 0
+    assert sorted(r["id"] for r in table.added_since(5).collect()) == [0, 1, 2, 7]
+
+
+def test_later_rows_are_read_from_later_folders_only(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    for v in range(3):
+        table.append(spark.range(10 * v, 10 * v + 10))
+    files = table.added_since(1).inputFiles()
+    assert files and all("/data/version=2/" in f for f in files)
 
 
 def test_clustered_files_hold_disjoint_ranges(spark, tmp_path):
@@ -196,7 +204,9 @@ def test_versions(spark, tmp_path):
         (3, "RESTORE", 2), (2, "MERGE", 3), (1, "WRITE", 3), (0, "WRITE", 2),
     ]
     assert log[1]["parameters"] == {"mode": "Overwrite", "reason": "test"}
-    times = [table._commit(v).timestamp for v in range(4)]
+    epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    micros = table.versions().orderBy("version").select(F.unix_micros("timestamp")).collect()
+    times = [epoch + dt.timedelta(microseconds=r[0]) for r in micros]
     assert rows(table.read(as_of=times[1])) == rows(table.read(version=1))
     assert rows(table.read(as_of=times[2] - dt.timedelta(microseconds=1))) == rows(table.read(version=1))
     assert rows(table.read(as_of="2999-01-01")) == rows(table.read())
@@ -214,6 +224,6 @@ def test_versions(spark, tmp_path):
 def test_unfinished_commit_is_invisible_and_replaced(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
     table.overwrite(spark.range(3))
-    spark.range(99).write.parquet(table._data_path(1))
+    spark.range(99).write.parquet(table._folder(1))
     assert table.latest_version() == 0 and table.read().count() == 3
     assert table.overwrite(spark.range(4)) == 1 and table.read().count() == 4
