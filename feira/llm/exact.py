@@ -120,16 +120,45 @@ def duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns.
 
-    Losers of heavy digests are dropped where they are read, by the broadcast winners; all other rows meet the rest of
-    their group in one shuffle. Of rows that repeat both id and text one stays.
+    Winners are found on ids and digests alone. Losers of heavy digests are dropped where they are read, by the broadcast
+    winners; those of the other repeated digests by a join with their written winners, so that texts stay where they are
+    as long as Spark can broadcast these. Of rows that repeat both id and text one stays, for which only such rows are
+    shuffled. Null ids are smaller than any other; null and empty texts are equal; an empty table stays empty.
     """
     keyed = materialize(
         df.select(col(id_col).alias("id"), digest(text_col).alias("digest"), F.lit(0).alias("row")), "digests"
     )
-    heavy = heavy_winners(keyed).select(F.col("digest").alias("heavy_digest"), F.col("winner.id").alias("winner_id"))
-    packed = df.select(F.struct(*[col(c) for c in df.columns]).alias("doc"), col(id_col).alias("id"), digest(text_col).alias("digest"))
-    met = packed.join(F.broadcast(heavy), F.col("digest") == F.col("heavy_digest"), "left")
-    open_ = met.filter(F.col("heavy_digest").isNull() | F.col("id").eqNullSafe(F.col("winner_id")))
-    best = F.row_number().over(W.partitionBy("digest").orderBy(F.col("id").desc_nulls_last()))
-    kept = open_.select("doc", "id", "digest").withColumn("place", best).filter("place = 1")
+    heavy = heavy_winners(keyed).select(F.col("digest").alias("heavy_digest"), F.col("winner.id").alias("heavy_id"))
+    is_heavy = F.col("digest") == F.col("heavy_digest")
+    light = materialize(
+        keyed.join(F.broadcast(heavy), is_heavy, "left_anti")
+        .groupBy(F.col("digest").alias("light_digest"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("light_id"))
+        .filter("n > 1")
+        .drop("n"),
+        "light-winners",
+    )
+
+    def winners(rows: DataFrame) -> DataFrame:
+        open_ = rows.join(F.broadcast(heavy), is_heavy, "left").filter(
+            F.col("heavy_digest").isNull() | F.col("id").eqNullSafe(F.col("heavy_id"))
+        )
+        return open_.join(light, F.col("digest") == F.col("light_digest"), "left").filter(
+            F.col("light_digest").isNull() | F.col("id").eqNullSafe(F.col("light_id"))
+        )
+
+    packed = df.select(
+        F.struct(*[col(c) for c in df.columns]).alias("doc"),
+        col(id_col).alias("id"),
+        digest(text_col).alias("digest"),
+        F.xxhash64(col(text_col)).alias("text_hash"),
+    )
+    kept = winners(packed).select("doc", "digest", "text_hash")
+    # Winners are compared with their own group only, so a digest that is left twice has a winner with a repeated id.
+    twice = winners(keyed).groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
+    twice = materialize(twice, "winners-twice")
+    if not twice.isEmpty():
+        first = F.row_number().over(W.partitionBy("digest").orderBy("text_hash"))
+        one = kept.join(twice, "digest", "left_semi").withColumn("place", first).filter("place = 1")
+        kept = kept.join(twice, "digest", "left_anti").select("doc").unionByName(one.select("doc"))
     return kept.select(*[F.col("doc").getField(c).alias(c) for c in df.columns])

@@ -212,13 +212,38 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, the one with the smallest id, with all its columns.
 
-    Of rows that repeat that id one stays. Rows with a null id are of no component and stay.
+    What goes is decided on ids, so that texts stay where they are. Rows that repeat an id are told apart by their
+    fingerprints: of those in the component that the id names one stays. Rows with a null id are of no component and
+    stay. Null and blank texts are linked like any other; an empty table stays empty.
     """
-    groups = near_groups(df, id_col, text_col).filter(col(id_col) != F.col("component_id"))
-    # What goes is usually the smaller part; it is written, so Spark knows its size.
-    place, goes = fresh(df, "__place"), fresh(df, "__goes")
-    gone = materialize(groups.select(col(id_col).alias(goes)).distinct(), "simhash-gone")
-    rows = df.filter(col(id_col).isNotNull()).join(gone, col(id_col) == F.col(goes), "left_anti")
-    first = F.row_number().over(W.partitionBy(col(id_col)).orderBy(F.xxhash64(col(text_col))))
-    one = rows.withColumn(place, first).filter(F.col(place) == 1)
-    return one.select(*[col(c) for c in df.columns]).unionByName(df.filter(col(id_col).isNull()))
+    groups = materialize(near_groups(df, id_col, text_col), "simhash-groups")
+    groups = groups.select(col(id_col).alias("of"), "fingerprint", "component_id").filter("of is not null")
+    fate = materialize(
+        groups.groupBy("of")
+        .agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col("of") != F.col("component_id")).alias("goes"))
+        .filter("goes or n > 1"),
+        "simhash-fate",
+    )
+    of = fresh(df, "__of")
+    kept = df.join(fate.select(F.col("of").alias(of)), col(id_col) == F.col(of), "left_anti")
+    repeated = fate.filter("n > 1").select("of")
+    if repeated.isEmpty():
+        return kept
+    again = materialize(
+        df.select(
+            F.struct(*[col(c) for c in df.columns]).alias("doc"),
+            col(id_col).alias("of"),
+            col(text_col).alias("text"),
+            F.monotonically_increasing_id().alias("number"),
+        ).join(repeated, "of", "left_semi"),
+        "simhash-again",
+    )
+    signed = fingerprints(again, "number", "text").select(
+        F.col("id").alias("number"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    )
+    own = groups.filter(F.col("of") == F.col("component_id")).select("of", "fingerprint").distinct()
+    first = F.row_number().over(W.partitionBy("of").orderBy(F.xxhash64("text"), "number"))
+    one = (
+        again.join(signed, "number").join(own, ["of", "fingerprint"], "left_semi").withColumn("place", first).filter("place = 1")
+    )
+    return kept.unionByName(one.select(*[F.col("doc").getField(c).alias(c) for c in df.columns]))

@@ -53,6 +53,17 @@ def test_exact(odd, none):
     assert exact.exact_dedup(none).count() == exact.duplicate_groups(none).count() == 0
 
 
+def test_exact_groups_that_are_not_heavy(odd, monkeypatch):
+    expected = Counter(r.doc_id for r in exact.exact_dedup(odd).collect())
+    groups = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact.duplicate_groups(odd).collect())
+    monkeypatch.setattr(exact, "HEAVY_SHARE", 0.99)
+    twice = odd.unionByName(odd)
+    assert exact.heavy_winners(odd.selectExpr("doc_id id", "cast(text as binary) digest", "0 row")).count() == 0
+    assert Counter(r.doc_id for r in exact.exact_dedup(odd).collect()) == expected
+    assert Counter(r.doc_id for r in exact.exact_dedup(twice).collect()) == expected
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact.duplicate_groups(odd).collect()) == groups
+
+
 def test_exact_repeats_of_one_row(odd):
     same = odd.filter("doc_id = 1")
     assert exact.exact_dedup(same).count() == 1
@@ -121,6 +132,16 @@ def test_simhash(odd, none):
     assert simhash.near_dedup(none).count() == simhash.near_groups(none).count() == 0
 
 
+def test_near_copies_that_share_an_id(spark):
+    a, b = "one two three four five six", "other words that nobody else has written"
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, b), (None, a), (9, None), (9, ""), (9, a)]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id int, text string, `of` int, `__of` string")
+    kept = simhash.near_dedup(df)
+    assert kept.columns == df.columns
+    found = Counter((r.doc_id, r.text or "") for r in kept.collect())
+    assert found == {(1, a): 1, (5, b): 1, (None, a): 1, (9, ""): 1}
+
+
 def test_bit_sliced_comparison():
     rng = np.random.default_rng(1)
     for size in (1, 12, 200):
