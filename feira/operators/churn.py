@@ -325,11 +325,11 @@ def train_boosted(
     return found._replace(degenerate=found.degenerate or found.pr_auc <= CHANCE)
 
 
-def score(table: DataFrame, trained: ChurnModel) -> DataFrame:
-    """Churn probability of every person in ``table``."""
+def score(table: DataFrame, trained: ChurnModel, carried: Sequence[str] = ()) -> DataFrame:
+    """Churn probability of every person in ``table``, beside the ``carried`` columns."""
     scored = trained.model.transform(table)
     churn = 1.0 - vector_to_array("probability")[1]
-    return scored.select("customer_unique_id", churn.alias("churn_probability"))
+    return scored.select("customer_unique_id", churn.alias("churn_probability"), *carried)
 
 
 def alerts(scores: DataFrame, threshold: float = 0.5) -> DataFrame:

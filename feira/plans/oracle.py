@@ -715,10 +715,12 @@ def statements() -> dict[str, str]:
                 for f in FEATURES)}
             from training""",
         "churn_scores": f"""
-            select customer_unique_id, round({_probability(r.CHURN_POINTS[1])}, 9) as churn_probability
+            select customer_unique_id, true as is_probability,
+                round({_probability(r.CHURN_POINTS[1])}, 9) as churn_probability
             from training""",
         "churn_scores_boosted": f"""
-            select customer_unique_id, round(1 / (1 + exp(-2 * ({_trees(r.CHURN_TREES)}))), 9) as churn_probability
+            select customer_unique_id, true as is_probability,
+                round(1 / (1 + exp(-2 * ({_trees(r.CHURN_TREES)}))), 9) as churn_probability
             from training""",
         "churn_gradient": " union all ".join(
             f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -652,14 +652,20 @@ def _published_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _checked_scores(spark: SparkSession, sf_dir: str, kind: str, published: Column) -> DataFrame:
+    """Every person once, with the published score, and whether the fitted model's score is a probability."""
+    table = _training(spark, sf_dir).withColumn("published", F.round(published, 9))
+    fitted = F.col("churn_probability").between(0.0, 1.0).alias("is_probability")
+    scores = churn.score(table, _model(spark, sf_dir, kind), ["published"])
+    return scores.select("customer_unique_id", fitted, F.col("published").alias("churn_probability"))
+
+
 def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    score = F.round(CHURN_POINTS[1].probability(), 9).alias("churn_probability")
-    return _training(spark, sf_dir).select("customer_unique_id", score)
+    return _checked_scores(spark, sf_dir, "logistic", CHURN_POINTS[1].probability())
 
 
 def churn_scores_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    score = F.round(scoring.boosted_probability(CHURN_TREES), 9).alias("churn_probability")
-    return _training(spark, sf_dir).select("customer_unique_id", score)
+    return _checked_scores(spark, sf_dir, "boosted", scoring.boosted_probability(CHURN_TREES))
 
 
 def churn_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from feira.operators import scoring
+from feira.operators import churn, scoring
+from feira.plans import registry
 
 FEATURES = ["a", "b", "c"]
 
@@ -98,3 +99,25 @@ def test_exactly_k_rows_with_ties_by_id(spark, k):
     df = spark.createDataFrame([*rows, ("x", None), ("y", float("nan"))], "id string, s double").repartition(3)
     found = sorted((r.id, r.s) for r in scoring.top_rows(df, "s", ["id"], k).collect())
     assert found == sorted(sorted(rows, key=lambda r: (-r[1], r[0]))[:k])
+
+
+@pytest.mark.parametrize("name, kind", [("churn_scores", "logistic"), ("churn_scores_boosted", "boosted")])
+def test_registered_scores_fit_their_model_and_score_everybody(spark, monkeypatch, name, kind):
+    rng = random.Random(11)
+    rows = [
+        (f"u{i}", int(rng.random() < (0.9 if i % 2 else 0.2)), *map(float, (10 + i % 2 * 90 + i % 7, 1 + i % 5, 2 * i, 0.5, 0.1, 3, i % 4)))
+        for i in range(300)
+    ]
+    table = spark.createDataFrame(rows, f"customer_unique_id string, churned int, {', '.join(f'{f} double' for f in churn.FEATURES)}")
+    fitted = []
+
+    def model(*args):
+        fitted.append(args[-1])
+        return churn.train_logistic(table) if kind == "logistic" else churn.train_boosted(table, rounds=2, depth=2)
+
+    monkeypatch.setattr(registry, "_training", lambda *_: table)
+    monkeypatch.setattr(registry, "_model", model)
+    found = registry.QUERIES[name](spark, "own rows").collect()
+    assert fitted == [kind]
+    assert sorted(r.customer_unique_id for r in found) == sorted(r[0] for r in rows)
+    assert all(r.is_probability and 0 <= r.churn_probability <= 1 for r in found)
