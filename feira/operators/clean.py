@@ -97,7 +97,7 @@ def impute_delivery(
     """
     if fallback not in (None, "global"):
         raise ValueError(f"unknown fallback {fallback!r}")
-    timed = materialize(_with_delivery_days(orders, customers), "timed-orders")
+    timed = materialize(_with_delivery_days(orders, customers), "timed-orders", "zstd")
     zip_col = "customer_zip_code_prefix"
     medians = materialize(discrete_quantile(timed, [zip_col], "__days", "__median"), "medians")
     joined = timed.join(medians, zip_col, "left")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from itertools import takewhile
+from typing import Literal, NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feira.session import materialize
 
@@ -21,7 +23,10 @@ class Ranked(NamedTuple):
     rows: int
 
 
-def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str, unique: bool = False) -> Ranked:
+Unique = bool | Literal["collapse"]
+
+
+def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str, unique: Unique = False) -> Ranked:
     """Number all rows 1..n in ``order_by`` order.
 
     The input is evaluated once and written; sampling and sorting read that copy, the sample only its sort columns.
@@ -32,18 +37,20 @@ def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str, uniq
 
     Rows that tie on the whole ``order_by`` are told apart by an arrival number that is written with them first, so
     even copies that make up a third of the table are split over slices, and a retried task numbers them as before.
-    ``unique=True`` says that there are no ties and saves that number.
+    ``unique=True`` says that there are no ties and saves that number. ``unique="collapse"`` keeps one row of those that
+    tie on ``order_by``: the range exchange has brought them into one slice, so that takes no exchange of its own.
     """
     spark, keys, columns = df.sparkSession, list(order_by), df.columns
-    df = materialize(df if unique else df.withColumn(_ARRIVAL, F.monotonically_increasing_id()), "arrived")
+    df = materialize(df if unique else df.withColumn(_ARRIVAL, F.monotonically_increasing_id()), "arrived", "zstd")
     if not unique:
         keys.append(_ARRIVAL)
-    placed = df.orderBy(*keys).select(
+    ordered = _one_of_ties(df, keys) if unique == "collapse" else df.orderBy(*keys)
+    placed = ordered.select(
         *columns,
         F.spark_partition_id().alias(_SLICE),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(_POSITION),
     )
-    written = materialize(placed, "ranked")
+    written = materialize(placed, "ranked", "zstd")
     sizes = {r[0]: r[1] for r in written.groupBy(_SLICE).count().collect()}
     total, slices, before = 0, [], []
     for number in sorted(sizes):
@@ -58,7 +65,26 @@ def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str, uniq
     return Ranked(ranked.select(rank, *columns), total)
 
 
-def dense_key(df: DataFrame, order_by: list[str | Column], key_col: str, unique: bool = False) -> DataFrame:
+def _one_of_ties(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in slices ordered by the columns ``keys``, one row of those that are equal in all of them.
+
+    Rows are dealt by range of the columns before the first floating one, whose values a window would normalise and deal
+    anew; the window finds them in place, sorts every slice and looks at the row before.
+    """
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, T.FloatType | T.DoubleType)}
+    dealt = list(takewhile(lambda c: c not in floating, keys))
+    if not dealt:
+        return df.dropDuplicates(keys).orderBy(*keys)
+    rest = keys[len(dealt) :]
+    in_order = W.partitionBy(*dealt).orderBy(*(rest or dealt[:1]))
+    repeats = F.row_number().over(in_order) > 1
+    for c in rest:
+        repeats = repeats & F.col(c).eqNullSafe(F.lag(c).over(in_order))
+    marked = df.repartitionByRange(*dealt).withColumn("__repeats", repeats)
+    return marked.filter(~F.col("__repeats")).drop("__repeats")
+
+
+def dense_key(df: DataFrame, order_by: list[str | Column], key_col: str, unique: Unique = False) -> DataFrame:
     """Surrogate key 1..n without gaps, in ``order_by`` order."""
     return global_rank(df, order_by, key_col, unique).df
 

@@ -122,8 +122,9 @@ def build_fct_order_items(
     """Order-item fact. ``orders`` holds one row per ``order_id`` (what the clean layer delivers).
 
     ``collapse_identical=True`` keeps one row for identical units of an order; ``False`` keeps the true item grain.
-    Order-level columns depend on ``order_id`` alone, so identical units are collapsed on the five item columns
-    before the wide join. Dimensions are expected as written tables, and everything known per order is written before
+    Order-level columns depend on ``order_id`` alone, so identical units tie on the sort columns of the key and are
+    collapsed by the exchange that numbers the rows; a pass of their own would shuffle all items once more, and hold the
+    units of a whole split in a task. Dimensions are expected as written tables, and everything known per order is written before
     the items meet it: the planner then broadcasts what is under its size threshold and sort-merges the rest with hot
     keys split at run time, which it only does for joins that read both sides straight from an exchange.
     """
@@ -132,7 +133,7 @@ def build_fct_order_items(
     )
     unit = ["order_id", "product_key", "seller_key", "price", "freight_value"]
     if collapse_identical:
-        units, ties = keyed.select(*unit).dropDuplicates(), []
+        units, ties = keyed.select(*unit), []
     else:
         units, ties = keyed.select(*unit, "order_item_id"), ["order_item_id"]
     scores = latest_review_per_order(reviews).select("order_id", "review_score")
@@ -146,7 +147,8 @@ def build_fct_order_items(
         .withColumnRenamed("price", "item_price")
     )
     order_by = ["order_id", "customer_key", "product_key", "seller_key", *ties, "item_price", "freight_value"]
-    return conform(dense_key(wide, order_by, "order_item_key", unique=collapse_identical), "fct_order_items")
+    numbered = dense_key(wide, order_by, "order_item_key", unique="collapse" if collapse_identical else False)
+    return conform(numbered, "fct_order_items")
 
 
 def build_fct_marketing_leads(leads: DataFrame, dim_sellers: DataFrame) -> DataFrame:

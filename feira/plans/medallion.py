@@ -36,6 +36,10 @@ _CLUSTERED = {
     (CLEAN, "orders"): ("order_purchase_timestamp", "order_id"),
     (GOLD, "fct_order_items"): ("order_date_key", "order_id"),
 }
+# Tables of items, orders and reviews, which are never the looked-up side of a join.
+_PACKED = ("orders", "order_items", "order_reviews", "fct_order_items")
+# A task that counts or deduplicates by a fine key, or sorts for the first row per key, holds its whole split.
+_SPLIT = "32m"
 
 
 class Lakehouse:
@@ -43,6 +47,7 @@ class Lakehouse:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = configure(spark)
+        self.spark.conf.set("spark.sql.files.maxPartitionBytes", _SPLIT)
         self.base = base.rstrip("/")
 
     def table(self, layer: str, name: str) -> SnapshotTable:
@@ -72,7 +77,8 @@ def _write_all(lake: Lakehouse, layer: str, builders: Mapping[str, Callable[[],
         with scratch_scope(lake.spark):
             df = builders[name]()
             if df is not None:
-                lake.table(layer, name).overwrite(df, cluster_by=_CLUSTERED.get((layer, name), ()))
+                codec = "zstd" if name in _PACKED else "snappy"
+                lake.table(layer, name).overwrite(df, cluster_by=_CLUSTERED.get((layer, name), ()), compression=codec)
 
     with ThreadPoolExecutor(_CONCURRENT_TABLES) as pool:
         list(pool.map(inheritable_thread_target(lake.spark)(write), builders))

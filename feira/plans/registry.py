@@ -134,7 +134,7 @@ def _logistics_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, topic: DataFrame, name: str) -> DataFrame:
     """A topic written as files and opened as a stream."""
     path = scratch_path(spark, f"topic-{name}")
-    topic.write.parquet(path)
+    topic.write.parquet(path, compression="zstd")
     return archive.file_stream(spark, path)
 
 

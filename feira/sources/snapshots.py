@@ -57,17 +57,24 @@ class SnapshotTable:
         return self._latest()["version"]
 
     def overwrite(
-        self, df: DataFrame, operation: str = "WRITE", cluster_by: tuple[str, ...] = (), **parameters: str
+        self,
+        df: DataFrame,
+        operation: str = "WRITE",
+        cluster_by: tuple[str, ...] = (),
+        compression: str = "snappy",
+        **parameters: str,
     ) -> int:
         """Replace the table, schema included; returns the new version.
 
         ``cluster_by`` deals the rows to files by ranges of these columns, so that a range of the first one reaches few
-        files (and row groups); the others split a value that holds much of the table.
+        files (and row groups); the others split a value that holds much of the table. ``compression="zstd"`` halves
+        tables that are not joined as a lookup (a lookup is broadcast by the size of its files).
         """
         if cluster_by:
             df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
             parameters = {"clusterBy": ", ".join(cluster_by), **parameters}
-        return self._write(df, operation, {"mode": "Overwrite", **parameters}, self._newest(), extend=False)
+        parameters = {"mode": "Overwrite", **parameters}
+        return self._write(df, operation, parameters, self._newest(), extend=False, compression=compression)
 
     def append(self, df: DataFrame, operation: str = "WRITE", **parameters: str) -> int:
         """Add rows; only the new rows are written."""
@@ -137,11 +144,17 @@ class SnapshotTable:
         return left.join(right, key, "full_outer").select(key, change.alias("change")).filter("change is not null")
 
     def _write(
-        self, df: DataFrame, operation: str, parameters: dict[str, str], last: Row | None, extend: bool
+        self,
+        df: DataFrame,
+        operation: str,
+        parameters: dict[str, str],
+        last: Row | None,
+        extend: bool,
+        compression: str = "snappy",
     ) -> int:
         """Write ``df`` as the version after ``last``, on top of its folders if ``extend``."""
         version = last["version"] + 1 if last else 0
-        df.write.mode("overwrite").parquet(self._folder(version))
+        df.write.mode("overwrite").parquet(self._folder(version), compression=compression)
         rows = written_rows(self.spark, self._folder(version), df.schema) + (last["rows"] if extend else 0)
         now = dt.datetime.now(dt.timezone.utc)
         since = last["since"] if extend else version

@@ -82,6 +82,7 @@ def start_append(
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
+        .option("compression", "zstd")
         .option("checkpointLocation", checkpoint)
     )
     if partition_by:

@@ -1,15 +1,18 @@
 import pathlib
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from feira.operators import keys
 from feira.operators.gaps import event_gaps
 from feira.operators.keys import chronological_split, dense_key, global_rank, with_previous
-from feira.session import release_scratch, scratch_dir, scratch_scope
+from feira.plans import medallion
+from feira.session import materialize, release_scratch, scratch_dir, scratch_scope
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -111,3 +114,39 @@ def test_scratch_copies_go_with_their_owner(spark):
     assert set(scratch.iterdir()) == before
     dense_key(spark.range(10), ["id"], "key").count()
     assert release_scratch(spark) > 0 and not [p for p in scratch.iterdir() if p not in before]
+
+
+@pytest.mark.parametrize("order_by", [["k", "v"], ["k", "d"], ["v", "k"]])
+def test_ties_collapse_in_the_exchange_that_ranks(spark, monkeypatch, order_by):
+    written = []
+
+    def watched(df, *args):
+        written.append(df)
+        return materialize(df, *args)
+
+    monkeypatch.setattr(keys, "materialize", watched)
+    rows = [(i % 700 or None, [float("nan"), None, 0.0, -0.0, 2.5][i % 5 if i % 7 else 4], f"d{i % 3}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "k int, v double, d string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = keys.global_rank(df, order_by, "rank", unique="collapse")
+        ranked = found.df.orderBy("rank").select("rank", *order_by).collect()
+        expected = df.select(order_by).distinct().orderBy(order_by).collect()
+        shown = lambda r: [str(v).replace("-0.0", "0.0") for v in r]
+        assert [shown(r[1:]) for r in ranked] == [shown(r) for r in expected]
+        assert [r["rank"] for r in ranked] == list(range(1, len(expected) + 1)) and found.rows == len(expected)
+        if order_by[0] == "k":
+            assert plan_of(written[1]).count("rangepartitioning(") == 1
+            assert "hashpartitioning" not in plan_of(written[1])
+            assert written[1].select("__slice").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_large_tables_are_packed_and_splits_bounded(spark, tmp_path):
+    lake = medallion.Lakehouse(spark, str(tmp_path / "lake"))
+    df = spark.createDataFrame([("1", 20200101)], "order_id string, order_date_key int")
+    medallion._write_all(lake, medallion.GOLD, {"fct_order_items": lambda: df, "dim_date": lambda: df})
+    codecs = {p.parent.parent.parent.name: p.name.split(".")[-2] for p in tmp_path.rglob("data/*/part-*.parquet")}
+    assert codecs == {"fct_order_items": "zstd", "dim_date": "snappy"}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
