@@ -38,7 +38,7 @@ def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str, uniq
     Rows that tie on the whole ``order_by`` are told apart by an arrival number that is written with them first, so
     even copies that make up a third of the table are split over slices, and a retried task numbers them as before.
     ``unique=True`` says that there are no ties and saves that number. ``unique="collapse"`` keeps one row of those that
-    tie on ``order_by``: the range exchange has brought them into one slice, so that takes no exchange of its own.
+    are equal in all columns: the range exchange has brought them into one slice, so that takes no exchange of its own.
     """
     spark, keys, columns = df.sparkSession, list(order_by), df.columns
     df = materialize(df if unique else df.withColumn(_ARRIVAL, F.monotonically_increasing_id()), "arrived", "zstd")
@@ -66,16 +66,17 @@ def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str, uniq
 
 
 def _one_of_ties(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows in slices ordered by the columns ``keys``, one row of those that are equal in all of them.
+    """Rows in slices ordered by the columns ``keys``, then the others, one row of those that are equal in all of them.
 
     Rows are dealt by range of the columns before the first floating one, whose values a window would normalise and deal
     anew; the window finds them in place, sorts every slice and looks at the row before.
     """
     floating = {f.name for f in df.schema.fields if isinstance(f.dataType, T.FloatType | T.DoubleType)}
     dealt = list(takewhile(lambda c: c not in floating, keys))
+    others = [c for c in df.columns if c not in keys]
     if not dealt:
-        return df.dropDuplicates(keys).orderBy(*keys)
-    rest = keys[len(dealt) :]
+        return df.dropDuplicates().orderBy(*keys, *others)
+    rest = keys[len(dealt) :] + others
     in_order = W.partitionBy(*dealt).orderBy(*(rest or dealt[:1]))
     repeats = F.row_number().over(in_order) > 1
     for c in rest:

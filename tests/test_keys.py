@@ -130,8 +130,9 @@ def test_ties_collapse_in_the_exchange_that_ranks(spark, monkeypatch, order_by):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         found = keys.global_rank(df, order_by, "rank", unique="collapse")
-        ranked = found.df.orderBy("rank").select("rank", *order_by).collect()
-        expected = df.select(order_by).distinct().orderBy(order_by).collect()
+        columns = [*order_by, *[c for c in df.columns if c not in order_by]]
+        ranked = found.df.orderBy("rank").select("rank", *columns).collect()
+        expected = df.select(columns).distinct().orderBy(columns).collect()
         shown = lambda r: [str(v).replace("-0.0", "0.0") for v in r]
         assert [shown(r[1:]) for r in ranked] == [shown(r) for r in expected]
         assert [r["rank"] for r in ranked] == list(range(1, len(expected) + 1)) and found.rows == len(expected)
