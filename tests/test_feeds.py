@@ -2,6 +2,8 @@
 
 import csv
 import random
+import time
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -143,6 +145,104 @@ def test_no_cancel_before_its_order(spark, tmp_path):
     assert {(r.what, r.place) for r in rows} == {("ordered", 0), ("paid", 1), ("cancelled", 2)}
 
 
+class Handle:
+    """A processor's state as the streaming engine hands it out, with the rows of the largest value that was stored."""
+
+    def __init__(self):
+        self.maps, self.values, self.timers, self.largest = {}, {}, set(), 0
+
+    def getValueState(self, name, schema):
+        return SimpleNamespace(get=lambda: self.values.get(name), update=lambda v: self.values.update({name: v}))
+
+    def getMapState(self, name, key, value):
+        held = self.maps.setdefault(name, {})
+
+        def update(k, v):
+            held[k] = v
+            if isinstance(v[0], bytes):
+                self.largest = max(self.largest, len(ordered._loaded(v[0])))
+
+        return SimpleNamespace(
+            getValue=held.get, updateValue=update, removeKey=held.pop, exists=lambda: bool(held), keys=lambda: list(held)
+        )
+
+    def listTimers(self):
+        return iter(sorted(self.timers))
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+def test_what_waits_is_kept_and_released_by_block(monkeypatch):
+    monkeypatch.setattr(ordered, "_GATHERED", 30_000)
+    rng = np.random.default_rng(3)
+    handle, work = Handle(), ordered.Ordered(["n", "v", "__key"], "n", 0, 5000, block=100)
+    work.init(handle)
+    now = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: 1000)
+
+    def told(numbers):
+        numbers = np.asarray(numbers, np.int64)
+        pdf = pd.DataFrame({"n": numbers, "v": [f"v{i}" for i in numbers], "__key": "k"})
+        batches = (pdf.iloc[i : i + 150] for i in range(0, len(pdf), 150))
+        return [[*zip(out["n"], out["v"], out["place"])] for out in work.handleInputRows(("k",), batches, now)]
+
+    # The latest first, shuffled and with repeats; one number stays away.
+    for low in (4000, 2000, 1):
+        assert told(rng.permutation(np.repeat(np.arange(low, min(low + 2000, 6000)), 2))) == []
+    assert handle.largest <= 300 and handle.timers == {6000}
+    assert told([7000, 6999]) == []
+    out = told([0, 5])
+    assert [x for part in out for x in part] == [(i, f"v{i}", i) for i in range(6000)]
+    assert max(map(len, out)) <= 100 and told([17, 5999]) == []
+    assert {k for k, in handle.maps["waiting"]} == {69, 70} == {k for k, _ in handle.maps["parts"]}
+    handle.timers.clear()
+    late = [x for part in work.handleExpiredTimer(("k",), now, None) for x in zip(part["n"], part["place"])]
+    assert late == [(6999, 6000), (7000, 6001)]
+    assert not handle.maps["waiting"] and not handle.maps["parts"]
+    assert told([6500, 7001]) == [[(7001, "v7001", 6002)]] and not handle.timers
+
+
+def test_events_of_many_blocks_and_null_keys_come_in_order(spark, tmp_path):
+    numbers = spark.range(300).withColumnRenamed("id", "n")
+    odd = F.when(F.col("n") % 7 > 0, F.lit("x")).alias("a b")
+    keys = F.explode(F.array(F.lit(None).cast("int"), F.lit(0), F.lit(1))).alias("_k")
+    events = numbers.select(keys, "n", odd, F.timestamp_seconds(F.col("n") * 3600).alias("class"))
+    for low in (200, 100, 0):
+        part = events.filter(f"n >= {low} and n < {low + 100}")
+        part.unionByName(part).repartition(3).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = archive.file_stream(spark, str(tmp_path / "in"), events.schema)
+        released = ordered.in_order(stream, ["_k"], "n", block=32)
+        assert released.columns == [*events.columns, ordered.PLACE]
+        archive.start_append(released, str(tmp_path / "out"), str(tmp_path / "check"), catch_up=True).awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "out")).count() == (900 if low == 0 else 0)
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert found.filter("place = n").drop("place").exceptAll(events).isEmpty() and found.filter("place = n").count() == 900
+
+
+def test_a_gap_is_given_up_by_a_running_stream(spark, tmp_path):
+    events = spark.createDataFrame([("x", 0, "a"), ("x", 2, "c"), ("x", 40, "d"), ("y", 0, "e")], "k string, n long, what string")
+    events.write.parquet(str(tmp_path / "in"))
+    stream = archive.file_stream(spark, str(tmp_path / "in"), events.schema)
+    released = ordered.in_order(stream, ["k"], "n", patience="1 second", block=16)
+    query = released.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    query = query.option("checkpointLocation", str(tmp_path / "check")).trigger(processingTime="1 second").start()
+    try:
+        end = time.time() + 90
+        while time.time() < end and query.isActive:
+            rows = []
+            if (tmp_path / "out" / "_spark_metadata").exists():
+                rows = spark.read.schema(released.schema).parquet(str(tmp_path / "out")).collect()
+            if len(rows) == 4:
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert {(r.k, r.what, r.place) for r in rows} == {("x", "a", 0), ("x", "c", 1), ("x", "d", 2), ("y", "e", 0)}
+
+
 def _messages(spark, rows):
     columns = [f.name for f in schemas.RAW_SCHEMAS["orders"].fields]
     payload = [F.when(F.col("o").isNotNull(), F.col("o")).alias("order_id"), F.col("s").alias("order_status")]
