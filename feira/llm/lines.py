@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from itertools import combinations, pairwise
+from itertools import chain, combinations, count, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,18 @@ def normal(line: str) -> str:
     return " ".join(line.split()).lower()
 
 
+#: White space besides blanks and line ends.
+_ODD_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+
+
+def normal_lines(text: str) -> list[str]:
+    """``normal`` of each line of a text; most lines have single blanks and nothing to join."""
+    lines = text.lower().split("\n")
+    if any(c in text for c in _ODD_SPACES):
+        return [" ".join(line.split()) for line in lines]
+    return [" ".join(line.split()) if "  " in line else line.strip(" ") for line in lines]
+
+
 _SLICES = [slice(i, i + SHINGLE) for i in range(4096)]
 
 
@@ -60,14 +72,12 @@ def similarity(a: set[str], b: set[str]) -> float:
 
 def _blocks(lines: list[str], most: int = 1 << 15) -> Iterator[slice]:
     """Consecutive lines of about ``most`` code points, so that the arrays over them stay in a core's cache."""
-    start = size = 0
-    for i, line in enumerate(lines):
-        if size and size + len(line) > most:
-            yield slice(start, i)
-            start, size = i, 0
-        size += len(line)
-    if start < len(lines):
-        yield slice(start, len(lines))
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    start = done = 0
+    while start < len(lines):
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield slice(start, stop)
+        start, done = stop, int(ends[stop - 1])
 
 
 def _shingled(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +96,7 @@ def _shingled(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def band_keys(lines: list[str]) -> np.ndarray:
     """One 64-bit key per line and band."""
     least = np.empty((len(lines), BANDS * ROWS), np.uint32)
-    for block in _blocks(lines):
+    for block in _blocks(lines, 1 << 16):
         codes, inside, counts = _shingled(lines[block])
         hashes = run_hashes(codes, SHINGLE)[inside]
         starts = np.cumsum(counts) - counts
@@ -118,38 +128,35 @@ def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
         seen: set[bytes] = set()
         for batch in batches:
             for part in small_batches([batch], "text"):
-                met: dict[str, int] = {}
-                owner, place_in_text, which, first = [], [], [], []
-                for i, text in enumerate(part.column("text").to_pylist()):
-                    for at, raw in enumerate(text.split("\n")):
-                        line = normal(raw)
-                        if line:
-                            known = len(met)
-                            place = met.setdefault(line, known)
-                            owner.append(i)
-                            place_in_text.append(at)
-                            which.append(place)
-                            first.append(place == known)
-                if not owner:
+                found = [normal_lines(text) for text in part.column("text").to_pylist()]
+                counts = np.fromiter(map(len, found), np.int64, len(found))
+                every = list(chain.from_iterable(found))
+                filled = np.fromiter(map(bool, every), bool, len(every))
+                if not filled.any():
                     continue
+                owner = pa.array(np.repeat(np.arange(len(found), dtype=np.int32), counts)[filled])
+                place_in_text = (np.arange(len(every)) - np.repeat(np.cumsum(counts) - counts, counts))[filled]
+                every = list(filter(None, every))
+                met = dict(zip(dict.fromkeys(every), count()))
+                which = np.fromiter(map(met.__getitem__, every), np.int32, len(every))
+                # Lines are numbered as they are met.
+                first = np.append(True, which[1:] > np.maximum.accumulate(which)[:-1])
                 digests = [_digest(line) for line in met]
                 if len(seen) > _SEEN:
                     seen.clear()
-                new = [d not in seen for d in digests]
+                new = np.array([d not in seen for d in digests])
                 seen.update(digests)
-                lines = [line for line, n in zip(met, new, strict=True) if n]
-                at_new = np.where(new, np.cumsum(new) - 1, -1).tolist()
-                signed = pa.array(
-                    [at_new[i] if f and new[i] else None for i, f in zip(which, first, strict=True)], pa.int32()
-                )
+                lines = [line for line, n in zip(met, new.tolist(), strict=True) if n]
+                at_new = np.cumsum(new, dtype=np.int32) - np.int32(1)
+                signed = pa.array(at_new[which], mask=~(first & new[which]))
                 keys = band_keys(lines).view(np.int64)
                 ends = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("id").take(pa.array(owner, pa.int32())),
-                        part.column("number").take(pa.array(owner, pa.int32())),
+                        part.column("id").take(owner),
+                        part.column("number").take(owner),
                         pa.array(place_in_text, pa.int32()),
-                        pa.array(digests, pa.binary()).take(pa.array(which, pa.int32())),
+                        pa.array(digests, pa.binary()).take(pa.array(which)),
                         pa.ListArray.from_arrays(ends, pa.array(keys.ravel())).take(signed),
                         pa.array(lines, pa.string()).take(signed),
                     ],
@@ -163,7 +170,28 @@ def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
 
 #: Bits of a shingle's hash; the others of a 64-bit number hold a line or pair, so that one plain sort orders both.
 _HASH_BITS = np.uint64(44)
-_POWERS = np.cumprod(np.full(SHINGLE, 0xD6E8FEB86659FD93, np.uint64))
+_BASE = 0xD6E8FEB86659FD93
+
+
+def _runs(values: np.ndarray, size: int) -> np.ndarray:
+    """Polynomial hashes of all runs of ``size`` values, by doubling."""
+    power = lambda n: np.uint64(pow(_BASE, n, 1 << 64))
+    now, out, done, width = values, None, 0, 1
+    while True:
+        if size & width:
+            if out is None:
+                out = now
+            else:
+                m = len(values) - done - width + 1
+                out = out[:m] * power(width)
+                out += now[done : done + m]
+            done += width
+        if done == size:
+            return out
+        m = len(values) - 2 * width + 1
+        longer = now[:m] * power(width)
+        longer += now[width : width + m]
+        now, width = longer, 2 * width
 
 
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -175,11 +203,7 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # Spread first, so that sums of small code points do not meet by chance.
         wide = (wide ^ np.uint64(0x2545F4914F6CDD1D)) * np.uint64(0xFF51AFD7ED558CCD)
         wide ^= wide >> np.uint64(32)
-        n = len(codes) - SHINGLE + 1
-        total = np.zeros(n, np.uint64)
-        for j in range(SHINGLE):
-            total += wide[j : j + n] * _POWERS[j]
-        hashes.append(total[inside])
+        hashes.append(_runs(wide, SHINGLE)[inside])
         owners.append(np.repeat(np.arange(done, done + len(counts)), counts))
         done += len(counts)
     key = np.sort((np.concatenate(owners).astype(np.uint64) << _HASH_BITS) | (np.concatenate(hashes) >> (np.uint64(64) - _HASH_BITS)))
@@ -337,19 +361,20 @@ def _links(cells: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, row) of a sorted input whose key stands in a neighbouring row too, and the ends of the input, whose
-    neighbours other tasks have. No more than a batch is held."""
-    before: int | None = None
+    """Rows (key, mark) of an input sorted by key whose key stands in a neighbouring row with another mark, and the ends of
+    the input, whose neighbours other tasks have. Of marks that share a key, each is there once at least. No more than a
+    batch is held."""
+    before: tuple[int, int] | None = None
     held: pa.RecordBatch | None = None
     first = True
 
-    def flush(part: pa.RecordBatch, after: int | None) -> pa.RecordBatch:
+    def flush(part: pa.RecordBatch, after: tuple[int, int] | None) -> pa.RecordBatch:
         nonlocal first
-        key = part.column("key").to_numpy()
-        same = key[1:] == key[:-1]
+        key, mark = part.column("key").to_numpy(), part.column("mark").to_numpy()
+        same = (key[1:] == key[:-1]) & (mark[1:] != mark[:-1])
         keep = np.append(False, same) | np.append(same, False)
-        keep[0] |= first or key[0] == before
-        keep[-1] |= after is None or key[-1] == after
+        keep[0] |= first or (key[0] == before[0] and mark[0] != before[1])
+        keep[-1] |= after is None or (key[-1] == after[0] and mark[-1] != after[1])
         first = False
         return part.filter(pa.array(keep))
 
@@ -357,29 +382,32 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         if held is not None:
-            yield flush(held, batch.column("key")[0].as_py())
-            before = held.column("key")[held.num_rows - 1].as_py()
+            yield flush(held, (batch.column("key")[0].as_py(), batch.column("mark")[0].as_py()))
+            before = held.column("key")[held.num_rows - 1].as_py(), held.column("mark")[held.num_rows - 1].as_py()
         held = batch
     if held is not None:
         yield flush(held, None)
 
 
-def _members(found: DataFrame, nodes: DataFrame) -> DataFrame:
+def _members(found: DataFrame, distinct: DataFrame) -> DataFrame:
     """(key, node) of the lines that share a band's key with another line.
 
-    The rows of all bands are dealt by ranges of key and row, so that a hot key is split, and sorted by the key alone, a
-    number that Spark sorts by its digits; all but a few rows have a key of their own and end there.
+    The rows of all bands are dealt by ranges of key and mark, a 64-bit hash of the line, so that a hot key is split, and
+    sorted by the key alone, a number that Spark sorts by its digits. All but a few rows have a key of their own, or share it
+    with repeats of their line that other tasks signed, and end there. Of lines with one mark all are members.
     """
+    mark = F.xxhash64("h").alias("mark")
     shared = materialize(
         found.filter("bands is not null")
-        .select(F.explode("bands").alias("key"), "row")
-        .repartitionByRange("key", "row")
+        .select("bands", mark)
+        .select(F.explode("bands").alias("key"), "mark")
+        .repartitionByRange("key", "mark")
         .sortWithinPartitions("key")
-        .mapInArrow(_shared, "key bigint, row bigint"),
+        .mapInArrow(_shared, "key bigint, mark bigint"),
         "line-shared",
     )
     return materialize(
-        shared.join(nodes.select("row", "node").hint("merge"), "row").groupBy("key", "node").agg(F.lit(1).alias("x")).select("key", "node"), "line-members"
+        shared.join(distinct.select(mark, "node").hint("merge"), "mark").groupBy("key", "node").agg(F.lit(1).alias("x")).select("key", "node"), "line-members"
     )
 
 
@@ -440,23 +468,33 @@ def _classes(df: DataFrame, id_col: str, text_col: str, number_col: str | None,
         "line-occurrences",
         "zstd",
     )
-    distinct = materialize(found.groupBy("h").agg(F.min("row").alias("node")), "line-distinct")
+    distinct = materialize(
+        found.groupBy("h").agg(F.min("row").alias("node"), (F.count(F.lit(1)) > 1).alias("repeated")), "line-distinct"
+    )
     # The first row of a line has its text. Tables that grow with the lines are merged at every size, so that what is
     # shuffled grows with them and not by leaps.
     texts = found.filter("line is not null").select(F.col("row").alias("node"), "line")
     nodes = materialize(found.select("id", "number", "line_no", "h", "row").join(distinct.hint("merge"), "h").drop("h"), "line-nodes")
-    labels = materialize(_class_links(_members(found, nodes), texts, cell), "line-labels")
+    labels = materialize(_class_links(_members(found, distinct), texts, cell), "line-labels")
     classed = materialize(
-        nodes.join(labels.hint("merge"), "node", "left").withColumn("class_id", F.coalesce("component", "node")).drop("node", "component"),
+        nodes.join(labels.hint("merge"), "node", "left")
+        .withColumns(
+            {"class_id": F.coalesce("component", "node"), "alone": F.col("component").isNull() & ~F.col("repeated")}
+        )
+        .drop("node", "component", "repeated"),
         "line-classed",
     )
+    # A line that stands once and is linked with no other is its own class; only the others are grouped.
+    keeper = F.struct("id", "line_no", "row")
+    single = classed.filter("alone").select(
+        *classed.columns, keeper.alias("keeper"), F.lit(1).cast("bigint").alias("class_size"), F.lit(True).alias("kept")
+    )
+    several = classed.filter("not alone")
     keepers = materialize(
-        classed.groupBy("class_id").agg(
-            F.min(F.struct("id", "line_no", "row")).alias("keeper"), F.count(F.lit(1)).alias("class_size")
-        ),
-        "line-keepers",
+        several.groupBy("class_id").agg(F.min(keeper).alias("keeper"), F.count(F.lit(1)).alias("class_size")), "line-keepers"
     )
-    return classed.join(keepers.hint("merge"), "class_id").withColumn("kept", F.col("row") == F.col("keeper.row"))
+    grouped = several.join(keepers.hint("merge"), "class_id").withColumn("kept", F.col("row") == F.col("keeper.row"))
+    return single.unionByName(grouped).drop("alone")
 
 
 def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:

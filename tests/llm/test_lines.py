@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from feira.llm import lines
@@ -131,3 +132,46 @@ def test_matrices_of_long_lines_are_cut(monkeypatch):
     # The same as pairs, in slices.
     cells = np.repeat(np.arange(4), 2)
     assert lines.verified_links(cells, np.arange(8), texts[:8]).tolist() == [0, 0, 2, 2, 4, 4, 6, 6]
+
+
+def test_lines_of_a_text_are_those_of_each_line():
+    rng = random.Random(8)
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    for alphabet in (spaces + list("aΣσAİb’'.:\xad\n\n"), list("aΣbCİ\n  ")):
+        for _ in range(3000):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12)))
+            assert lines.normal_lines(text) == [lines.normal(x) for x in text.split("\n")]
+
+
+def test_lines_that_stand_alone_are_not_grouped(spark, monkeypatch):
+    written = {}
+
+    def kept(df, name, *rest):
+        written[name] = materialize(df, name, *rest)
+        return written[name]
+
+    materialize = lines.materialize
+    monkeypatch.setattr(lines, "materialize", kept)
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghijklmnop") for _ in range(60)) for _ in range(50)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(90, texts[0]), (91, varied(rng, texts[1], 1)), (None, texts[2])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [(r.doc_id, r.line_no, r.class_size, r.kept) for r in lines.line_classes(df).collect()]
+    assert sorted(found, key=str) == sorted(classes(rows), key=str)
+    # Of 53 lines, those of three classes of two, or of two where the changed line is no longer like its own.
+    assert written["line-keepers"].count() == sum(n == 2 for _, _, n, _ in found) / 2 and written["line-classed"].count() == 53
+
+
+def test_repeats_of_a_line_alone_share_no_band():
+    rng = random.Random(10)
+    pairs = [(key, rng.choice([key, key, key + 1000])) for key in range(200) for _ in range(rng.randint(1, 6))]
+    batches = []
+    for at in range(0, len(pairs), 7):
+        key, mark = zip(*pairs[at : at + 7])
+        batches.append(pa.RecordBatch.from_pydict({"key": pa.array(key, pa.int64()), "mark": pa.array(mark, pa.int64())}))
+    marks = defaultdict(set)
+    for key, mark in pairs:
+        marks[key].add(mark)
+    wanted = {(key, mark) for key, mark in pairs if len(marks[key]) > 1}
+    found = {(r["key"], r["mark"]) for part in lines._shared(iter(batches)) for r in part.to_pylist()}
+    assert wanted <= found <= wanted | {pairs[0], pairs[-1]} and len(wanted) > 20
