@@ -411,6 +411,36 @@ def _members(found: DataFrame, distinct: DataFrame) -> DataFrame:
     )
 
 
+#: Links that a task unites at once.
+_UNITED = 1 << 20
+
+
+def _united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of the same components, from each node to the smallest that it is united with by links at hand."""
+    held: list[pa.RecordBatch] = []
+
+    def flush() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        ends = np.concatenate([table.column("a").to_numpy(), table.column("b").to_numpy()])
+        nodes, place = np.unique(ends, return_inverse=True)
+        first = roots(len(nodes), place[: len(ends) // 2], place[len(ends) // 2 :])
+        moved = np.flatnonzero(first != np.arange(len(nodes)))
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[first[moved]])], ["a", "b"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= _UNITED:
+            yield flush()
+    if held:
+        yield flush()
+
+
+def _unite(links: DataFrame) -> DataFrame:
+    """(node, component) of all linked nodes; what a task has of the links is united first, which spares rounds."""
+    return components(links.mapInArrow(_united, "a bigint, b bigint"), "line-components")
+
+
 def _class_links(members: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
     """(node, component) of all lines that are linked with another."""
     # Buckets of the same lines, by count, ends and a sum over their members, are one bucket.
@@ -433,11 +463,11 @@ def _class_links(members: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
         ),
         "line-placed",
     )
-    needed = materialize(placed.select("node").distinct(), "line-needed")
-    texts = materialize(texts.join(needed.hint("merge"), "node"), "line-texts", "zstd")
+    # Each line is there once on either side, so no key is hot.
+    texts = materialize(texts.join(placed.select("node").distinct().hint("merge"), "node"), "line-texts", "zstd")
     own = placed.select("key", F.col("chunk").alias("left"), F.col("chunk").alias("right"), "node", F.col("node").alias("known"))
     links = _links(own, texts, "line-links")
-    labels = components(links, "line-components")
+    labels = _unite(links)
     large = placed.filter("chunks > 1")
     if large.isEmpty():
         return labels
@@ -458,7 +488,7 @@ def _class_links(members: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
     )
     pairs = large.join(mixed, "key").select("key", "node", "known", F.inline(each)).filter("left < right")
     more = _links(pairs, texts, "line-more-links")
-    return components(links.unionByName(more), "line-components")
+    return _unite(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str, number_col: str | None, cell: int) -> DataFrame:

@@ -175,3 +175,18 @@ def test_repeats_of_a_line_alone_share_no_band():
     wanted = {(key, mark) for key, mark in pairs if len(marks[key]) > 1}
     found = {(r["key"], r["mark"]) for part in lines._shared(iter(batches)) for r in part.to_pylist()}
     assert wanted <= found <= wanted | {pairs[0], pairs[-1]} and len(wanted) > 20
+
+
+def test_links_at_hand_are_united_to_stars(monkeypatch):
+    monkeypatch.setattr(lines, "_UNITED", 60)
+    rng = random.Random(11)
+    links = [(a, a + 1) for a in range(100, 300) if a % 40] + [(7, 7)]
+    rng.shuffle(links)
+    batches = [
+        pa.RecordBatch.from_pydict({c: pa.array([x[i] for x in links[at : at + 20]], pa.int64()) for i, c in enumerate("ab")})
+        for at in range(0, len(links), 20)
+    ]
+    found = [(r["a"], r["b"]) for part in lines._united(iter(batches)) for r in part.to_pylist()]
+    assert all(a > b for a, b in found) and len(found) <= len(links)
+    ends = np.array(found).T
+    assert (lines.roots(301, *ends) == lines.roots(301, *np.array(links).T)).all()
